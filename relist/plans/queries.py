@@ -1,0 +1,207 @@
+"""The registered queries (adapter tables → operator → result) with their
+DuckDB oracle SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import classify as C
+from ..operators import metrics as M
+from . import adapter as A
+from . import oracle as O
+from .registry import register
+
+AS_OF = "2001-09-01"
+
+
+# --------------------------------------------------------------- metrics ---
+
+@register("category_stats", O.with_listings(f"""
+SELECT {O.CATEGORY} AS category, count(*) AS "count", {O.AVG500} AS avg_price, {O.NW_SUM} AS never_worn
+FROM listings GROUP BY 1"""))
+def q_category_stats(spark, d):
+    return M.category_stats(A.listings(spark, d))
+
+
+@register("source_stats", O.with_listings(f"""
+SELECT source, count(*) AS total, {O.AVG500} AS avg_price, {O.NW_SUM} AS never_worn,
+       round_even(count(*) * 100.0 / (SELECT count(*) FROM listings), 1) AS share_pct,
+       round_even({O.NW_SUM} * 100.0 / count(*), 1) AS never_worn_pct
+FROM listings GROUP BY source"""))
+def q_source_stats(spark, d):
+    return M.source_stats(A.listings(spark, d))
+
+
+@register("popular_items", O.with_listings(f"""
+SELECT title, source, count(*) AS occurrences, {O.AVG500} AS avg_price
+FROM listings WHERE price IS NOT NULL AND price < 500
+GROUP BY title, source HAVING count(*) > 2
+ORDER BY occurrences DESC, title, source LIMIT 20"""))
+def q_popular_items(spark, d):
+    return M.popular_items(A.listings(spark, d))
+
+
+@register("top_expensive", O.with_listings(f"""
+SELECT source, title, price, url, location, external_id AS seller_id
+FROM listings WHERE {O.PRICE_OK}
+ORDER BY price DESC, source, seller_id LIMIT 10"""))
+def q_top_expensive(spark, d):
+    return M.top_expensive(A.listings(spark, d))
+
+
+_PB_L = O.case_bands("price", C.PRICE_BANDS)
+_PB_O = O.case_bands("price", C.PRICE_BANDS, what="ord")
+
+
+@register("price_histogram", O.with_listings(f"""
+, h AS (SELECT {_PB_L} AS price_range, {_PB_O} AS sort_order, count(*) AS cnt
+        FROM listings WHERE {O.PRICE_OK} GROUP BY 1, 2),
+  t AS (SELECT count(*) AS n FROM listings WHERE {O.PRICE_OK})
+SELECT price_range, sort_order, cnt, round_even(cnt * 100.0 / n, 1) AS pct,
+       round_even(sum(cnt) OVER (ORDER BY sort_order ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 100.0 / n, 1) AS cum_pct
+FROM h, t"""))
+def q_price_histogram(spark, d):
+    return M.price_histogram(A.listings(spark, d))
+
+
+@register("never_worn_median", O.with_listings(f"""
+SELECT is_never_worn, count(*) AS cnt, quantile_cont(CAST(price AS DOUBLE), 0.5) AS median_price
+FROM listings WHERE {O.PRICE_OK} GROUP BY 1"""))
+def q_never_worn_median(spark, d):
+    return M.never_worn_median(A.listings(spark, d))
+
+
+@register("never_worn_premium", O.with_listings(f"""
+, s AS (
+  SELECT quantile_cont(CASE WHEN is_never_worn THEN price END, 0.5) AS nwm,
+         quantile_cont(CASE WHEN NOT is_never_worn THEN price END, 0.5) AS um,
+         count(CASE WHEN is_never_worn THEN 1 END) AS nw_cnt,
+         count(CASE WHEN NOT is_never_worn THEN 1 END) AS used_cnt
+  FROM listings WHERE {O.PRICE_OK}),
+  v AS (SELECT CASE WHEN nw_cnt > 0 THEN nwm ELSE 8.0 END AS nw_median,
+               CASE WHEN used_cnt > 0 THEN um ELSE 5.0 END AS used_median, nw_cnt, used_cnt FROM s)
+SELECT nw_median, used_median, nw_cnt, used_cnt,
+       round(CASE WHEN nw_cnt + used_cnt > 0 THEN nw_cnt * 100.0 / (nw_cnt + used_cnt) ELSE 17.0 END, 4) AS nw_share,
+       round(CASE WHEN used_median > 0 THEN (nw_median / used_median - 1) * 100 ELSE 60.0 END, 4) AS premium_pct,
+       round(nw_median - used_median, 4) AS uplift
+FROM v"""))
+def q_never_worn_premium(spark, d):
+    return M.never_worn_premium(A.listings(spark, d))
+
+
+_CITY = """CASE WHEN regexp_extract(location, '\\((\\d{5})\\)', 1) <> ''
+  THEN trim(regexp_replace(location, '\\s*\\(\\d{5}\\)\\s*$', '')) || ' (' || regexp_extract(location, '\\((\\d{5})\\)', 1) || ')'
+  ELSE trim(split_part(location, ',', 1)) END"""
+_LOCATED = "location IS NOT NULL AND trim(location) <> '' AND price IS NOT NULL AND price > 0"
+
+
+@register("top_cities", O.with_listings(f"""
+, c AS (SELECT {_CITY} AS city, count(*) AS cnt FROM listings WHERE {_LOCATED}
+        GROUP BY 1 ORDER BY cnt DESC, city LIMIT 12)
+SELECT city, cnt, round_even(cnt * 100.0 / (SELECT count(*) FROM listings WHERE {_LOCATED}), 1) AS share_pct
+FROM c"""))
+def q_top_cities(spark, d):
+    return M.top_cities(A.listings(spark, d))
+
+
+_AGE = f"date_diff('day', CAST(published_at AS DATE), DATE '{AS_OF}')"
+
+
+@register("age_histogram", O.with_listings(f"""
+SELECT {O.case_bands(_AGE, C.AGE_BANDS, inclusive=True)} AS age_bucket,
+       {O.case_bands(_AGE, C.AGE_BANDS, inclusive=True, what='ord')} AS sort_order,
+       count(*) AS cnt,
+       round_even(count(*) * 100.0 / (SELECT count(*) FROM listings), 1) AS pct
+FROM listings GROUP BY 1, 2"""))
+def q_age_histogram(spark, d):
+    # the cleaned layer already parsed published_at (blank/unparsable → null);
+    # a null date falls into the last band, as in the dashboard
+    df = A.listings(spark, d).withColumn("published_at", F.coalesce(
+        F.col("published_at").cast("string"), F.lit("")))
+    return M.age_histogram(df, AS_OF)
+
+
+_SELLER_L = O.case_bands("listing_count", C.SELLER_BANDS, inclusive=True)
+_SELLER_O = O.case_bands("listing_count", C.SELLER_BANDS, inclusive=True, what="ord")
+
+
+@register("seller_profiles", O.with_listings(f"""
+, s AS (SELECT location, source, count(*) AS listing_count FROM listings
+        WHERE location IS NOT NULL AND location <> '' GROUP BY location, source)
+SELECT {_SELLER_L} AS profile, {_SELLER_O} AS sort_order, count(*) AS seller_count,
+       round(avg(listing_count), 1) AS avg_listings,
+       round_even(count(*) * 100.0 / (SELECT count(*) FROM s), 1) AS seller_pct
+FROM s GROUP BY 1, 2"""))
+def q_seller_profiles(spark, d):
+    return M.seller_profiles(A.listings(spark, d))
+
+
+@register("condition_histogram", O.with_listings(f"""
+SELECT {O.case_rules(O.COND_TEXT, C.CONDITION_RULES, C.CONDITION_DEFAULT)} AS condition_label,
+       {O.case_rules(O.COND_TEXT, C.CONDITION_RULES, C.CONDITION_DEFAULT, what='ord')} AS sort_order,
+       count(*) AS cnt, {O.AVG500} AS avg_price,
+       round_even(count(*) * 100.0 / (SELECT count(*) FROM listings), 1) AS pct
+FROM listings GROUP BY 1, 2"""))
+def q_condition_histogram(spark, d):
+    return M.condition_histogram(A.listings(spark, d))
+
+
+@register("category_deep", O.with_listings(f"""
+SELECT {_PB_L} AS price_range, {_PB_O} AS sort_order, source, count(*) AS cnt
+FROM listings WHERE {O.PRICE_OK} GROUP BY 1, 2, 3"""))
+def q_category_deep(spark, d):
+    return M.category_deep(A.listings(spark, d))
+
+
+@register("category_deep_robes", O.with_listings(f"""
+SELECT {_PB_L} AS price_range, {_PB_O} AS sort_order, source, count(*) AS cnt
+FROM listings WHERE {O.PRICE_OK} AND ({O.CATEGORY}) = 'Robes & Jupes' GROUP BY 1, 2, 3"""))
+def q_category_deep_robes(spark, d):
+    return M.category_deep(A.listings(spark, d), category="Robes & Jupes")
+
+
+@register("weekly_trend", O.with_listings("""
+SELECT date_trunc('week', published_at) AS week, source, count(*) AS cnt
+FROM listings WHERE published_at IS NOT NULL GROUP BY 1, 2"""))
+def q_weekly_trend(spark, d):
+    return M.weekly_trend(A.listings(spark, d))
+
+
+_BULK = f"coalesce(regexp_matches(lower(title), {O.q(C.BULK_PATTERN)}), false)"
+
+
+@register("bulk_stats", O.with_listings(f"""
+SELECT {_BULK} AS is_bulk, count(*) AS cnt, round(avg(price), 4) AS avg_price
+FROM listings WHERE {O.PRICE_OK} GROUP BY 1"""))
+def q_bulk_stats(spark, d):
+    return M.bulk_stats(A.listings(spark, d))
+
+
+@register("headline_kpis", O.with_listings(f"""
+SELECT count(*) AS "rows", count(DISTINCT source) AS sources, round(avg(price), 4) AS avg_price,
+       round(avg(CAST({_BULK} AS INTEGER)) * 100, 4) AS bulk_pct,
+       round(avg(CAST(coalesce(is_never_worn, false) AS INTEGER)) * 100, 4) AS never_worn_pct,
+       count(latitude) AS located_rows, count(DISTINCT location) AS unique_locations,
+       quantile_cont(CAST(price AS DOUBLE), 0.5) AS median_price
+FROM listings WHERE {O.PRICE_OK}"""))
+def q_headline_kpis(spark, d):
+    return M.headline_kpis(A.listings(spark, d))
+
+
+def _retail_sql() -> str:
+    parts = " ".join(f"WHEN {O.q(k)} THEN CAST({float(v)} AS DOUBLE)" for k, v in C.RETAIL_PRICES.items())
+    return f"CASE category {parts} ELSE CAST({C.RETAIL_PRICE_DEFAULT} AS DOUBLE) END"
+
+
+@register("category_discounts", O.with_listings(f"""
+, a AS (SELECT {O.CATEGORY} AS category, price FROM listings WHERE {O.PRICE_OK}),
+  b AS (SELECT category, price, {_retail_sql()} AS retail_price FROM a),
+  c AS (SELECT category, retail_price,
+               CASE WHEN price IS NULL OR retail_price IS NULL OR retail_price = 0 THEN 0.0
+                    ELSE greatest(0.0, least(99.0, round_even((1.0 - price / retail_price) * 100.0, 0))) END AS discount_pct
+        FROM b)
+SELECT category, CASE WHEN discount_pct > 50 THEN 'high' WHEN discount_pct > 25 THEN 'medium' ELSE 'low' END AS tier,
+       count(*) AS cnt, round(avg(discount_pct), 4) AS avg_discount_pct, max(retail_price) AS retail_price
+FROM c GROUP BY 1, 2"""))
+def q_category_discounts(spark, d):
+    return M.category_discounts(A.listings(spark, d))
