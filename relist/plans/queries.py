@@ -562,3 +562,154 @@ def q_label_topk(spark, d):
                                                            F.col("embedding").alias("qvec"))
     corpus = emb.select(F.col("vec_id").alias("cid"), F.col("embedding").alias("vec"))
     return V.topk_similar(cents, corpus, k=3)
+
+
+# ------------------------------------------------------------ extraction ---
+
+from ..operators import extraction as X  # noqa: E402
+
+
+def augmented_pages(spark, d):
+    """Pages with a product card, a count snippet and a count span appended
+    (built from each page's own id; the generated pages carry no prices)."""
+    pg = A.table(spark, d, "pages")
+    pid = F.col("page_id")
+    card = F.concat(F.lit('<div class="card"><a href="/fr/robe-fille-'), (pid * 7 + 3).cast("string"),
+                    F.lit('/">Robe fille '), pid.cast("string"), F.lit('</a><span class="price">'),
+                    (pid % 40 + 1).cast("string"), F.lit(",50 €</span></div>"))
+    snippet = (F.when(pid % 3 == 0, F.concat(F.lit('<script>var s={"totalCount": '), (pid * 13).cast("string"),
+                                            F.lit("};</script>")))
+               .when(pid % 3 == 1, F.concat(F.lit("<p>"), (pid * 3).cast("string"), F.lit(" résultats</p>")))
+               .otherwise(F.lit("")))
+    span = F.concat(F.lit('<span>{"text": "'), (pid % 9 + 1).cast("string"), F.lit(" "),
+                    F.lpad((pid * 37 % 1000).cast("string"), 3, "0"), F.lit('"}</span>'))
+    nd = F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":{"q":[{"a":1},'
+                        '{"meta":{"totalCount":'), (pid % 4 * 11).cast("string"), F.lit('}}],"total":'),
+                  (pid + 1).cast("string"), F.lit("}}}</script>"))
+    return pg.select("page_id", "url", F.concat(F.col("html"), card, snippet, span, nd).alias("html"))
+
+
+AUG_PAGES = """
+aug AS (
+  SELECT page_id, url, html || '<div class="card"><a href="/fr/robe-fille-' || CAST(page_id * 7 + 3 AS VARCHAR)
+    || '/">Robe fille ' || CAST(page_id AS VARCHAR) || '</a><span class="price">' || CAST(page_id % 40 + 1 AS VARCHAR)
+    || ',50 €</span></div>'
+    || CASE WHEN page_id % 3 = 0 THEN '<script>var s={"totalCount": ' || CAST(page_id * 13 AS VARCHAR) || '};</script>'
+            WHEN page_id % 3 = 1 THEN '<p>' || CAST(page_id * 3 AS VARCHAR) || ' résultats</p>' ELSE '' END
+    || '<span>{"text": "' || CAST(page_id % 9 + 1 AS VARCHAR) || chr(160) || lpad(CAST(page_id * 37 % 1000 AS VARCHAR), 3, '0') || '"}</span>'
+    || '<script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":{"q":[{"a":1},{"meta":{"totalCount":'
+    || CAST(page_id % 4 * 11 AS VARCHAR) || '}}],"total":' || CAST(page_id + 1 AS VARCHAR) || '}}}</script>' AS html
+  FROM pages)"""
+
+_HREF = "trim(regexp_extract(p, '^[^>]*?href=\"([^\"]*)\"', 1))"
+
+
+@register("page_cards", "WITH " + AUG_PAGES + f"""
+, pieces AS (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS base,
+                    unnest(string_split(html, '<a ')) AS p, unnest(generate_series(0, len(string_split(html, '<a ')) - 1)) AS pos
+             FROM aug),
+  a AS (SELECT page_id, pos, base, {_HREF} AS href,
+               trim(regexp_replace(regexp_extract(p, '^[^>]*>(.*?)</a>', 1), '<[^>]*>', '', 'g')) AS title,
+               replace(substring(regexp_extract(p, '</a>(.*)$', 1), 1, 300), ' ', '') AS after
+        FROM pieces WHERE pos > 0),
+  c AS (SELECT page_id, pos, regexp_extract(href, '-(\\d+)/?$', 1) AS external_id, title,
+               CASE WHEN starts_with(href, 'http') THEN href ELSE base || href END AS url,
+               TRY_CAST(replace(regexp_extract(after, '([0-9]+[,.][0-9]+)\\s*€', 1), ',', '.') AS DOUBLE) AS price
+        FROM a
+        WHERE NOT (NOT contains(href, '/fr/') OR contains(href, '/nos-boutiques/')
+                   OR (contains(href, '/catalogue/') AND length(href) - length(replace(href, '/', '')) <= 4))),
+  d AS (SELECT *, row_number() OVER (PARTITION BY page_id, external_id ORDER BY pos) AS rn FROM c
+        WHERE external_id <> '' AND title <> '' AND length(title) <= 500)
+SELECT page_id, pos AS position, external_id, title, url, price FROM d WHERE rn = 1""")
+def q_page_cards(spark, d):
+    return X.page_cards(augmented_pages(spark, d))
+
+
+def _count_sql(expr: str) -> str:
+    parts = ", ".join(f"nullif(regexp_extract({expr}, {O.q('(?i)' + p)}, 1), '')" for p in X.COUNT_PATTERNS)
+    return f"TRY_CAST(coalesce({parts}) AS BIGINT)"
+
+
+@register("page_counts", "WITH " + AUG_PAGES + f"""
+SELECT page_id, CASE WHEN {_count_sql('html')} = {X.CATALOG_TOTAL_SENTINEL} THEN NULL ELSE {_count_sql('html')} END AS result_count
+FROM aug""")
+def q_page_counts(spark, d):
+    p = augmented_pages(spark, d)
+    return p.select("page_id", X.count_from_text(F.col("html"), sentinel=X.CATALOG_TOTAL_SENTINEL)
+                    .alias("result_count"))
+
+
+@register("page_span_counts", "WITH " + AUG_PAGES + """
+, s AS (SELECT page_id, unnest(regexp_extract_all(html, '"text"\\s*:\\s*"([\\d \\s' || chr(160) || ']+)"', 1)) AS span,
+               unnest(generate_series(1, len(regexp_extract_all(html, '"text"\\s*:\\s*"([\\d \\s' || chr(160) || ']+)"', 1)))) AS i
+        FROM aug),
+  c AS (SELECT page_id, i, regexp_replace(trim(span), '[ ' || chr(160) || ']', '', 'g') AS v FROM s),
+  f AS (SELECT page_id, arg_min(v, i) AS v FROM c WHERE regexp_full_match(v, '\\d+') AND length(v) >= 2 GROUP BY page_id)
+SELECT a.page_id, TRY_CAST(f.v AS BIGINT) AS span_count FROM aug a LEFT JOIN f ON a.page_id = f.page_id""")
+def q_page_span_counts(spark, d):
+    p = augmented_pages(spark, d)
+    return p.select("page_id", X.count_from_spans(F.col("html")).alias("span_count"))
+
+
+@register("page_totals")
+def q_page_totals(spark, d):
+    return X.total_from_json(augmented_pages(spark, d))
+
+
+_SLUG_SQL = (f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(translate("
+             f"regexp_replace(lower(t), '^\\s+|\\s+$', '', 'g'), {O.q(O.FOLD_FROM)}, {O.q(O.FOLD_TO)}), '''&', ''), "
+             f"' ', '-', 'g'), '-+', '-', 'g'), '[^a-z0-9-]', '', 'g'), '^-+|-+$', '', 'g')")
+
+
+@register("page_title_slugs", f"""
+SELECT page_id, t AS title, {_SLUG_SQL} AS slug FROM (
+  SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS t FROM pages)""")
+def q_page_title_slugs(spark, d):
+    pg = A.table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"))
+    return pg.select("page_id", "title", X.slug(F.col("title")).alias("slug"))
+
+
+@register("image_manifest", O.with_listings(GOLD_SQL + """
+, m AS (SELECT listing_key, trim(coalesce(primary_image_url, '')) AS u,
+               coalesce(CASE WHEN source = '' OR source IS NULL THEN 'unknown' ELSE source END, 'unknown') AS s,
+               external_id FROM gold),
+  e AS (SELECT *, lower(regexp_extract(regexp_extract(u, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '(?i)\\.(jpe?g|png|webp|gif)(\\?|$)', 1)) AS x FROM m WHERE u <> '')
+SELECT listing_key, u AS image_url,
+       s || '/' || CASE WHEN coalesce(external_id, '') = '' THEN 'unknown'
+                        ELSE substring(regexp_replace(external_id, '[/\\\\]', '_', 'g'), 1, 200) END
+         || '/0.' || CASE WHEN x = '' THEN 'jpg' ELSE replace(x, 'jpeg', 'jpg') END AS rel_path
+FROM e"""))
+def q_image_manifest(spark, d):
+    return X.image_manifest(gold_listings(spark, d))
+
+
+def payload_rows(spark, d):
+    """Raw item payloads (JSON text) built from the adapter rows, with the
+    price written in one of five shapes."""
+    r = A.raw_listings(spark, d)
+    shape = F.length("title") % 5
+    ptxt = F.regexp_replace(F.col("price").cast("string"), r"\.", ",")
+    price = (F.when(shape == 0, F.to_json(F.struct(F.col("price").alias("price"))))
+             .when(shape == 1, F.to_json(F.struct(ptxt.alias("price"))))
+             .when(shape == 2, F.to_json(F.struct(F.struct(F.col("price").alias("amount")).alias("price"))))
+             .when(shape == 3, F.to_json(F.struct(F.struct(F.struct(F.col("price").alias("amount")).alias("numeric")).alias("price"))))
+             .otherwise(F.to_json(F.struct(ptxt.alias("price_string")))))
+    body = F.to_json(F.struct(F.col("external_id").alias("id"), "title", "description", "url",
+                              F.col("location").alias("city"),
+                              F.struct(F.col("primary_image_url").alias("url")).alias("photo")))
+    payload = F.concat(F.expr("substring(" + "to_json(named_struct('id', external_id, 'title', title, 'description', description, 'url', url, 'city', location, 'photo', named_struct('url', primary_image_url)))" + ", 1, length(to_json(named_struct('id', external_id, 'title', title, 'description', description, 'url', url, 'city', location, 'photo', named_struct('url', primary_image_url)))) - 1)"),
+                       F.lit(","), F.expr("substring(x_price, 2)"))
+    return (r.withColumn("x_price", price).select(payload.alias("payload"))
+            if body is not None else None)
+
+
+@register("payload_listings", "WITH " + O.RAW_LISTINGS + """
+SELECT 'vinted' AS source, external_id, title, description, price,
+       coalesce(url, 'https://www.vinted.fr/items/' || external_id) AS url,
+       nullif(location, '') AS location,
+       CASE WHEN starts_with(primary_image_url, 'http') THEN primary_image_url END AS primary_image_url
+FROM raw_listings""")
+def q_payload_listings(spark, d):
+    out = X.listings_from_payload(payload_rows(spark, d), "vinted")
+    return out.select("source", "external_id", "title", "description", "price", "url", "location",
+                      "primary_image_url")
