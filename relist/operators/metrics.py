@@ -17,7 +17,9 @@ from ..functions import classify as C
 from ..functions.clean import discount_pct, mixed_timestamp, share_pct
 from ..functions.geo import city_label
 
-_PRICE_OK = (F.col("price").isNotNull() & (F.col("price") > 0) & (F.col("price") < 500))
+
+def _price_ok():
+    return F.col("price").isNotNull() & (F.col("price") > 0) & (F.col("price") < 500)
 
 
 def _avg_under_500() -> Column:
@@ -65,7 +67,7 @@ def popular_items(listings: DataFrame, min_count: int = 2, k: int = 20) -> DataF
 
 def top_expensive(listings: DataFrame, k: int = 10) -> DataFrame:
     """Top k priced listings in the 0 < price < 500 band (ties by source, id)."""
-    return (listings.filter(_PRICE_OK)
+    return (listings.filter(_price_ok())
             .select("source", "title", "price", "url", "location",
                     F.col("external_id").alias("seller_id"))
             .orderBy(F.col("price").desc(), F.col("source"), F.col("seller_id"))
@@ -74,7 +76,7 @@ def top_expensive(listings: DataFrame, k: int = 10) -> DataFrame:
 
 def price_histogram(listings: DataFrame, bands=C.PRICE_BANDS) -> DataFrame:
     """Price bands with count, share and cumulative share (e.g. 'under 10')."""
-    ok = listings.filter(_PRICE_OK)
+    ok = listings.filter(_price_ok())
     b = C.bucketize(F.col("price"), bands)
     agg = (ok.select(b.getField("label").alias("price_range"), b.getField("ord").alias("sort_order"))
            .groupBy("price_range", "sort_order").agg(F.count(F.lit(1)).alias("cnt")))
@@ -86,7 +88,7 @@ def price_histogram(listings: DataFrame, bands=C.PRICE_BANDS) -> DataFrame:
 
 def never_worn_median(listings: DataFrame) -> DataFrame:
     """Exact (interpolated) median price by never-worn flag."""
-    return (listings.filter(_PRICE_OK).groupBy("is_never_worn")
+    return (listings.filter(_price_ok()).groupBy("is_never_worn")
             .agg(F.count(F.lit(1)).alias("cnt"),
                  F.percentile(F.col("price").cast("double"), F.lit(0.5)).alias("median_price")))
 
@@ -95,7 +97,7 @@ def never_worn_premium(listings: DataFrame, nw_default: float = 8.0, used_defaul
                        share_default: float = 17.0, premium_default: float = 60.0) -> DataFrame:
     """One row: medians, never-worn share, premium % and uplift, with the
     dashboard defaults when a side is missing."""
-    ok = listings.filter(_PRICE_OK).select(F.col("price").cast("double").alias("price"),
+    ok = listings.filter(_price_ok()).select(F.col("price").cast("double").alias("price"),
                                           F.coalesce(F.col("is_never_worn"), F.lit(False)).alias("nw"))
     row = ok.agg(
         F.percentile(F.when(F.col("nw"), F.col("price")), F.lit(0.5)).alias("nw_median_raw"),
@@ -161,7 +163,7 @@ def category_deep(listings: DataFrame, category: str | None = None, rules=C.CATE
                   default=C.CATEGORY_DEFAULT, bands=C.PRICE_BANDS) -> DataFrame:
     """Price band × source counts, optionally for one category (a column
     predicate, not string interpolation)."""
-    df = listings.filter(_PRICE_OK)
+    df = listings.filter(_price_ok())
     if category is not None:
         df = df.filter(C.category(F.col("title"), rules, default).getField("label") == F.lit(category))
     b = C.bucketize(F.col("price"), bands)
@@ -178,14 +180,14 @@ def weekly_trend(listings: DataFrame, ts_col: str = "published_at") -> DataFrame
 
 
 def bulk_stats(listings: DataFrame) -> DataFrame:
-    return (listings.filter(_PRICE_OK)
+    return (listings.filter(_price_ok())
             .groupBy(C.is_bulk(F.col("title")).alias("is_bulk"))
             .agg(F.count(F.lit(1)).alias("cnt"), F.round(F.avg("price"), 4).alias("avg_price")))
 
 
 def headline_kpis(listings: DataFrame) -> DataFrame:
     """Single row of headline numbers (one pass, partial aggregation)."""
-    ok = listings.filter(_PRICE_OK)
+    ok = listings.filter(_price_ok())
     return ok.agg(
         F.count(F.lit(1)).alias("rows"),
         F.countDistinct("source").alias("sources"),
@@ -207,7 +209,7 @@ def retail_price(category: Column, prices: dict[str, float] = C.RETAIL_PRICES,
 def category_discounts(listings: DataFrame) -> DataFrame:
     """Discount vs new retail price per category, with tier counts."""
     cat = C.category(F.col("title")).getField("label")
-    df = (listings.filter(_PRICE_OK)
+    df = (listings.filter(_price_ok())
           .select(cat.alias("category"), "price")
           .withColumn("retail_price", retail_price(F.col("category")))
           .withColumn("discount_pct", discount_pct(F.col("price"), F.col("retail_price")))
