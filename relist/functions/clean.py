@@ -66,7 +66,11 @@ def parse_rating(text: Column, default: str = "0") -> Column:
 def mixed_timestamp(c: Column) -> Column:
     """ISO text, epoch-seconds text, or a timestamp → timestamp (null if neither)."""
     s = c.cast("string")
-    return F.coalesce(s.try_cast("timestamp"), F.timestamp_seconds(s.try_cast("bigint")))
+    # 7+ digit strings can never be a timestamp literal (years stop at 6
+    # digits), so they skip the failing text parse and go straight to epoch.
+    epoch_only = s.rlike(r"^-?[0-9]{7,}$")
+    return F.when(epoch_only, F.timestamp_seconds(s.try_cast("bigint"))).otherwise(
+        F.coalesce(s.try_cast("timestamp"), F.timestamp_seconds(s.try_cast("bigint"))))
 
 
 # Run-time formats written by the count collectors.

@@ -17,14 +17,13 @@ PRODUCT_UID_PATTERNS = (r"[-_]([A-Z0-9]+C[0-9]+)(?:\?|$)", r"/([a-z0-9_-]+)_P\d"
 
 
 def external_id(source: Column, ext_id: Column, url: Column) -> Column:
-    """Keep a non-blank id, else extract it from the marketplace URL."""
+    """Keep a non-blank id, else extract it from the marketplace URL with the
+    source's pattern ('' when the source has none or nothing matches)."""
     raw = F.trim(F.coalesce(ext_id.cast("string"), F.lit("")))
-    u = F.coalesce(url, F.lit(""))
+    patterns = F.create_map(*[x for k, v in URL_ID_PATTERNS.items() for x in (F.lit(k), F.lit(v))])
+    pat = F.try_element_at(patterns, source)
     return (F.when(raw != "", raw)
-            .when((source == "leboncoin") & (u != ""), F.regexp_extract(u, URL_ID_PATTERNS["leboncoin"], 1))
-            .when(source == "vinted", F.regexp_extract(url, URL_ID_PATTERNS["vinted"], 1))
-            .when(source == "ebay", F.regexp_extract(url, URL_ID_PATTERNS["ebay"], 1))
-            .when(source == "label_emmaus", F.regexp_extract(url, URL_ID_PATTERNS["label_emmaus"], 1))
+            .when(pat.isNotNull(), F.call_function("regexp_extract", F.coalesce(url, F.lit("")), pat, F.lit(1)))
             .otherwise(raw))
 
 

@@ -47,7 +47,7 @@ def raw_listings(spark: SparkSession, d: str) -> DataFrame:
          .join(F.broadcast(na), cu.c_nationkey == na.n_nationkey))
     src = _pick(SOURCES6, F.col("l_suppkey") % 6)
     num_id = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
-    slug = F.regexp_replace(F.col("p_name"), " ", "-")
+    slug = F.translate(F.col("p_name"), " ", "-")
     url = (F.when(src == "leboncoin", F.concat(F.lit("https://www.leboncoin.fr/ad/vetements/"), num_id))
            .when(src == "vinted", F.concat(F.lit("https://www.vinted.fr/items/"), num_id, F.lit("-"), slug))
            .when(src == "ebay", F.concat(F.lit("https://www.ebay.fr/itm/"), num_id))
@@ -87,7 +87,7 @@ def listings(spark: SparkSession, d: str) -> DataFrame:
 def raw_catalog(spark: SparkSession, d: str) -> DataFrame:
     """Manual catalog export rows (CSV-like strings) – one per part."""
     pa = table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
-    slug = F.regexp_replace(F.col("p_name"), " ", "-")
+    slug = F.translate(F.col("p_name"), " ", "-")
     base = F.lit("https://www.kiabi.com/")
     k = (F.col("p_partkey") % 500).cast("string")
     link = (F.when(F.col("p_partkey") % 10 == 0, F.concat(base, slug, F.lit(".html")))
