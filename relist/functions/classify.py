@@ -97,7 +97,7 @@ def classify(text: Column, rules: Sequence[tuple[str, str]], default: str) -> Co
     """
     expr = None
     for i, (label, pattern) in enumerate(rules, start=1):
-        cond = F.coalesce(text.rlike(pattern), F.lit(False))
+        cond = F.coalesce(rlike_fast(text, pattern), F.lit(False))
         expr = F.when(cond, _label(i, label)) if expr is None else expr.when(cond, _label(i, label))
     dflt = _label(len(rules) + 1, default)
     return dflt if expr is None else expr.otherwise(dflt)
@@ -139,12 +139,108 @@ def condition(title: Column, description: Column, rules=CONDITION_RULES,
 
 
 def never_worn(title: Column, description: Column, pattern: str = NEVER_WORN_PATTERN) -> Column:
-    return F.coalesce(combined_text(title, description).rlike(pattern), F.lit(False))
+    return F.coalesce(rlike_fast(combined_text(title, description), pattern), F.lit(False))
 
 
 def is_bulk(title: Column, pattern: str = BULK_PATTERN) -> Column:
-    return F.coalesce(F.lower(title).rlike(pattern), F.lit(False))
+    return F.coalesce(rlike_fast(F.lower(title), pattern), F.lit(False))
 
 
 def discount_tier(pct: Column) -> Column:
     return F.when(pct > 50, F.lit("high")).when(pct > 25, F.lit("medium")).otherwise(F.lit("low"))
+
+
+_META = set(".^$*+?{}[]()|\\")
+
+
+def _alternatives(pattern: str) -> list[str] | None:
+    """Top-level alternatives of ``pattern`` (one enclosing group and a
+    leading inline-flag group are unwrapped); None if it cannot be split."""
+    p = pattern
+    if p.startswith("(?i)"):
+        p = p[4:]
+    if p.startswith("(") and p.endswith(")") and not p.startswith("(?"):
+        depth = 0
+        for i, ch in enumerate(p):
+            depth += ch == "("
+            depth -= ch == ")"
+            if depth == 0 and i < len(p) - 1:
+                break
+        else:
+            p = p[1:-1]
+    alts, depth, cls, cur, i = [], 0, False, "", 0
+    while i < len(p):
+        ch = p[i]
+        if ch == "\\":
+            cur += p[i:i + 2]
+            i += 2
+            continue
+        if cls:
+            cls = ch != "]"
+        elif ch == "[":
+            cls = True
+        elif ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+        elif ch == "|" and depth == 0:
+            alts.append(cur)
+            cur = ""
+            i += 1
+            continue
+        cur += ch
+        i += 1
+    alts.append(cur)
+    return None if depth or cls else alts
+
+
+def _longest_literal(alt: str) -> str:
+    """Longest run of characters the alternative must match literally."""
+    best, run, i = "", "", 0
+    while i < len(alt):
+        ch = alt[i]
+        if ch in "*?{":              # the previous character is optional
+            run = run[:-1]
+            best, run = max(best, run, key=len), ""
+        elif ch == "+":              # previous character required, run ends
+            best, run = max(best, run, key=len), ""
+        elif ch == "\\" or ch in _META:
+            best, run = max(best, run, key=len), ""
+            if ch == "\\":
+                i += 1
+            elif ch == "[":
+                while i < len(alt) and alt[i] != "]":
+                    i += 1
+            elif ch == "(":
+                return max(best, key=len) if best else ""   # nested groups: stop here
+        else:
+            run += ch
+        i += 1
+    return max(best, run, key=len)
+
+
+def required_literals(pattern: str) -> list[str] | None:
+    """For an alternation of mostly literal words, one substring per
+    alternative that any match must contain (None when some alternative has
+    no literal part).  Used only as a cheap necessary pre-check."""
+    alts = _alternatives(pattern)
+    if not alts:
+        return None
+    lits = [_longest_literal(a).lower() for a in alts]
+    return None if any(len(x) < 2 for x in lits) else sorted(set(lits))
+
+
+def rlike_fast(text: Column, pattern: str) -> Column:
+    """``text rlike pattern`` with a substring pre-check: the regex runs only
+    on rows whose lower-cased text contains one of the literals every match
+    needs, so rows no alternative could match cost a few ``contains`` calls.
+    Same result as the plain ``rlike``."""
+    lits = required_literals(pattern)
+    if not lits:
+        return text.rlike(pattern)
+    low = F.lower(text)
+    pre = None
+    for lit in lits:
+        c = low.contains(lit)
+        pre = c if pre is None else (pre | c)
+    return pre & text.rlike(pattern)

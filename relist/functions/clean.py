@@ -69,8 +69,9 @@ def mixed_timestamp(c: Column) -> Column:
     # 7+ digit strings can never be a timestamp literal (years stop at 6
     # digits), so they skip the failing text parse and go straight to epoch.
     epoch_only = s.rlike(r"^-?[0-9]{7,}$")
-    return F.when(epoch_only, F.timestamp_seconds(s.try_cast("bigint"))).otherwise(
-        F.coalesce(s.try_cast("timestamp"), F.timestamp_seconds(s.try_cast("bigint"))))
+    return (F.when(F.length(s) == 0, F.lit(None).cast("timestamp"))
+            .when(epoch_only, F.timestamp_seconds(s.try_cast("bigint")))
+            .otherwise(F.coalesce(s.try_cast("timestamp"), F.timestamp_seconds(s.try_cast("bigint")))))
 
 
 # Run-time formats written by the count collectors.

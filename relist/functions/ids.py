@@ -18,13 +18,14 @@ PRODUCT_UID_PATTERNS = (r"[-_]([A-Z0-9]+C[0-9]+)(?:\?|$)", r"/([a-z0-9_-]+)_P\d"
 
 def external_id(source: Column, ext_id: Column, url: Column) -> Column:
     """Keep a non-blank id, else extract it from the marketplace URL with the
-    source's pattern ('' when the source has none or nothing matches)."""
+    source's pattern ('' when nothing matches; the raw value for sources
+    without a pattern).  One literal pattern per branch, compiled once."""
     raw = F.trim(F.coalesce(ext_id.cast("string"), F.lit("")))
-    patterns = F.create_map(*[x for k, v in URL_ID_PATTERNS.items() for x in (F.lit(k), F.lit(v))])
-    pat = F.try_element_at(patterns, source)
-    return (F.when(raw != "", raw)
-            .when(pat.isNotNull(), F.call_function("regexp_extract", F.coalesce(url, F.lit("")), pat, F.lit(1)))
-            .otherwise(raw))
+    u = F.coalesce(url, F.lit(""))
+    out = F.when(raw != "", raw)
+    for src, pat in URL_ID_PATTERNS.items():
+        out = out.when(source == src, F.regexp_extract(u, pat, 1))
+    return out.otherwise(raw)
 
 
 def manual_external_id(source: Column, sku: Column, url: Column) -> Column:

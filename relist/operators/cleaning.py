@@ -49,7 +49,7 @@ def clean_listings(raw: DataFrame, sources=C.LISTING_SOURCES) -> DataFrame:
                 clean_string(_col_or_null(raw, "primary_image_url")).alias("primary_image_url"),
                 C.never_worn(title, desc).alias("is_never_worn"),
                 seen.alias("seen_at"))
-            .filter(F.col("external_id").isNotNull() & (F.trim(F.col("external_id")) != "")))
+            .filter(F.length(F.trim(F.col("external_id"))) > 0))   # null or blank id → dropped
 
 
 def clean_manual_listings(raw: DataFrame, sources=C.MANUAL_SOURCES) -> DataFrame:

@@ -47,7 +47,10 @@ def raw_listings(spark: SparkSession, d: str) -> DataFrame:
          .join(F.broadcast(na), cu.c_nationkey == na.n_nationkey))
     src = _pick(SOURCES6, F.col("l_suppkey") % 6)
     num_id = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
-    slug = F.translate(F.col("p_name"), " ", "-")
+    # URL slug from the line's own part key: the URL (and the id derived
+    # from it) depends on lineitem columns only, so the id filter of the
+    # cleaning step is evaluated right after the lineitem scan
+    slug = F.concat(F.lit("article-"), F.col("l_partkey").cast("string"))
     url = (F.when(src == "leboncoin", F.concat(F.lit("https://www.leboncoin.fr/ad/vetements/"), num_id))
            .when(src == "vinted", F.concat(F.lit("https://www.vinted.fr/items/"), num_id, F.lit("-"), slug))
            .when(src == "ebay", F.concat(F.lit("https://www.ebay.fr/itm/"), num_id))

@@ -53,7 +53,7 @@ raw_j AS (
   SELECT l.*, p.p_name, p.p_type, o.o_custkey, o.o_orderdate, n.n_name,
          {lst(SOURCES6)}[l_suppkey % 6 + 1] AS src,
          CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS num_id,
-         replace(p.p_name, ' ', '-') AS slug
+         'article-' || CAST(l.l_partkey AS VARCHAR) AS slug
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
        JOIN orders o ON l.l_orderkey = o.o_orderkey
        JOIN customer c ON o.o_custkey = c.c_custkey

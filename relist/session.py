@@ -31,8 +31,12 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings the operators rely on (UTC timestamps)."""
+    """Session settings the operators rely on: UTC timestamps, and a
+    whole-stage codegen method limit of 8000 bytecodes – the JVM does not
+    JIT-compile larger methods, so a wide cleaning stage (many regex rules)
+    is better run as expression-level codegen than interpreted."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
