@@ -23,7 +23,7 @@ def _grams(text: Column, n: int = GRAM) -> Column:
 
 def contains_join(left: DataFrame, left_key: str, left_text: str,
                   right: DataFrame, right_key: str, right_pattern: str,
-                  max_short_patterns: int = 10_000) -> DataFrame:
+                  max_short_patterns: int = 10_000, max_broadcast_patterns: int = 200_000) -> DataFrame:
     """Inner join of every left row whose ``left_text`` contains the right
     row's ``right_pattern`` (case-sensitive substring), exactly as
     ``left.join(right, contains(left_text, right_pattern))`` – without the
@@ -38,6 +38,13 @@ def contains_join(left: DataFrame, left_key: str, left_text: str,
     broadcast loop after a size check.  Null/empty patterns never match (an
     empty pattern would otherwise match everything).
 
+    Physical shape: when the keyed pattern side is within
+    ``max_broadcast_patterns`` rows (checked), it is broadcast and the left
+    rows are probed in one map-side stage (no shuffle of the left side).
+    Otherwise only (left key, trigram) pairs are shuffled to the join and the
+    candidates are joined back to the left rows for verification, so long
+    texts are never replicated per trigram.
+
     ``left_key`` / ``right_key`` must be unique per row; all columns of both
     sides are returned (right-side names must not clash with left ones).
     """
@@ -53,11 +60,15 @@ def contains_join(left: DataFrame, left_key: str, left_text: str,
             .agg(F.min_by("_g", F.struct("_n", "_pos")).alias("_g")))
     keyed = long_r.join(keys, right_key)
 
-    # left side: (key, trigram) pairs, text itself is not replicated
-    lg = left.select(left_key, F.explode(_grams(F.col(left_text))).alias("_g"))
-    cand = lg.join(keyed, "_g").drop("_g")
-    out_long = (cand.join(left, left_key)
-                .filter(F.col(left_text).contains(F.col(right_pattern))))
+    if bounded(keyed, max_broadcast_patterns):
+        lg = left.select("*", F.explode(_grams(F.col(left_text))).alias("_g"))
+        out_long = (lg.join(F.broadcast(keyed), "_g").drop("_g")
+                    .filter(F.col(left_text).contains(F.col(right_pattern))))
+    else:
+        lg = left.select(left_key, F.explode(_grams(F.col(left_text))).alias("_g"))
+        cand = lg.join(keyed, "_g").drop("_g")
+        out_long = (cand.join(left, left_key)
+                    .filter(F.col(left_text).contains(F.col(right_pattern))))
 
     short_r = r.filter(F.length(pat) < GRAM)
     short_side = F.broadcast(short_r) if bounded(short_r, max_short_patterns) else short_r

@@ -34,6 +34,13 @@ def _total(df: DataFrame) -> Column:
     return df.select(F.count(F.lit(1))).scalar()
 
 
+def _sum_of(agg: DataFrame, col: str) -> Column:
+    """Grand total from an aggregate whose groups partition the input: the
+    scalar subquery re-uses the aggregate's shuffle instead of re-reading
+    the input."""
+    return agg.select(F.sum(col)).scalar()
+
+
 def category_stats(listings: DataFrame, rules=C.CATEGORY_RULES,
                    default=C.CATEGORY_DEFAULT) -> DataFrame:
     """Per category: listings, avg price (< 500), never-worn count."""
@@ -51,7 +58,7 @@ def source_stats(listings: DataFrame) -> DataFrame:
            .agg(F.count(F.lit(1)).alias("total"), _avg_under_500().alias("avg_price"),
                 _never_worn_sum().alias("never_worn")))
     return (agg
-            .withColumn("share_pct", share_pct(F.col("total"), F.lit(_total(listings))))
+            .withColumn("share_pct", share_pct(F.col("total"), F.lit(_sum_of(agg, "total"))))
             .withColumn("never_worn_pct", share_pct(F.col("never_worn"), F.col("total"))))
 
 
@@ -80,7 +87,7 @@ def price_histogram(listings: DataFrame, bands=C.PRICE_BANDS) -> DataFrame:
     b = C.bucketize(F.col("price"), bands)
     agg = (ok.select(b.getField("label").alias("price_range"), b.getField("ord").alias("sort_order"))
            .groupBy("price_range", "sort_order").agg(F.count(F.lit(1)).alias("cnt")))
-    total = F.lit(_total(ok))
+    total = F.lit(_sum_of(agg, "cnt"))
     running = Window.orderBy("sort_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (agg.withColumn("pct", share_pct(F.col("cnt"), total))
                .withColumn("cum_pct", share_pct(F.sum("cnt").over(running), total)))
@@ -118,10 +125,10 @@ def top_cities(listings: DataFrame, k: int = 12) -> DataFrame:
     """Top k city labels among located, priced listings, with share of all of them."""
     located = listings.filter(F.col("location").isNotNull() & (F.trim(F.col("location")) != "")
                               & F.col("price").isNotNull() & (F.col("price") > 0))
-    agg = (located.groupBy(city_label(F.col("location")).alias("city"))
-           .agg(F.count(F.lit(1)).alias("cnt"))
-           .orderBy(F.col("cnt").desc(), F.col("city")).limit(k))
-    return agg.withColumn("share_pct", share_pct(F.col("cnt"), F.lit(_total(located))))
+    per_city = (located.groupBy(city_label(F.col("location")).alias("city"))
+                .agg(F.count(F.lit(1)).alias("cnt")))
+    top = per_city.orderBy(F.col("cnt").desc(), F.col("city")).limit(k)
+    return top.withColumn("share_pct", share_pct(F.col("cnt"), F.lit(_sum_of(per_city, "cnt"))))
 
 
 def age_histogram(listings: DataFrame, as_of, bands=C.AGE_BANDS) -> DataFrame:
@@ -132,7 +139,7 @@ def age_histogram(listings: DataFrame, as_of, bands=C.AGE_BANDS) -> DataFrame:
     b = C.bucketize(days, bands, inclusive=True)
     agg = (src.select(b.getField("label").alias("age_bucket"), b.getField("ord").alias("sort_order"))
            .groupBy("age_bucket", "sort_order").agg(F.count(F.lit(1)).alias("cnt")))
-    return agg.withColumn("pct", share_pct(F.col("cnt"), F.lit(_total(src))))
+    return agg.withColumn("pct", share_pct(F.col("cnt"), F.lit(_sum_of(agg, "cnt"))))
 
 
 def seller_profiles(listings: DataFrame, bands=C.SELLER_BANDS) -> DataFrame:
@@ -146,7 +153,7 @@ def seller_profiles(listings: DataFrame, bands=C.SELLER_BANDS) -> DataFrame:
            .groupBy("profile", "sort_order")
            .agg(F.count(F.lit(1)).alias("seller_count"),
                 F.round(F.avg("listing_count"), 1).alias("avg_listings")))
-    return agg.withColumn("seller_pct", share_pct(F.col("seller_count"), F.lit(_total(sellers))))
+    return agg.withColumn("seller_pct", share_pct(F.col("seller_count"), F.lit(_sum_of(agg, "seller_count"))))
 
 
 def condition_histogram(listings: DataFrame, rules=C.CONDITION_RULES,
@@ -156,7 +163,7 @@ def condition_histogram(listings: DataFrame, rules=C.CONDITION_RULES,
                            c.getField("ord").alias("sort_order"), "price")
            .groupBy("condition_label", "sort_order")
            .agg(F.count(F.lit(1)).alias("cnt"), _avg_under_500().alias("avg_price")))
-    return agg.withColumn("pct", share_pct(F.col("cnt"), F.lit(_total(listings))))
+    return agg.withColumn("pct", share_pct(F.col("cnt"), F.lit(_sum_of(agg, "cnt"))))
 
 
 def category_deep(listings: DataFrame, category: str | None = None, rules=C.CATEGORY_RULES,

@@ -688,19 +688,20 @@ def payload_rows(spark, d):
     price written in one of five shapes."""
     r = A.raw_listings(spark, d)
     shape = F.length("title") % 5
-    ptxt = F.regexp_replace(F.col("price").cast("string"), r"\.", ",")
+    ptxt = F.translate(F.col("price").cast("string"), ".", ",")
     price = (F.when(shape == 0, F.to_json(F.struct(F.col("price").alias("price"))))
              .when(shape == 1, F.to_json(F.struct(ptxt.alias("price"))))
              .when(shape == 2, F.to_json(F.struct(F.struct(F.col("price").alias("amount")).alias("price"))))
-             .when(shape == 3, F.to_json(F.struct(F.struct(F.struct(F.col("price").alias("amount")).alias("numeric")).alias("price"))))
+             .when(shape == 3, F.to_json(F.struct(F.struct(F.struct(F.col("price").alias("amount"))
+                                                           .alias("numeric")).alias("price"))))
              .otherwise(F.to_json(F.struct(ptxt.alias("price_string")))))
     body = F.to_json(F.struct(F.col("external_id").alias("id"), "title", "description", "url",
                               F.col("location").alias("city"),
                               F.struct(F.col("primary_image_url").alias("url")).alias("photo")))
-    payload = F.concat(F.expr("substring(" + "to_json(named_struct('id', external_id, 'title', title, 'description', description, 'url', url, 'city', location, 'photo', named_struct('url', primary_image_url)))" + ", 1, length(to_json(named_struct('id', external_id, 'title', title, 'description', description, 'url', url, 'city', location, 'photo', named_struct('url', primary_image_url)))) - 1)"),
-                       F.lit(","), F.expr("substring(x_price, 2)"))
-    return (r.withColumn("x_price", price).select(payload.alias("payload"))
-            if body is not None else None)
+    # splice the two objects: '{...body...' + ',' + '...price...}'
+    return (r.select(body.alias("_b"), price.alias("_p"))
+            .select(F.concat(F.expr("substring(_b, 1, length(_b) - 1)"), F.lit(","),
+                             F.expr("substring(_p, 2)")).alias("payload")))
 
 
 @register("payload_listings", "WITH " + O.RAW_LISTINGS + """
