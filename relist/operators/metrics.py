@@ -35,12 +35,18 @@ def _total(df: DataFrame) -> Column:
 
 
 def _sum_of(agg: DataFrame, col: str) -> Column:
-    """Grand total from an aggregate whose groups partition the input: the
-    scalar subquery re-uses the aggregate's shuffle instead of re-reading
-    the input."""
+    """Grand total from an aggregate whose groups partition the input, as a
+    scalar subquery over the aggregate (for results with many groups)."""
     return agg.select(F.sum(col)).scalar()
 
 
+def _band_total(col: str) -> Column:
+    """Grand total over an aggregated result with a small, fixed number of
+    groups (bands, labels, allow-listed sources): a window over those few
+    rows, no second pass over the input."""
+    return F.sum(col).over(Window.partitionBy())
+
+
 def category_stats(listings: DataFrame, rules=C.CATEGORY_RULES,
                    default=C.CATEGORY_DEFAULT) -> DataFrame:
     """Per category: listings, avg price (< 500), never-worn count."""
@@ -58,7 +64,7 @@ def source_stats(listings: DataFrame) -> DataFrame:
            .agg(F.count(F.lit(1)).alias("total"), _avg_under_500().alias("avg_price"),
                 _never_worn_sum().alias("never_worn")))
     return (agg
-            .withColumn("share_pct", share_pct(F.col("total"), F.lit(_sum_of(agg, "total"))))
+            .withColumn("share_pct", share_pct(F.col("total"), _band_total("total")))
             .withColumn("never_worn_pct", share_pct(F.col("never_worn"), F.col("total"))))
 
 
@@ -87,7 +93,7 @@ def price_histogram(listings: DataFrame, bands=C.PRICE_BANDS) -> DataFrame:
     b = C.bucketize(F.col("price"), bands)
     agg = (ok.select(b.getField("label").alias("price_range"), b.getField("ord").alias("sort_order"))
            .groupBy("price_range", "sort_order").agg(F.count(F.lit(1)).alias("cnt")))
-    total = F.lit(_sum_of(agg, "cnt"))
+    total = _band_total("cnt")
     running = Window.orderBy("sort_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (agg.withColumn("pct", share_pct(F.col("cnt"), total))
                .withColumn("cum_pct", share_pct(F.sum("cnt").over(running), total)))
@@ -139,7 +145,7 @@ def age_histogram(listings: DataFrame, as_of, bands=C.AGE_BANDS) -> DataFrame:
     b = C.bucketize(days, bands, inclusive=True)
     agg = (src.select(b.getField("label").alias("age_bucket"), b.getField("ord").alias("sort_order"))
            .groupBy("age_bucket", "sort_order").agg(F.count(F.lit(1)).alias("cnt")))
-    return agg.withColumn("pct", share_pct(F.col("cnt"), F.lit(_sum_of(agg, "cnt"))))
+    return agg.withColumn("pct", share_pct(F.col("cnt"), _band_total("cnt")))
 
 
 def seller_profiles(listings: DataFrame, bands=C.SELLER_BANDS) -> DataFrame:
@@ -153,7 +159,7 @@ def seller_profiles(listings: DataFrame, bands=C.SELLER_BANDS) -> DataFrame:
            .groupBy("profile", "sort_order")
            .agg(F.count(F.lit(1)).alias("seller_count"),
                 F.round(F.avg("listing_count"), 1).alias("avg_listings")))
-    return agg.withColumn("seller_pct", share_pct(F.col("seller_count"), F.lit(_sum_of(agg, "seller_count"))))
+    return agg.withColumn("seller_pct", share_pct(F.col("seller_count"), _band_total("seller_count")))
 
 
 def condition_histogram(listings: DataFrame, rules=C.CONDITION_RULES,
@@ -163,7 +169,7 @@ def condition_histogram(listings: DataFrame, rules=C.CONDITION_RULES,
                            c.getField("ord").alias("sort_order"), "price")
            .groupBy("condition_label", "sort_order")
            .agg(F.count(F.lit(1)).alias("cnt"), _avg_under_500().alias("avg_price")))
-    return agg.withColumn("pct", share_pct(F.col("cnt"), F.lit(_sum_of(agg, "cnt"))))
+    return agg.withColumn("pct", share_pct(F.col("cnt"), _band_total("cnt")))
 
 
 def category_deep(listings: DataFrame, category: str | None = None, rules=C.CATEGORY_RULES,
