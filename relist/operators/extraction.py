@@ -250,3 +250,49 @@ def listings_from_payload(raw: DataFrame, source: str, payload: str = "payload",
         F.lit(None).cast("double").alias("longitude"), it.getField("created_at").alias("published_at"),
         (scraped_at if scraped_at is not None else F.current_timestamp().cast("string")).alias("scraped_at"),
         payload_photo(it).alias("primary_image_url"))
+
+
+# Catalogue pages: product items embedded in the page's __NEXT_DATA__ JSON.
+ITEMS_SCHEMA = (
+    "props struct<pageProps: struct<queryProductResponse: struct<category: struct<"
+    "items: array<struct<productCode: string, productUidpk: string, productLabel: string, "
+    "colorLabel: string, productUrl: string, rate: string, "
+    "display: struct<price: struct<salePrice: double, listPrice: double, currency: string>, "
+    "images: struct<productImagesSource: array<string>>, totalReviewCount: bigint>, "
+    "seo: struct<breadcrumbs: array<struct<label: string>>>>>, totalPages: int>>>>")
+# Site and static-image prefixes of the catalogue.
+SITE_BASE = "https://www.kiabi.com"
+STATIC_IMAGE_BASE = "https://static.kiabi.com"
+
+
+def catalog_from_pages(pages: DataFrame, universe: str, universe_key: str, scraped_at: Column,
+                       key: str = "page_id", html: str = "html") -> DataFrame:
+    """Product rows from catalogue pages: items of
+    props.pageProps.queryProductResponse.category; category = second-to-last
+    breadcrumb; image and product URLs prefixed with the site bases."""
+    doc = F.from_json(embedded_json(F.col(html)), ITEMS_SCHEMA)
+    items = doc.getField("props").getField("pageProps").getField("queryProductResponse") \
+        .getField("category").getField("items")
+    it = F.col("_it")
+    disp, price = it.getField("display"), it.getField("display").getField("price")
+    crumbs = it.getField("seo").getField("breadcrumbs")
+    imgs = disp.getField("images").getField("productImagesSource")
+    raw_url = F.coalesce(it.getField("productUrl"), F.lit(""))
+    return (pages.select(key, F.posexplode(items).alias("item_pos", "_it"))
+            .select(key, "item_pos",
+                    it.getField("productCode").alias("product_code"),
+                    F.coalesce(it.getField("productUidpk"), F.lit("")).alias("product_uid"),
+                    it.getField("productLabel").alias("title"),
+                    F.lit(universe).alias("universe"), F.lit(universe_key).alias("universe_key"),
+                    F.when(F.size(crumbs) >= 2, F.element_at(crumbs, -2).getField("label")).alias("category"),
+                    it.getField("colorLabel").alias("color"),
+                    price.getField("salePrice").alias("price"), price.getField("listPrice").alias("list_price"),
+                    F.coalesce(F.nullif(price.getField("currency"), F.lit("")), F.lit("EUR")).alias("currency"),
+                    F.concat(F.lit(SITE_BASE), F.when(raw_url.startswith("/"), F.lit("")).otherwise(F.lit("/")),
+                             raw_url).alias("product_url"),
+                    F.when(F.size(imgs) > 0, F.concat(F.lit(STATIC_IMAGE_BASE), F.element_at(imgs, 1)))
+                     .alias("primary_image_url"),
+                    it.getField("rate").alias("rating"),
+                    F.coalesce(F.nullif(disp.getField("totalReviewCount"), F.lit(0)), F.lit(0)).cast("bigint")
+                     .alias("total_reviews"),
+                    scraped_at.alias("scraped_at")))

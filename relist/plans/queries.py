@@ -569,6 +569,52 @@ def q_label_topk(spark, d):
 from ..operators import extraction as X  # noqa: E402
 
 
+def _item_parts(k: int):
+    """One catalogue item as JSON text: literal pieces and page-id terms
+    (shared by the Spark builder and its SQL twin)."""
+    first = k == 1
+    return [
+        '{"productCode":"PC', ("id",), f'-{k}","productUidpk":', ("id10", k), ',"productLabel":"Robe ',
+        ("id",), '","colorLabel":"rouge","productUrl":"' + ("/" if first else "") + "robe-", ("id",), "_P",
+        ("id",), f'C{k}","rate":"4.{k}","display":{{"price":{{"salePrice":', ("mod", 30), '.99,"listPrice":',
+        ("mod5", 30), ".99" + (',"currency":"EUR"' if not first else "") + '},"images":{"productImagesSource":[',
+        *((['"/img/', ("id",), '.jpg"']) if first else []), ']},"totalReviewCount":',
+        *(([("mod", 7)]) if first else ["null"]), '},"seo":{"breadcrumbs":[{"label":"Accueil"}',
+        *(([',{"label":"Robes"},{"label":"Robe ', ("id",), '"}']) if first else []), "]}}"]
+
+
+def _item_json(pid, k):
+    cols = []
+    for p in _item_parts(k):
+        if isinstance(p, str):
+            cols.append(F.lit(p))
+        elif p[0] == "id":
+            cols.append(pid.cast("string"))
+        elif p[0] == "id10":
+            cols.append((pid * 10 + p[1]).cast("string"))
+        elif p[0] == "mod":
+            cols.append((pid % p[1]).cast("string"))
+        else:
+            cols.append((pid % p[1] + 5).cast("string"))
+    return F.concat(*cols)
+
+
+def _item_sql(k):
+    out = []
+    for p in _item_parts(k):
+        if isinstance(p, str):
+            out.append(O.q(p))
+        elif p[0] == "id":
+            out.append("CAST(page_id AS VARCHAR)")
+        elif p[0] == "id10":
+            out.append(f"CAST(page_id * 10 + {p[1]} AS VARCHAR)")
+        elif p[0] == "mod":
+            out.append(f"CAST(page_id % {p[1]} AS VARCHAR)")
+        else:
+            out.append(f"CAST(page_id % {p[1]} + 5 AS VARCHAR)")
+    return " || ".join(out)
+
+
 def augmented_pages(spark, d):
     """Pages with a product card, a count snippet and a count span appended
     (built from each page's own id; the generated pages carry no prices)."""
@@ -585,7 +631,9 @@ def augmented_pages(spark, d):
                     F.lpad((pid * 37 % 1000).cast("string"), 3, "0"), F.lit('"}</span>'))
     nd = F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":{"q":[{"a":1},'
                         '{"meta":{"totalCount":'), (pid % 4 * 11).cast("string"), F.lit('}}],"total":'),
-                  (pid + 1).cast("string"), F.lit("}}}</script>"))
+                  (pid + 1).cast("string"), F.lit(',"queryProductResponse":{"category":{"items":['),
+                  _item_json(pid, 1), F.lit(","), _item_json(pid, 2), F.lit('],"totalPages":1}}'),
+                  F.lit("}}}</script>"))
     return pg.select("page_id", "url", F.concat(F.col("html"), card, snippet, span, nd).alias("html"))
 
 
@@ -598,7 +646,9 @@ aug AS (
             WHEN page_id % 3 = 1 THEN '<p>' || CAST(page_id * 3 AS VARCHAR) || ' résultats</p>' ELSE '' END
     || '<span>{"text": "' || CAST(page_id % 9 + 1 AS VARCHAR) || chr(160) || lpad(CAST(page_id * 37 % 1000 AS VARCHAR), 3, '0') || '"}</span>'
     || '<script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":{"q":[{"a":1},{"meta":{"totalCount":'
-    || CAST(page_id % 4 * 11 AS VARCHAR) || '}}],"total":' || CAST(page_id + 1 AS VARCHAR) || '}}}</script>' AS html
+    || CAST(page_id % 4 * 11 AS VARCHAR) || '}}],"total":' || CAST(page_id + 1 AS VARCHAR)
+    || ',"queryProductResponse":{"category":{"items":[' || """ + _item_sql(1) + """ || ',' || """ + _item_sql(2) + """
+    || '],"totalPages":1}}' || '}}}</script>' AS html
   FROM pages)"""
 
 _HREF = "trim(regexp_extract(p, '^[^>]*?href=\"([^\"]*)\"', 1))"
@@ -714,3 +764,34 @@ def q_payload_listings(spark, d):
     out = X.listings_from_payload(payload_rows(spark, d), "vinted")
     return out.select("source", "external_id", "title", "description", "price", "url", "location",
                       "primary_image_url")
+
+
+_ITEMS = "'$.props.pageProps.queryProductResponse.category.items'"
+
+
+@register("catalog_from_pages", "WITH " + AUG_PAGES + f"""
+, j AS (SELECT page_id, regexp_extract(html, '(?s)<script[^>]+id=["'']__NEXT_DATA__["''][^>]*>(.*?)</script>', 1) AS js FROM aug),
+  it AS (SELECT page_id, js, unnest(range(0, CAST(coalesce(json_array_length(js, {_ITEMS}), 0) AS BIGINT))) AS item_pos FROM j),
+  x AS (SELECT page_id, item_pos, json_extract(js, '$.props.pageProps.queryProductResponse.category.items[' || item_pos || ']') AS o FROM it)
+SELECT page_id, CAST(item_pos AS INTEGER) AS item_pos,
+  json_extract_string(o, '$.productCode') AS product_code,
+  coalesce(json_extract_string(o, '$.productUidpk'), '') AS product_uid,
+  json_extract_string(o, '$.productLabel') AS title,
+  'bebe' AS universe, 'bebe' AS universe_key,
+  CASE WHEN json_array_length(o, '$.seo.breadcrumbs') >= 2
+       THEN json_extract_string(o, '$.seo.breadcrumbs[' || (json_array_length(o, '$.seo.breadcrumbs') - 2) || '].label') END AS category,
+  json_extract_string(o, '$.colorLabel') AS color,
+  TRY_CAST(json_extract_string(o, '$.display.price.salePrice') AS DOUBLE) AS price,
+  TRY_CAST(json_extract_string(o, '$.display.price.listPrice') AS DOUBLE) AS list_price,
+  coalesce(nullif(json_extract_string(o, '$.display.price.currency'), ''), 'EUR') AS currency,
+  '{X.SITE_BASE}' || CASE WHEN starts_with(coalesce(json_extract_string(o, '$.productUrl'), ''), '/') THEN '' ELSE '/' END
+    || coalesce(json_extract_string(o, '$.productUrl'), '') AS product_url,
+  CASE WHEN json_array_length(o, '$.display.images.productImagesSource') > 0
+       THEN '{X.STATIC_IMAGE_BASE}' || json_extract_string(o, '$.display.images.productImagesSource[0]') END AS primary_image_url,
+  json_extract_string(o, '$.rate') AS rating,
+  CAST(coalesce(nullif(TRY_CAST(json_extract_string(o, '$.display.totalReviewCount') AS BIGINT), 0), 0) AS BIGINT) AS total_reviews,
+  TIMESTAMP '2024-06-01 00:00:00' AS scraped_at
+FROM x""")
+def q_catalog_from_pages(spark, d):
+    return X.catalog_from_pages(augmented_pages(spark, d), "bebe", "bebe",
+                                F.lit("2024-06-01 00:00:00").cast("timestamp"))
