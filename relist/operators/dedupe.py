@@ -1,6 +1,6 @@
 """Deduplication and latest-per-key operators.
 
-All are hash aggregations or ranked windows on the key, so a hot key is
+All are partial (map-side) aggregations or ranked windows on the key, so a hot key is
 first reduced map-side (partial aggregate / partial window group limit)
 before the shuffle: a key holding a third of the rows costs one row per map
 task on the wire.
@@ -42,10 +42,12 @@ def dedupe_listings(listings: DataFrame, seen_col: str = "seen_at",
     and the attributes of the latest observation."""
     attrs = [a for a in attrs if a in listings.columns]
     latest = latest_struct([F.col(seen_col).alias("_seen")], attrs).alias("_latest")
-    agg = (listings.withColumn("listing_key", listing_key(F.col("source"), F.col("external_id")))
-           .groupBy("listing_key", "source", "external_id")
+    # the key is a function of (source, external_id): group on those two
+    # and derive it after the shuffle (narrower sort/shuffle keys)
+    agg = (listings.groupBy("source", "external_id")
            .agg(F.min(seen_col).alias("first_seen_at"), F.max(seen_col).alias("last_seen_at"), latest))
-    return agg.select("listing_key", "source", "external_id", "first_seen_at", "last_seen_at",
+    return agg.select(listing_key(F.col("source"), F.col("external_id")).alias("listing_key"),
+                      "source", "external_id", "first_seen_at", "last_seen_at",
                       *[F.col("_latest").getField(a).alias(a) for a in attrs])
 
 
