@@ -795,3 +795,25 @@ FROM x""")
 def q_catalog_from_pages(spark, d):
     return X.catalog_from_pages(augmented_pages(spark, d), "bebe", "bebe",
                                 F.lit("2024-06-01 00:00:00").cast("timestamp"))
+
+
+@register("vector_label_match", """
+WITH c AS (
+  SELECT label AS cid, list(v ORDER BY pos) AS vec FROM (
+    SELECT label, pos, avg(CAST(x AS DOUBLE)) AS v FROM (
+      SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings)
+    GROUP BY label, pos) GROUP BY label),
+s AS (SELECT e.vec_id AS qid, c.cid,
+             list_dot_product(c.vec, CAST(e.embedding AS DOUBLE[])) /
+             (sqrt(list_dot_product(c.vec, c.vec)) * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))) AS s
+      FROM embeddings e, c),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s DESC NULLS LAST, cid) AS rank FROM s)
+SELECT qid, rank, cid, round(s, 4) AS score FROM r WHERE rank <= 3""")
+def q_vector_label_match(spark, d):
+    """Every vector matched to its 3 closest label centroids (the batch
+    match job: many queries, a small catalog)."""
+    emb = A.table(spark, d, "embeddings")
+    cents = V.centroids(emb, "label", "embedding").select(F.col("label").alias("cid"),
+                                                           F.col("embedding").alias("vec"))
+    queries = emb.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))
+    return V.match_to_corpus(queries, cents, k=3)
