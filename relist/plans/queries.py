@@ -817,3 +817,31 @@ def q_vector_label_match(spark, d):
                                                            F.col("embedding").alias("vec"))
     queries = emb.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))
     return V.match_to_corpus(queries, cents, k=3)
+
+
+@register("reply_search_text", """
+SELECT conv_id, turn, trim(text) AS search_text
+FROM conversations WHERE role = 'assistant'""")
+def q_reply_search_text(spark, d):
+    """Model replies → structured attributes → search text (JSON replies
+    parsed; free text kept as the search text)."""
+    cv = A.table(spark, d, "conversations").filter(F.col("role") == "assistant")
+    return cv.select("conv_id", "turn", X.search_text_from_attrs(X.parse_reply(F.col("text"))).alias("search_text"))
+
+
+@register("conversation_context", """
+SELECT conv_id, substring(string_agg('[' || role || '] ' || text, chr(10) || chr(10) ORDER BY from_end), 1, 12000) AS context
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS from_end FROM conversations)
+WHERE from_end <= 6 GROUP BY conv_id""")
+def q_conversation_context(spark, d):
+    hits = CV.last_turns(A.table(spark, d, "conversations"))
+    return V.assemble_context(hits, "conv_id", "from_end", "role", "text")
+
+
+@register("question_preview", """
+SELECT conv_id, CASE WHEN length(question) > 16 THEN substring(question, 1, 16) || '…' ELSE question END AS preview
+FROM (SELECT conv_id, arg_max(text, turn) AS question FROM conversations WHERE role = 'user' GROUP BY conv_id)""")
+def q_question_preview(spark, d):
+    from ..functions.clean import truncate
+    q = CV.last_question(A.table(spark, d, "conversations"), role="user")
+    return q.select("conv_id", truncate(F.col("question"), 16).alias("preview"))

@@ -18,8 +18,8 @@ def read_csv_strings(spark: SparkSession, path: str, glob: str | None = None) ->
 def read_documents(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
     """Whole text files (one row per file), hidden files skipped, with the
     file name as ``source``."""
-    df = (spark.read.option("wholetext", "true").option("pathGlobFilter", glob)
-          .option("recursiveFileLookup", "true").text(path)
+    df = (spark.read.option("pathGlobFilter", glob)
+          .option("recursiveFileLookup", "true").text(path, wholetext=True)
           .select(F.col("value").alias("text"), F.col("_metadata.file_name").alias("source")))
     return df.filter(~F.col("source").startswith("."))
 

@@ -88,3 +88,24 @@ def test_pipeline_end_to_end(spark, tmp):
     assert spark.read.parquet(t2["gold_listings"]).count() == 3
     assert spark.read.parquet(f"{out}/bronze_listings").count() == 7
     assert spark.read.parquet(t2["silver_counts"]).filter(F.col("brand") == "Kiabi").count() == 2
+
+
+def test_run_export_and_routing(spark, tmp):
+    from relist.sources.readers import read_documents, route_files
+    from relist.sources.sinks import write_run
+    df = spark.createDataFrame([("vinted", "1"), ("ebay", "2"), ("vinted", "3")], "source string, external_id string")
+    write_run(df, f"{tmp}/runs", "r1")
+    write_run(df.limit(1), f"{tmp}/runs", "r2")
+    back = spark.read.json(f"{tmp}/runs")
+    assert back.count() == 4 and {r.run_id for r in back.select("run_id").collect()} == {"r1", "r2"}
+    assert {r.source for r in back.select("source").distinct().collect()} == {"vinted", "ebay"}
+    files = spark.createDataFrame([("essentials_bebe_2026.csv",), ("Ebay_export.csv",), ("vestiaire.csv",),
+                                   ("essentials_femme.csv",), ("notes.csv",)], "name string")
+    got = [r.route for r in route_files(files).collect()]
+    assert got == ["catalog_a", "manual_listings", "manual_listings", "catalog_b", "skip"]
+    os.makedirs(f"{tmp}/docs", exist_ok=True)
+    for n, t in (("a.md", "# A\n\ntext"), (".hidden.md", "x"), ("b.txt", "no")):
+        with open(f"{tmp}/docs/{n}", "w") as f:
+            f.write(t)
+    docs = {r.source: r.text for r in read_documents(spark, f"{tmp}/docs").collect()}
+    assert docs == {"a.md": "# A\n\ntext"}
