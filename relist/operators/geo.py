@@ -64,7 +64,7 @@ def geocode(df: DataFrame, centroids: DataFrame, gazetteer: DataFrame, loc_col:
 
 # (cell size in degrees, ring radius in cells); the last level spans the
 # whole sphere so every remaining point is resolved exactly.
-NEAREST_LEVELS = ((0.5, 1), (0.5, 4), (8.0, 2), (45.0, 4))
+NEAREST_LEVELS = ((0.5, 1), (4.0, 2), (45.0, 4))
 
 
 def _cells(lat, lng, g: float):
@@ -80,9 +80,10 @@ def nearest(points: DataFrame, stores: DataFrame, lat: str = "lat", lng: str = "
     0.1) by haversine distance; ties on the rounded distance go to the first
     store by name; null when the point has no coordinates.
 
-    Exact without comparing every point with every store: stores are
-    replicated into the grid cells of a (2r+1)² block around their own cell
-    and equi-joined with the distinct point coordinates.  A point is settled
+    Exact without comparing every point with every store: on the first
+    level stores are replicated into the grid cells of a (2r+1)² block
+    around their own cell and equi-joined with the distinct point
+    coordinates; on later levels only the unsettled points are replicated.  A point is settled
     at a level when its best rounded distance + 0.1 km is within the safe
     radius R·asin(cos φ · sin(r·g)) – no store outside the block can be that
     close.  Unsettled points go to the next, coarser level; the last level
@@ -97,17 +98,27 @@ def nearest(points: DataFrame, stores: DataFrame, lat: str = "lat", lng: str = "
     for i, (g, r) in enumerate(levels):
         last = i == len(levels) - 1
         ncols = int(round(360.0 / g))
-        scy, scx = _cells(F.col("_slat"), F.col("_slng"), g)
         offs = F.sequence(F.lit(-r), F.lit(r))
-        block = (st.select("*", scy.alias("_scy"), scx.alias("_scx"))
-                 .select("*", F.explode(offs).alias("_dy"))
-                 .select("*", F.explode(offs).alias("_dx"))
-                 .select("_sname", "_slat", "_slng", (F.col("_scy") + F.col("_dy")).alias("_cy"),
-                         F.pmod(F.col("_scx") + F.col("_dx"), F.lit(ncols)).alias("_cx"))
-                 .dropDuplicates(["_sname", "_slat", "_slng", "_cy", "_cx"]))
+        scy, scx = _cells(F.col("_slat"), F.col("_slng"), g)
         pcy, pcx = _cells(F.col("_plat"), F.col("_plng"), g)
-        cand = (remaining.select("_plat", "_plng", pcy.alias("_cy"), pcx.alias("_cx"))
-                .join(block, ["_cy", "_cx"]))
+        if i == 0:
+            # first pass: every point, so replicate the (smaller) store side
+            # into the (2r+1)² block around each store's cell
+            side = (st.select("*", scy.alias("_scy"), scx.alias("_scx"))
+                    .select("*", F.explode(offs).alias("_dy")).select("*", F.explode(offs).alias("_dx"))
+                    .select("_sname", "_slat", "_slng", (F.col("_scy") + F.col("_dy")).alias("_cy"),
+                            F.pmod(F.col("_scx") + F.col("_dx"), F.lit(ncols)).alias("_cx"))
+                    .dropDuplicates(["_sname", "_slat", "_slng", "_cy", "_cx"]))
+            cand = remaining.select("_plat", "_plng", pcy.alias("_cy"), pcx.alias("_cx")).join(side, ["_cy", "_cx"])
+        else:
+            # later passes: only the few unsettled points, replicated into
+            # the block around their own cell; stores keep one cell each
+            near = (remaining.select("_plat", "_plng", pcy.alias("_pcy"), pcx.alias("_pcx"))
+                    .select("*", F.explode(offs).alias("_dy")).select("*", F.explode(offs).alias("_dx"))
+                    .select("_plat", "_plng", (F.col("_pcy") + F.col("_dy")).alias("_cy"),
+                            F.pmod(F.col("_pcx") + F.col("_dx"), F.lit(ncols)).alias("_cx"))
+                    .dropDuplicates(["_plat", "_plng", "_cy", "_cx"]))
+            cand = near.join(st.select("*", scy.alias("_cy"), scx.alias("_cx")), ["_cy", "_cx"])
         km = haversine_km(F.col("_plat"), F.col("_plng"), F.col("_slat"), F.col("_slng"), None)
         best = (cand.select("_plat", "_plng", "_sname", km.alias("_km"))
                 .groupBy("_plat", "_plng")
