@@ -30,10 +30,6 @@ def _never_worn_sum() -> Column:
     return F.sum(F.when(F.col("is_never_worn"), 1).otherwise(0)).cast("bigint")
 
 
-def _total(df: DataFrame) -> Column:
-    return df.select(F.count(F.lit(1))).scalar()
-
-
 def _sum_of(agg: DataFrame, col: str) -> Column:
     """Grand total from an aggregate whose groups partition the input, as a
     scalar subquery over the aggregate (for results with many groups)."""

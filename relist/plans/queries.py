@@ -845,3 +845,41 @@ def q_question_preview(spark, d):
     from ..functions.clean import truncate
     q = CV.last_question(A.table(spark, d, "conversations"), role="user")
     return q.select("conv_id", truncate(F.col("question"), 16).alias("preview"))
+
+
+@register("image_manifest_new", O.with_listings(GOLD_SQL + """
+, m AS (SELECT listing_key, trim(coalesce(primary_image_url, '')) AS u,
+               coalesce(CASE WHEN source = '' OR source IS NULL THEN 'unknown' ELSE source END, 'unknown') AS s,
+               external_id FROM gold),
+  e AS (SELECT *, lower(regexp_extract(regexp_extract(u, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '(?i)\\.(jpe?g|png|webp|gif)(\\?|$)', 1)) AS x FROM m WHERE u <> ''),
+  p AS (SELECT listing_key, u AS image_url, s AS src,
+               s || '/' || CASE WHEN coalesce(external_id, '') = '' THEN 'unknown'
+                                ELSE substring(regexp_replace(external_id, '[/\\\\]', '_', 'g'), 1, 200) END
+                 || '/0.' || CASE WHEN x = '' THEN 'jpg' ELSE replace(x, 'jpeg', 'jpg') END AS rel_path FROM e)
+SELECT rel_path, listing_key, image_url FROM p
+WHERE rel_path NOT IN (SELECT rel_path FROM p WHERE src = 'ebay')"""))
+def q_image_manifest_new(spark, d):
+    """Manifest of images not stored yet: the paths already stored (here:
+    every eBay image) are removed with an anti join."""
+    m = X.image_manifest(gold_listings(spark, d))
+    stored = m.filter(F.col("rel_path").startswith("ebay/")).select("rel_path")
+    return J.without_existing(m, stored, "rel_path").select("rel_path", "listing_key", "image_url")
+
+
+@register("ingest_roundtrip", "WITH " + O.RAW_LISTINGS + """
+SELECT source, external_id, title, description, price, url, location, published_at, scraped_at, primary_image_url
+FROM raw_listings""")
+def q_ingest_roundtrip(spark, d):
+    """Landed JSON files → incremental streaming ingest (availableNow,
+    checkpointed, lineage columns) → bronze table read back.  The landing
+    and output folders live under the shared checkpoint folder."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..streaming.ingest import ingest, read_table
+    base = f"{checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    A.raw_listings(spark, d).write.mode("overwrite").json(f"{base}/landing/run1")
+    ingest(spark, f"{base}/landing", f"{base}/bronze", f"{base}/ck", glob="*.json")
+    return read_table(spark, f"{base}/bronze").select(
+        "source", "external_id", "title", "description", "price", "url", "location", "published_at",
+        "scraped_at", "primary_image_url")
