@@ -51,6 +51,8 @@ def contains_join(left: DataFrame, left_key: str, left_text: str,
     pat = F.col(right_pattern)
     r = right.filter(pat.isNotNull() & (F.length(pat) > 0))
     long_r = r.filter(F.length(pat) >= GRAM)
+    # one size check on the pattern side covers both of its subsets below
+    small = bounded(r, min(max_broadcast_patterns, max_short_patterns))
 
     # rarest trigram per pattern (small side only)
     rg = long_r.select(right_key, F.posexplode(_grams(pat)).alias("_pos", "_g"))
@@ -60,7 +62,7 @@ def contains_join(left: DataFrame, left_key: str, left_text: str,
             .agg(F.min_by("_g", F.struct("_n", "_pos")).alias("_g")))
     keyed = long_r.join(keys, right_key)
 
-    if bounded(keyed, max_broadcast_patterns):
+    if small or bounded(keyed, max_broadcast_patterns):
         lg = left.select("*", F.explode(_grams(F.col(left_text))).alias("_g"))
         out_long = (lg.join(F.broadcast(keyed), "_g").drop("_g")
                     .filter(F.col(left_text).contains(F.col(right_pattern))))
@@ -71,7 +73,7 @@ def contains_join(left: DataFrame, left_key: str, left_text: str,
                     .filter(F.col(left_text).contains(F.col(right_pattern))))
 
     short_r = r.filter(F.length(pat) < GRAM)
-    short_side = F.broadcast(short_r) if bounded(short_r, max_short_patterns) else short_r
+    short_side = F.broadcast(short_r) if small or bounded(short_r, max_short_patterns) else short_r
     out_short = left.join(short_side, F.col(left_text).contains(F.col(right_pattern)))
     cols = out_long.columns
     return out_long.unionByName(out_short.select(*cols))

@@ -130,7 +130,14 @@ def top_cities(listings: DataFrame, k: int = 12) -> DataFrame:
     per_city = (located.groupBy(city_label(F.col("location")).alias("city"))
                 .agg(F.count(F.lit(1)).alias("cnt")))
     top = per_city.orderBy(F.col("cnt").desc(), F.col("city")).limit(k)
-    return top.withColumn("share_pct", share_pct(F.col("cnt"), F.lit(_sum_of(per_city, "cnt"))))
+    total = F.lit(_sum_of(per_city, "cnt"))
+    # rank and top-5 share over the k result rows only (bounded window)
+    rank = F.row_number().over(Window.orderBy(F.col("cnt").desc(), F.col("city")))
+    return (top.withColumn("share_pct", share_pct(F.col("cnt"), total))
+               .withColumn("_rk", rank)
+               .withColumn("top5_share_pct", share_pct(
+                   F.sum(F.when(F.col("_rk") <= 5, F.col("cnt"))).over(Window.partitionBy()), total))
+               .drop("_rk"))
 
 
 def age_histogram(listings: DataFrame, as_of, bands=C.AGE_BANDS) -> DataFrame:

@@ -97,9 +97,12 @@ _LOCATED = "location IS NOT NULL AND trim(location) <> '' AND price IS NOT NULL
 
 @register("top_cities", O.with_listings(f"""
 , c AS (SELECT {_CITY} AS city, count(*) AS cnt FROM listings WHERE {_LOCATED}
-        GROUP BY 1 ORDER BY cnt DESC, city LIMIT 12)
-SELECT city, cnt, round_even(cnt * 100.0 / (SELECT count(*) FROM listings WHERE {_LOCATED}), 1) AS share_pct
-FROM c"""))
+        GROUP BY 1 ORDER BY cnt DESC, city LIMIT 12),
+  r AS (SELECT *, row_number() OVER (ORDER BY cnt DESC, city) AS rk,
+               (SELECT count(*) FROM listings WHERE {_LOCATED}) AS t FROM c)
+SELECT city, cnt, round_even(cnt * 100.0 / t, 1) AS share_pct,
+       round_even(sum(CASE WHEN rk <= 5 THEN cnt END) OVER () * 100.0 / t, 1) AS top5_share_pct
+FROM r"""))
 def q_top_cities(spark, d):
     return M.top_cities(A.listings(spark, d))
 
