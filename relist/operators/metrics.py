@@ -144,11 +144,19 @@ def age_histogram(listings: DataFrame, as_of, bands=C.AGE_BANDS) -> DataFrame:
     """Listing age bands (days from publication to ``as_of``); unparsable
     dates fall into the last band."""
     src = listings.filter(F.col("published_at").isNotNull())
-    days = F.datediff(F.lit(as_of).cast("date"), F.to_date(mixed_timestamp(F.col("published_at"))))
+    ref = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    days = F.datediff(ref.cast("date"), F.to_date(mixed_timestamp(F.col("published_at"))))
     b = C.bucketize(days, bands, inclusive=True)
     agg = (src.select(b.getField("label").alias("age_bucket"), b.getField("ord").alias("sort_order"))
            .groupBy("age_bucket", "sort_order").agg(F.count(F.lit(1)).alias("cnt")))
-    return agg.withColumn("pct", share_pct(F.col("cnt"), _band_total("cnt")))
+    bands_w = Window.partitionBy()
+    # fresh = share of the first band, old = shares of the bands from the
+    # fourth on (sums of the rounded shares, as displayed)
+    return (agg.withColumn("pct", share_pct(F.col("cnt"), _band_total("cnt")))
+               .withColumn("fresh_pct", F.coalesce(F.max(F.when(F.col("sort_order") == 1, F.col("pct")))
+                                                    .over(bands_w), F.lit(0.0)))
+               .withColumn("old_pct", F.round(F.coalesce(F.sum(F.when(F.col("sort_order") >= 4, F.col("pct")))
+                                                         .over(bands_w), F.lit(0.0)), 4)))
 
 
 def seller_profiles(listings: DataFrame, bands=C.SELLER_BANDS) -> DataFrame:

@@ -11,7 +11,6 @@ from . import adapter as A
 from . import oracle as O
 from .registry import register
 
-AS_OF = "2001-09-01"
 
 
 # --------------------------------------------------------------- metrics ---
@@ -107,21 +106,28 @@ def q_top_cities(spark, d):
     return M.top_cities(A.listings(spark, d))
 
 
-_AGE = f"date_diff('day', CAST(published_at AS DATE), DATE '{AS_OF}')"
+_AGE = "date_diff('day', CAST(published_at AS DATE), (SELECT max(CAST(published_at AS DATE)) FROM listings))"
 
 
 @register("age_histogram", O.with_listings(f"""
+, h AS (
 SELECT {O.case_bands(_AGE, C.AGE_BANDS, inclusive=True)} AS age_bucket,
        {O.case_bands(_AGE, C.AGE_BANDS, inclusive=True, what='ord')} AS sort_order,
        count(*) AS cnt,
        round_even(count(*) * 100.0 / (SELECT count(*) FROM listings), 1) AS pct
-FROM listings GROUP BY 1, 2"""))
+FROM listings GROUP BY 1, 2)
+SELECT *, coalesce(max(CASE WHEN sort_order = 1 THEN pct END) OVER (), 0.0) AS fresh_pct,
+       round(coalesce(sum(CASE WHEN sort_order >= 4 THEN pct END) OVER (), 0.0), 4) AS old_pct
+FROM h"""))
 def q_age_histogram(spark, d):
     # the cleaned layer already parsed published_at (blank/unparsable → null);
     # a null date falls into the last band, as in the dashboard
-    df = A.listings(spark, d).withColumn("published_at", F.coalesce(
-        F.col("published_at").cast("string"), F.lit("")))
-    return M.age_histogram(df, AS_OF)
+    # "today" = the latest publication day in the data (deterministic
+    # stand-in for the current date), computed as a scalar subquery
+    lst = A.listings(spark, d)
+    as_of = lst.select(F.max(F.to_date("published_at"))).scalar()
+    df = lst.withColumn("published_at", F.coalesce(F.col("published_at").cast("string"), F.lit("")))
+    return M.age_histogram(df, as_of)
 
 
 _SELLER_L = O.case_bands("listing_count", C.SELLER_BANDS, inclusive=True)
