@@ -20,36 +20,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def _read_registry(spark: SparkSession, path: str) -> str | None:
+    """The registered schema (JSON text), or None before the first run.
+    Kept as a one-line text dataset so any shared file system works."""
+    try:
+        rows = spark.read.text(path).collect()   # a single line
+    except Exception:  # noqa: BLE001 - no registry yet
+        return None
+    return rows[0][0] if rows else None
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines, line = [], reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return "\n".join(lines)
-    finally:
-        stream.close()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
+def _write_registry(spark: SparkSession, path: str, text: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def merge_schemas(old: StructType | None, new: StructType) -> StructType:
@@ -75,7 +57,7 @@ def evolve_schema(spark: SparkSession, path: str, fmt: str, registry: str, glob:
                   multiline: bool = False, header: bool = True) -> StructType:
     """Union of the registered schema and the schema inferred from the files
     now in ``path``; the result is written back to the registry."""
-    stored = _read_text(spark, registry)
+    stored = _read_registry(spark, registry)
     old = StructType.fromJson(json.loads(stored)) if stored else None
     try:
         inferred = _batch_reader(spark, fmt, glob, multiline, header).format(fmt).load(path).schema
@@ -84,7 +66,7 @@ def evolve_schema(spark: SparkSession, path: str, fmt: str, registry: str, glob:
     fields = [StructField(f.name, f.dataType, True) for f in inferred.fields
               if f.name != "_corrupt_record"]
     merged = merge_schemas(old, StructType(fields))
-    _write_text(spark, registry, merged.json())
+    _write_registry(spark, registry, merged.json())
     return merged
 
 
@@ -110,11 +92,8 @@ def ingest(spark: SparkSession, path: str, out: str, checkpoint: str, fmt: str =
     """Append the files landed since the last run to the Parquet table at
     ``out`` (exactly once per file) and return the number of micro-batches
     run.  With ``schema=None`` the schema evolves (see module doc)."""
-    fs, cp = _fs(spark, checkpoint)
-    if not fs.exists(cp):
-        fs.mkdirs(cp)
     if schema is None:
-        schema = evolve_schema(spark, path, fmt, checkpoint.rstrip("/") + "/_schema.json", glob,
+        schema = evolve_schema(spark, path, fmt, checkpoint.rstrip("/") + "/_schema", glob,
                                multiline, header)
         if not schema.fields:
             return 0
