@@ -63,9 +63,13 @@ def silver(spark: SparkSession, landing: str, out: str, sources=C.LISTING_SOURCE
     gaz_path = _p(enr, "gazetteer.csv")
     if os.path.exists(gaz_path):
         g = read_csv_strings(spark, gaz_path)
-        gaz = g.select("name", F.col("lat").try_cast("double").alias("lat"),
-                       F.col("lon").try_cast("double").alias("lon"),
-                       F.monotonically_increasing_id().alias("ord"))  # single small file: file order
+        # list order is semantic: an explicit `ord` column, else the line
+        # order of this single small file (one partition, so the generated
+        # ids follow the file and are the same on every re-read)
+        order = (F.col("ord").try_cast("bigint") if "ord" in g.columns
+                 else F.monotonically_increasing_id())
+        gaz = g.coalesce(1).select("name", F.col("lat").try_cast("double").alias("lat"),
+                                   F.col("lon").try_cast("double").alias("lon"), order.alias("ord"))
     else:
         gaz = spark.createDataFrame([], "name string, lat double, lon double, ord long")
     out_ = {}
