@@ -140,15 +140,22 @@ def top_cities(listings: DataFrame, k: int = 12) -> DataFrame:
                .drop("_rk"))
 
 
-def age_histogram(listings: DataFrame, as_of, bands=C.AGE_BANDS) -> DataFrame:
+def age_histogram(listings: DataFrame, as_of=None, bands=C.AGE_BANDS) -> DataFrame:
     """Listing age bands (days from publication to ``as_of``); unparsable
-    dates fall into the last band."""
+    dates fall into the last band.  ``as_of=None`` measures against the
+    latest publication day in the data.
+
+    One pass over the listings: counts per publication day (a calendar-
+    bounded aggregate), then the reference day, bands and shares are
+    computed on those few daily rows."""
     src = listings.filter(F.col("published_at").isNotNull())
-    ref = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    days = F.datediff(ref.cast("date"), F.to_date(mixed_timestamp(F.col("published_at"))))
-    b = C.bucketize(days, bands, inclusive=True)
-    agg = (src.select(b.getField("label").alias("age_bucket"), b.getField("ord").alias("sort_order"))
-           .groupBy("age_bucket", "sort_order").agg(F.count(F.lit(1)).alias("cnt")))
+    daily = (src.groupBy(F.to_date(mixed_timestamp(F.col("published_at"))).alias("day"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    ref = (F.max("day").over(Window.partitionBy()) if as_of is None
+           else (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("date"))
+    b = C.bucketize(F.datediff(ref, F.col("day")), bands, inclusive=True)
+    agg = (daily.select(b.getField("label").alias("age_bucket"), b.getField("ord").alias("sort_order"), "n")
+           .groupBy("age_bucket", "sort_order").agg(F.sum("n").alias("cnt")))
     bands_w = Window.partitionBy()
     # fresh = share of the first band, old = shares of the bands from the
     # fourth on (sums of the rounded shares, as displayed)

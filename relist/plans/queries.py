@@ -123,11 +123,10 @@ def q_age_histogram(spark, d):
     # the cleaned layer already parsed published_at (blank/unparsable → null);
     # a null date falls into the last band, as in the dashboard
     # "today" = the latest publication day in the data (deterministic
-    # stand-in for the current date), computed as a scalar subquery
+    # stand-in for the current date), taken from the daily counts
     lst = A.listings(spark, d)
-    as_of = lst.select(F.max(F.to_date("published_at"))).scalar()
     df = lst.withColumn("published_at", F.coalesce(F.col("published_at").cast("string"), F.lit("")))
-    return M.age_histogram(df, as_of)
+    return M.age_histogram(df)
 
 
 _SELLER_L = O.case_bands("listing_count", C.SELLER_BANDS, inclusive=True)
