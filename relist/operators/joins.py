@@ -73,6 +73,8 @@ def contains_join(left: DataFrame, left_key: str, left_text: str,
                     .filter(F.col(left_text).contains(F.col(right_pattern))))
 
     short_r = r.filter(F.length(pat) < GRAM)
+    if short_r.isEmpty():          # usual case: no second pass over the left side
+        return out_long
     short_side = F.broadcast(short_r) if small or bounded(short_r, max_short_patterns) else short_r
     out_short = left.join(short_side, F.col(left_text).contains(F.col(right_pattern)))
     cols = out_long.columns
