@@ -260,16 +260,13 @@ ITEMS_SCHEMA = (
     "display: struct<price: struct<salePrice: double, listPrice: double, currency: string>, "
     "images: struct<productImagesSource: array<string>>, totalReviewCount: bigint>, "
     "seo: struct<breadcrumbs: array<struct<label: string>>>>>, totalPages: int>>>>")
-# Site and static-image prefixes of the catalogue.
-SITE_BASE = "https://www.kiabi.com"
-STATIC_IMAGE_BASE = "https://static.kiabi.com"
-
-
 def catalog_from_pages(pages: DataFrame, universe: str, universe_key: str, scraped_at: Column,
-                       key: str = "page_id", html: str = "html") -> DataFrame:
+                       site_base: str, image_base: str, key: str = "page_id",
+                       html: str = "html") -> DataFrame:
     """Product rows from catalogue pages: items of
     props.pageProps.queryProductResponse.category; category = second-to-last
-    breadcrumb; image and product URLs prefixed with the site bases."""
+    breadcrumb; product URLs prefixed with ``site_base`` (adding '/' when
+    the item URL lacks it), the first image with ``image_base``."""
     doc = F.from_json(embedded_json(F.col(html)), ITEMS_SCHEMA)
     items = doc.getField("props").getField("pageProps").getField("queryProductResponse") \
         .getField("category").getField("items")
@@ -288,9 +285,9 @@ def catalog_from_pages(pages: DataFrame, universe: str, universe_key: str, scrap
                     it.getField("colorLabel").alias("color"),
                     price.getField("salePrice").alias("price"), price.getField("listPrice").alias("list_price"),
                     F.coalesce(F.nullif(price.getField("currency"), F.lit("")), F.lit("EUR")).alias("currency"),
-                    F.concat(F.lit(SITE_BASE), F.when(raw_url.startswith("/"), F.lit("")).otherwise(F.lit("/")),
+                    F.concat(F.lit(site_base), F.when(raw_url.startswith("/"), F.lit("")).otherwise(F.lit("/")),
                              raw_url).alias("product_url"),
-                    F.when(F.size(imgs) > 0, F.concat(F.lit(STATIC_IMAGE_BASE), F.element_at(imgs, 1)))
+                    F.when(F.size(imgs) > 0, F.concat(F.lit(image_base), F.element_at(imgs, 1)))
                      .alias("primary_image_url"),
                     it.getField("rate").alias("rating"),
                     F.coalesce(F.nullif(disp.getField("totalReviewCount"), F.lit(0)), F.lit(0)).cast("bigint")

@@ -97,7 +97,7 @@ def raw_catalog(spark: SparkSession, d: str) -> DataFrame:
     """Manual catalog export rows (CSV-like strings) – one per part."""
     pa = table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
     slug = F.translate(F.col("p_name"), " ", "-")
-    base = F.lit("https://www.kiabi.com/")
+    base = F.lit("https://shop.example.com/")
     k = (F.col("p_partkey") % 500).cast("string")
     link = (F.when(F.col("p_partkey") % 10 == 0, F.concat(base, slug, F.lit(".html")))
             .when(F.col("p_partkey") % 10 == 1, F.concat(base, slug, F.lit("_P"), k))

@@ -125,9 +125,9 @@ _UID1, _UID2 = r"[-_]([A-Z0-9]+C[0-9]+)(?:\?|$)", r"/([a-z0-9_-]+)_P\d"
 RAW_CATALOG = f"""
 raw_catalog AS (
   SELECT
-    CASE WHEN p_partkey % 10 = 0 THEN 'https://www.kiabi.com/' || replace(p_name, ' ', '-') || '.html'
-         WHEN p_partkey % 10 = 1 THEN 'https://www.kiabi.com/' || replace(p_name, ' ', '-') || '_P' || CAST(p_partkey % 500 AS VARCHAR)
-         ELSE 'https://www.kiabi.com/' || replace(p_name, ' ', '-') || '_P' || CAST(p_partkey % 500 AS VARCHAR) || 'C' || CAST(p_size % 3 AS VARCHAR) END AS item_page_link,
+    CASE WHEN p_partkey % 10 = 0 THEN 'https://shop.example.com/' || replace(p_name, ' ', '-') || '.html'
+         WHEN p_partkey % 10 = 1 THEN 'https://shop.example.com/' || replace(p_name, ' ', '-') || '_P' || CAST(p_partkey % 500 AS VARCHAR)
+         ELSE 'https://shop.example.com/' || replace(p_name, ' ', '-') || '_P' || CAST(p_partkey % 500 AS VARCHAR) || 'C' || CAST(p_size % 3 AS VARCHAR) END AS item_page_link,
     CAST(CAST(floor(p_retailprice) AS BIGINT) % 40 + 5 AS VARCHAR) || ',' || lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0') || ' €' AS price_1,
     CASE WHEN p_partkey % 97 = 0 THEN '' ELSE p_name END AS name,
     p_type AS breadcrumbs,

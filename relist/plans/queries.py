@@ -775,6 +775,8 @@ def q_payload_listings(spark, d):
 
 
 _ITEMS = "'$.props.pageProps.queryProductResponse.category.items'"
+SHOP_SITE = "https://shop.example.com"
+SHOP_STATIC = "https://static.example.com"
 
 
 @register("catalog_from_pages", "WITH " + AUG_PAGES + f"""
@@ -792,17 +794,17 @@ SELECT page_id, CAST(item_pos AS INTEGER) AS item_pos,
   TRY_CAST(json_extract_string(o, '$.display.price.salePrice') AS DOUBLE) AS price,
   TRY_CAST(json_extract_string(o, '$.display.price.listPrice') AS DOUBLE) AS list_price,
   coalesce(nullif(json_extract_string(o, '$.display.price.currency'), ''), 'EUR') AS currency,
-  '{X.SITE_BASE}' || CASE WHEN starts_with(coalesce(json_extract_string(o, '$.productUrl'), ''), '/') THEN '' ELSE '/' END
+  '{SHOP_SITE}' || CASE WHEN starts_with(coalesce(json_extract_string(o, '$.productUrl'), ''), '/') THEN '' ELSE '/' END
     || coalesce(json_extract_string(o, '$.productUrl'), '') AS product_url,
   CASE WHEN json_array_length(o, '$.display.images.productImagesSource') > 0
-       THEN '{X.STATIC_IMAGE_BASE}' || json_extract_string(o, '$.display.images.productImagesSource[0]') END AS primary_image_url,
+       THEN '{SHOP_STATIC}' || json_extract_string(o, '$.display.images.productImagesSource[0]') END AS primary_image_url,
   json_extract_string(o, '$.rate') AS rating,
   CAST(coalesce(nullif(TRY_CAST(json_extract_string(o, '$.display.totalReviewCount') AS BIGINT), 0), 0) AS BIGINT) AS total_reviews,
   TIMESTAMP '2024-06-01 00:00:00' AS scraped_at
 FROM x""")
 def q_catalog_from_pages(spark, d):
     return X.catalog_from_pages(augmented_pages(spark, d), "bebe", "bebe",
-                                F.lit("2024-06-01 00:00:00").cast("timestamp"))
+                                F.lit("2024-06-01 00:00:00").cast("timestamp"), SHOP_SITE, SHOP_STATIC)
 
 
 @register("vector_label_match", """

@@ -95,8 +95,8 @@ def test_external_id_from_url(spark):
 
 
 def test_product_uid_fallthrough(spark):
-    urls = ["https://www.kiabi.com/robe_P2876777C2876928", "https://www.kiabi.com/robe-fille_P123",
-            "https://www.kiabi.com/robe.html"]
+    urls = ["https://shop.example.com/robe_P2876777C2876928", "https://shop.example.com/robe-fille_P123",
+            "https://shop.example.com/robe.html"]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     got = [r[0] for r in df.select(IDS.product_uid(F.col("u"))).collect()]
     assert got[0] == "P2876777C2876928" and got[1] == "robe-fille" and len(got[2]) == 40

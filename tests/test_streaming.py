@@ -48,9 +48,9 @@ def test_pipeline_end_to_end(spark, tmp):
          "url": "https://www.vinted.fr/items/42-jean", "location": "Évry", "published_at": ""},
     ])
     _write_jsonl(f"{land}/listings/counts.jsonl", [
-        {"brand": "Kiabi", "marketplace": "Vinted ", "count": 10, "timestamp": "2026-03-06T21:55:11Z"},
-        {"brand": "Kiabi", "marketplace": "vinted", "count": 12, "timestamp": "2026-03-07T21:55:11.123456Z"},
-        {"brand": "Kiabi", "marketplace": "leboncoin", "count": None, "timestamp": "2026-03-07T21:55:11Z"},
+        {"brand": "HomeBrand", "marketplace": "Vinted ", "count": 10, "timestamp": "2026-03-06T21:55:11Z"},
+        {"brand": "HomeBrand", "marketplace": "vinted", "count": 12, "timestamp": "2026-03-07T21:55:11.123456Z"},
+        {"brand": "HomeBrand", "marketplace": "leboncoin", "count": None, "timestamp": "2026-03-07T21:55:11Z"},
     ])
     os.makedirs(f"{land}/manual_scraping/listings", exist_ok=True)
     with open(f"{land}/manual_scraping/listings/ebay_export.csv", "w") as f:
@@ -80,14 +80,14 @@ def test_pipeline_end_to_end(spark, tmp):
     assert rows["vinted_42"].nearest_store_name == "Store Evry"
     assert rows["ebay_A1"].price == 9.99 and rows["ebay_A1"].nearest_store_name is None
     gc = {r.brand + "/" + r.marketplace: r["count"] for r in spark.read.parquet(t["gold_counts"]).collect()}
-    assert gc == {"Kiabi/vinted": 12}
+    assert gc == {"HomeBrand/vinted": 12}
     cat = {r.product_uid: r.resell_count for r in spark.read.parquet(t["gold_catalog"]).collect()}
     assert cat == {"U1": 1, "U2": 0}                                 # blank title matches nothing
     # second refresh with nothing new: gold unchanged, bronze not duplicated
     t2 = run_pipeline(spark, land, out)
     assert spark.read.parquet(t2["gold_listings"]).count() == 3
     assert spark.read.parquet(f"{out}/bronze_listings").count() == 7
-    assert spark.read.parquet(t2["silver_counts"]).filter(F.col("brand") == "Kiabi").count() == 2
+    assert spark.read.parquet(t2["silver_counts"]).filter(F.col("brand") == "HomeBrand").count() == 2
 
 
 def test_run_export_and_routing(spark, tmp):
