@@ -74,13 +74,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def first_wins(df: DataFrame, key: str, list_col: Column | str, order: Sequence[Column | str]) -> DataFrame:
+    """Rows tagged with the result list they came from (``list_col``, lower
+    = earlier list): for each key the row from the earliest list, then the
+    earliest position, wins; rows without a key are dropped."""
+    cols = [F.col(list_col) if isinstance(list_col, str) else list_col] + \
+        [F.col(o) if isinstance(o, str) else o for o in order]
+    return latest_per_key(df.filter(F.col(key).isNotNull()), [key], cols)
+
+
 def merge_first_wins(results: Sequence[DataFrame], key: str, order: Sequence[Column | str]) -> DataFrame:
-    """Merge overlapping result lists: for each key the row from the earliest
-    list (then earliest position) wins; rows without a key are dropped."""
+    """Merge overlapping result lists given as separate DataFrames (see
+    :func:`first_wins`)."""
     tagged = [d.withColumn("_list", F.lit(i)) for i, d in enumerate(results)]
-    u = union_by_name(*tagged).filter(F.col(key).isNotNull())
-    cols = [F.col("_list")] + [F.col(o) if isinstance(o, str) else o for o in order]
-    return latest_per_key(u, [key], cols)
+    return first_wins(union_by_name(*tagged), key, "_list", order)
 
 
 def distinct_pairs(*dfs: DataFrame, cols: Sequence[str]) -> DataFrame:
