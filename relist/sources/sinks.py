@@ -17,6 +17,17 @@ def write_view(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> No
     w.parquet(path)
 
 
+def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
+    """Create-or-replace a catalog table as select (schema replaced too);
+    ``path`` makes it an external table at that location."""
+    w = df.write.mode("overwrite").option("overwriteSchema", "true")
+    if path:
+        w = w.option("path", path)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(name)
+
+
 def write_run(df: DataFrame, path: str, run_id: str, fmt: str = "json",
               partition_by: Sequence[str] = ("source",), append: bool = True) -> None:
     """Run-stamped export (JSON lines or CSV with header) per partition value."""

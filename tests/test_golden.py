@@ -151,3 +151,16 @@ def test_parse_reply(spark):
     assert r["search_text"] == "une robe rouge" and r["category"] is None
     st = one(spark, lambda x: X.search_text_from_attrs(X.parse_reply(x)), '{"category": "robe", "gender": "fille"}')
     assert st == "robe fille"
+
+
+def test_count_schema_guard_and_table_sink(spark, tmp):
+    from relist.operators.cleaning import clean_counts
+    from relist.sources.sinks import write_table
+    listings_only = spark.createDataFrame([("vinted", "1")], "source string, external_id string")
+    out = clean_counts(listings_only)
+    assert out.count() == 0 and out.columns == ["brand", "marketplace", "count", "run_ts"]
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    write_table(df, "relist_sink_test", path=f"{tmp}/tbl")
+    write_table(df.withColumn("w", F.lit(2)), "relist_sink_test", path=f"{tmp}/tbl")
+    assert spark.table("relist_sink_test").columns == ["id", "v", "w"]
+    spark.sql("DROP TABLE relist_sink_test")
