@@ -23,7 +23,8 @@ def _grams(text: Column, n: int = GRAM) -> Column:
 
 def contains_join(left: DataFrame, left_key: str, left_text: str,
                   right: DataFrame, right_key: str, right_pattern: str,
-                  max_short_patterns: int = 10_000, max_broadcast_patterns: int = 200_000) -> DataFrame:
+                  max_short_patterns: int = 10_000, max_broadcast_patterns: int = 200_000,
+                  max_literal_grams: int = 512) -> DataFrame:
     """Inner join of every left row whose ``left_text`` contains the right
     row's ``right_pattern`` (case-sensitive substring), exactly as
     ``left.join(right, contains(left_text, right_pattern))`` – without the
@@ -41,6 +42,9 @@ def contains_join(left: DataFrame, left_key: str, left_text: str,
     Physical shape: when the keyed pattern side is within
     ``max_broadcast_patterns`` rows (checked), it is broadcast and the left
     rows are probed in one map-side stage (no shuffle of the left side).
+    If, in addition, the patterns use at most ``max_literal_grams`` distinct
+    key trigrams, each text tests those few trigrams with ``contains``
+    rather than emitting all of its own.
     Otherwise only (left key, trigram) pairs are shuffled to the join and the
     candidates are joined back to the left rows for verification, so long
     texts are never replicated per trigram.
@@ -62,7 +66,20 @@ def contains_join(left: DataFrame, left_key: str, left_text: str,
             .agg(F.min_by("_g", F.struct("_n", "_pos")).alias("_g")))
     keyed = long_r.join(keys, right_key)
 
-    if small or bounded(keyed, max_broadcast_patterns):
+    key_grams = None
+    if small:
+        kg = [row[0] for row in keyed.select("_g").distinct().limit(max_literal_grams + 1).collect()]
+        key_grams = sorted(kg) if len(kg) <= max_literal_grams else None
+    if key_grams is not None:
+        # few distinct key grams (checked): each text tests them with
+        # `contains` instead of emitting all of its trigrams, so only real
+        # candidates become rows
+        lit = F.array(*[F.lit(g) for g in key_grams]) if key_grams else F.array().cast("array<string>")
+        text = F.col(left_text)
+        lg = left.select("*", F.explode(F.filter(lit, lambda g: text.contains(g))).alias("_g"))
+        out_long = (lg.join(F.broadcast(keyed), "_g").drop("_g")
+                    .filter(F.col(left_text).contains(F.col(right_pattern))))
+    elif small or bounded(keyed, max_broadcast_patterns):
         lg = left.select("*", F.explode(_grams(F.col(left_text))).alias("_g"))
         out_long = (lg.join(F.broadcast(keyed), "_g").drop("_g")
                     .filter(F.col(left_text).contains(F.col(right_pattern))))

@@ -24,7 +24,7 @@ from ..operators import cleaning as CL
 from ..operators import competition as CP
 from ..operators import dedupe as D
 from ..operators import geo as G
-from ..operators import joins as J
+from ..operators.market import catalog_market
 from ..schemas import PRODUCT, STORE
 from ..sources.readers import read_csv_strings
 from ..sources.sinks import write_view
@@ -113,21 +113,7 @@ def gold(spark: SparkSession, s: dict[str, DataFrame]) -> dict[str, DataFrame]:
         prods = D.latest_per_key(s["silver_catalog"], ["product_uid"],
                                  [F.col("scraped_at").desc_nulls_last(), F.col("product_url").desc_nulls_last(),
                                   F.col("title").desc_nulls_last()])
-        gl = out["gold_listings"]
-        text = F.lower(F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("description", F.lit(""))))
-        lt = gl.select("listing_key", F.col("source").alias("l_source"), F.col("price").alias("l_price"),
-                       text.alias("listing_text"))
-        pk = prods.select(F.col("product_uid").alias("m_uid"), F.lower("title").alias("title_lower"))
-        m = J.contains_join(lt, "listing_key", "listing_text", pk, "m_uid", "title_lower")
-        stats = (m.groupBy("m_uid").agg(
-            F.count("listing_key").alias("resell_count"), F.avg("l_price").alias("avg_resell_price"),
-            F.min("l_price").alias("min_resell_price"), F.max("l_price").alias("max_resell_price"),
-            F.countDistinct("l_source").alias("marketplace_count")))
-        g = prods.join(stats, prods.product_uid == stats.m_uid, "left").drop("m_uid")
-        out["gold_catalog"] = (g.withColumn("price_ratio", F.when(
-            F.col("price").isNotNull() & (F.col("price") > 0) & F.col("avg_resell_price").isNotNull(),
-            F.round(F.col("avg_resell_price") / F.col("price"), 3)))
-            .withColumn("resell_count", F.coalesce("resell_count", F.lit(0)).cast("bigint")))
+        out["gold_catalog"] = catalog_market(prods, out["gold_listings"])
     return out
 
 

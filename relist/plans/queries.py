@@ -459,25 +459,11 @@ def q_nearest_store(spark, d):
 def gold_catalog(spark, d):
     """Catalog (latest per product) × gold listings whose text contains the
     product title → market stats per product, left-joined back."""
-    prods = latest_products(spark, d)
-    gl = gold_listings(spark, d)
-    text = F.lower(F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("description", F.lit(""))))
-    lt = gl.select("listing_key", F.col("source").alias("l_source"), F.col("price").alias("l_price"),
-                   text.alias("listing_text"))
-    pk = prods.select(F.col("product_uid").alias("m_uid"), F.lower("title").alias("title_lower"))
-    matched = J.contains_join(lt, "listing_key", "listing_text", pk, "m_uid", "title_lower")
-    stats = (matched.groupBy("m_uid")
-             .agg(F.count("listing_key").alias("resell_count"), F.avg("l_price").alias("avg_resell_price"),
-                  F.min("l_price").alias("min_resell_price"), F.max("l_price").alias("max_resell_price"),
-                  F.countDistinct("l_source").alias("marketplace_count")))
-    out = prods.join(stats, prods.product_uid == stats.m_uid, "left").drop("m_uid")
-    ratio = F.when(F.col("price").isNotNull() & (F.col("price") > 0) & F.col("avg_resell_price").isNotNull(),
-                   F.round(F.col("avg_resell_price") / F.col("price"), 3))
-    return out.select("product_uid", "title", "price",
-                      F.coalesce("resell_count", F.lit(0)).cast("bigint").alias("resell_count"),
+    from ..operators.market import catalog_market
+    out = catalog_market(latest_products(spark, d), gold_listings(spark, d))
+    return out.select("product_uid", "title", "price", "resell_count",
                       F.round("avg_resell_price", 4).alias("avg_resell_price"),
-                      "min_resell_price", "max_resell_price", "marketplace_count",
-                      ratio.alias("price_ratio"))
+                      "min_resell_price", "max_resell_price", "marketplace_count", "price_ratio")
 
 
 @register("gold_catalog", O.with_listings(GOLD_SQL + "," + O.RAW_CATALOG + LATEST_PRODUCTS_SQL + """
