@@ -74,9 +74,10 @@ def contains_join(left: DataFrame, left_key: str, left_text: str,
         # few distinct key grams (checked): each text tests them with
         # `contains` instead of emitting all of its trigrams, so only real
         # candidates become rows
-        lit = F.array(*[F.lit(g) for g in key_grams]) if key_grams else F.array().cast("array<string>")
         text = F.col(left_text)
-        lg = left.select("*", F.explode(F.filter(lit, lambda g: text.contains(g))).alias("_g"))
+        hits = (F.array_compact(F.array(*[F.when(text.contains(F.lit(g)), F.lit(g)) for g in key_grams]))
+                if key_grams else F.array().cast("array<string>"))
+        lg = left.select("*", F.explode(hits).alias("_g"))
         out_long = (lg.join(F.broadcast(keyed), "_g").drop("_g")
                     .filter(F.col(left_text).contains(F.col(right_pattern))))
     elif small or bounded(keyed, max_broadcast_patterns):
