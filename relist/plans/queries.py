@@ -883,3 +883,18 @@ def q_ingest_roundtrip(spark, d):
     return read_table(spark, f"{base}/bronze").select(
         "source", "external_id", "title", "description", "price", "url", "location", "published_at",
         "scraped_at", "primary_image_url")
+
+
+@register("point_text_parse", "WITH " + O.STORES + """
+, t AS (SELECT c_custkey, 'lat=' || CAST(lat AS VARCHAR) || ' lng=' || CAST(lng AS VARCHAR) AS txt FROM points)
+SELECT c_custkey, TRY_CAST(nullif(regexp_extract(txt, 'lat\\s*=\\s*(-?\\d+(?:\\.\\d+)?)', 1), '') AS DOUBLE) AS lat,
+       TRY_CAST(nullif(regexp_extract(txt, '(?:lng|lon)\\s*=\\s*(-?\\d+(?:\\.\\d+)?)', 1), '') AS DOUBLE) AS lng
+FROM t""")
+def q_point_text_parse(spark, d):
+    """Coordinates written as 'lat=… lng=…' text (as a collector stores a
+    location repr) parsed back to numbers."""
+    from ..functions.geo import latlng_from_text
+    p = A.customer_points(spark, d)
+    txt = F.concat(F.lit("lat="), F.col("lat").cast("string"), F.lit(" lng="), F.col("lng").cast("string"))
+    ll = latlng_from_text(txt)
+    return p.select("c_custkey", ll.getField("lat").alias("lat"), ll.getField("lng").alias("lng"))
