@@ -898,3 +898,18 @@ def q_point_text_parse(spark, d):
     txt = F.concat(F.lit("lat="), F.col("lat").cast("string"), F.lit(" lng="), F.col("lng").cast("string"))
     ll = latlng_from_text(txt)
     return p.select("c_custkey", ll.getField("lat").alias("lat"), ll.getField("lng").alias("lng"))
+
+
+@register("tracking_counts", "WITH " + O.RAW_COUNTS + "," + O.STORES + """
+SELECT count(DISTINCT brand) AS brands_tracked, count(DISTINCT marketplace) AS marketplaces_tracked,
+       count(*) AS observations, (SELECT count(DISTINCT name) FROM stores) AS stores
+FROM counts""")
+def q_tracking_counts(spark, d):
+    """Distinct counts for the headline tiles: brands and marketplaces
+    tracked, observations, stores (one row; each count is a partial
+    aggregate, the store count a scalar subquery)."""
+    c = CL.clean_counts(A.raw_counts(spark, d))
+    stores_n = A.stores(spark, d).select(F.countDistinct("name")).scalar()
+    return c.agg(F.countDistinct("brand").alias("brands_tracked"),
+                 F.countDistinct("marketplace").alias("marketplaces_tracked"),
+                 F.count(F.lit(1)).alias("observations")).select("*", stores_n.alias("stores"))
