@@ -913,3 +913,20 @@ def q_tracking_counts(spark, d):
     return c.agg(F.countDistinct("brand").alias("brands_tracked"),
                  F.countDistinct("marketplace").alias("marketplaces_tracked"),
                  F.count(F.lit(1)).alias("observations")).select("*", stores_n.alias("stores"))
+
+
+@register("program_results", "WITH " + O.RAW_COUNTS + f"""
+, p AS (SELECT DISTINCT p_type AS program, {O.lst(A.MARKETPLACES)}[p_size % 5 + 1] AS marketplace FROM part),
+  m AS (SELECT marketplace, run_ts AS last_run_at, count FROM (
+          SELECT *, row_number() OVER (PARTITION BY marketplace ORDER BY run_ts DESC, count DESC, brand DESC) AS rn
+          FROM counts) WHERE rn = 1)
+SELECT p.program, p.marketplace, m.count, m.last_run_at FROM p LEFT JOIN m ON p.marketplace = m.marketplace""")
+def q_program_results(spark, d):
+    """Program table (program → marketplace key) with the latest count of
+    its marketplace: a lookup join on a size-checked dimension."""
+    pa = A.table(spark, d, "part")
+    programs = pa.select(F.col("p_type").alias("program"),
+                         A._pick(A.MARKETPLACES, F.col("p_size") % 5).alias("marketplace")).distinct()
+    latest = CP.latest_by_marketplace(CL.clean_counts(A.raw_counts(spark, d))).select(
+        "marketplace", "count", "last_run_at")
+    return J.lookup(programs, latest, "marketplace").select("program", "marketplace", "count", "last_run_at")
