@@ -60,6 +60,11 @@ def test_pipeline_end_to_end(spark, tmp):
         {"product_code": "P1", "product_uid": "U1", "title": "Robe", "price": 10.0, "scraped_at": "2026-03-01T00:00:00"},
         {"product_code": "P2", "product_uid": "U2", "title": "", "price": 5.0, "scraped_at": "2026-03-01T00:00:00"},
     ])
+    os.makedirs(f"{land}/manual_scraping/essentials_bebe", exist_ok=True)
+    with open(f"{land}/manual_scraping/essentials_bebe/export.csv", "w") as f:
+        f.write('item_page_link,name,price_1,rating\n'
+                'https://shop.example.com/body-bebe_P123C456,Jean slim,"12,50 €",4.5/5\n'
+                'https://shop.example.com/nothing-here.html,Pull,3 €,\n')
     os.makedirs(f"{land}/stores", exist_ok=True)
     with open(f"{land}/stores/stores.json", "w") as f:
         json.dump([{"name": "Store Lille", "city": "Lille", "lat": 50.63, "lng": 3.06},
@@ -81,8 +86,10 @@ def test_pipeline_end_to_end(spark, tmp):
     assert rows["ebay_A1"].price == 9.99 and rows["ebay_A1"].nearest_store_name is None
     gc = {r.brand + "/" + r.marketplace: r["count"] for r in spark.read.parquet(t["gold_counts"]).collect()}
     assert gc == {"HomeBrand/vinted": 12}
-    cat = {r.product_uid: r.resell_count for r in spark.read.parquet(t["gold_catalog"]).collect()}
-    assert cat == {"U1": 1, "U2": 0}                                 # blank title matches nothing
+    cat = {r.product_uid: (r.resell_count, r.price, r.universe) for r in spark.read.parquet(t["gold_catalog"]).collect()}
+    assert cat["U1"][0] == 1 and cat["U2"][0] == 0                   # blank title matches nothing
+    assert cat["P123C456"] == (1, 12.5, "bebe")                      # manual export: uid from URL, price text
+    assert len(cat) == 4                                             # the other uid falls through to sha1(url)
     # second refresh with nothing new: gold unchanged, bronze not duplicated
     t2 = run_pipeline(spark, land, out)
     assert spark.read.parquet(t2["gold_listings"]).count() == 3
