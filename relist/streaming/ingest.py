@@ -54,19 +54,40 @@ def _batch_reader(spark: SparkSession, fmt: str, glob: str | None, multiline: bo
 
 
 def evolve_schema(spark: SparkSession, path: str, fmt: str, registry: str, glob: str | None = None,
-                  multiline: bool = False, header: bool = True) -> StructType:
+                  multiline: bool = False, header: bool = True, sampling_ratio: float = 1.0,
+                  margin_s: int = 300) -> StructType:
     """Union of the registered schema and the schema inferred from the files
-    now in ``path``; the result is written back to the registry."""
+    landed since the previous run; the result is written back.
+
+    Only new files are read for inference (``modifiedAfter`` the previous
+    run's start, minus a safety margin – re-reading a few files is
+    harmless), so the cost follows the increment, not the whole landing
+    history."""
+    import datetime as dt
+    from zoneinfo import ZoneInfo
+    # `modifiedAfter` is read in the session time zone
+    tz = ZoneInfo(spark.conf.get("spark.sql.session.timeZone", "UTC") or "UTC")
+    started = dt.datetime.now(tz).replace(tzinfo=None)
     stored = _read_registry(spark, registry)
-    old = StructType.fromJson(json.loads(stored)) if stored else None
+    old, since = None, None
+    if stored:
+        reg = json.loads(stored)
+        old = StructType.fromJson(reg["schema"])
+        since = reg.get("inferred_until")
+    reader = _batch_reader(spark, fmt, glob, multiline, header)
+    if sampling_ratio < 1.0 and fmt == "json":
+        reader = reader.option("samplingRatio", str(sampling_ratio))
+    if since:
+        reader = reader.option("modifiedAfter", since)
     try:
-        inferred = _batch_reader(spark, fmt, glob, multiline, header).format(fmt).load(path).schema
-    except Exception:  # noqa: BLE001 - empty landing folder: nothing to infer yet
+        inferred = reader.format(fmt).load(path).schema
+    except Exception:  # noqa: BLE001 - nothing (new) to infer from
         inferred = StructType([])
     fields = [StructField(f.name, f.dataType, True) for f in inferred.fields
               if f.name != "_corrupt_record"]
     merged = merge_schemas(old, StructType(fields))
-    _write_registry(spark, registry, merged.json())
+    until = (started - dt.timedelta(seconds=margin_s)).strftime("%Y-%m-%dT%H:%M:%S")
+    _write_registry(spark, registry, json.dumps({"schema": json.loads(merged.json()), "inferred_until": until}))
     return merged
 
 
