@@ -66,7 +66,10 @@ def evolve_schema(spark: SparkSession, path: str, fmt: str, registry: str, glob:
     import datetime as dt
     from zoneinfo import ZoneInfo
     # `modifiedAfter` is read in the session time zone
-    tz = ZoneInfo(spark.conf.get("spark.sql.session.timeZone", "UTC") or "UTC")
+    try:
+        tz = ZoneInfo(spark.conf.get("spark.sql.session.timeZone", "UTC") or "UTC")
+    except Exception:  # noqa: BLE001 - offset-style zone ids: fall back to UTC
+        tz = ZoneInfo("UTC")
     started = dt.datetime.now(tz).replace(tzinfo=None)
     stored = _read_registry(spark, registry)
     old, since = None, None
