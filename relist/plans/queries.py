@@ -355,7 +355,7 @@ _ORD = ("CAST(rank AS VARCHAR) || CASE WHEN rank % 100 BETWEEN 11 AND 13 THEN 't
 
 @register("brand_rank", "WITH " + O.RAW_COUNTS + OVERLAY_SQL + f"""
 , t AS (SELECT brand, CAST(sum(count) AS BIGINT) AS total FROM ov0 WHERE marketplace IN ('click', 'view') GROUP BY brand),
-  r AS (SELECT brand, total, row_number() OVER (ORDER BY total DESC, brand) AS rank,
+  r AS (SELECT brand, total, CAST(row_number() OVER (ORDER BY total DESC, brand) AS INTEGER) AS rank,
                count(*) OVER () AS n, max(total) OVER () AS leader FROM t)
 SELECT brand, total, rank, n, {_ORD} || ' / ' || CAST(n AS VARCHAR) AS rank_label,
        CASE WHEN leader > 0 THEN round_even((leader - total) * 100.0 / leader, 0) ELSE 0.0 END AS gap_to_leader_pct,
@@ -377,7 +377,7 @@ def q_brand_matrix(spark, d):
 @register("top_brands", "WITH " + O.RAW_COUNTS + f"""
 , t AS (SELECT brand, CAST(sum(count) AS BIGINT) AS baseline_total FROM baseline
         WHERE marketplace IN ('click', 'view') GROUP BY brand),
-  r AS (SELECT *, row_number() OVER (ORDER BY baseline_total DESC, brand) AS pos FROM t)
+  r AS (SELECT *, CAST(row_number() OVER (ORDER BY baseline_total DESC, brand) AS INTEGER) AS pos FROM t)
 SELECT * FROM r WHERE pos <= 5 OR brand = '{HOME}'""")
 def q_top_brands(spark, d):
     return CP.top_brands(A.baseline_counts(spark, d), 5, HOME, TOTAL_MK)
@@ -500,7 +500,7 @@ from ..operators import convo as CV  # noqa: E402
 
 
 @register("last_turns", """
-SELECT conv_id, turn, role, text, from_end FROM (
+SELECT conv_id, turn, role, text, CAST(from_end AS INTEGER) AS from_end FROM (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS from_end FROM conversations)
 WHERE from_end <= 6""")
 def q_last_turns(spark, d):
@@ -552,7 +552,7 @@ s AS (SELECT c.qid, e.vec_id AS cid,
              list_dot_product(c.qvec, CAST(e.embedding AS DOUBLE[])) /
              (sqrt(list_dot_product(c.qvec, c.qvec)) * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))) AS s
       FROM c, embeddings e),
-r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s DESC NULLS LAST, cid) AS rank FROM s)
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY s DESC NULLS LAST, cid) AS INTEGER) AS rank FROM s)
 SELECT qid, cid, round(s, 4) AS score, rank FROM r WHERE rank <= 3""")
 def q_label_topk(spark, d):
     emb = A.table(spark, d, "embeddings")
@@ -668,7 +668,7 @@ _HREF = "trim(regexp_extract(p, '^[^>]*?href=\"([^\"]*)\"', 1))"
                    OR (contains(href, '/catalogue/') AND length(href) - length(replace(href, '/', '')) <= 4))),
   d AS (SELECT *, row_number() OVER (PARTITION BY page_id, external_id ORDER BY pos) AS rn FROM c
         WHERE external_id <> '' AND title <> '' AND length(title) <= 500)
-SELECT page_id, pos AS position, external_id, title, url, price FROM d WHERE rn = 1""")
+SELECT page_id, CAST(pos AS INTEGER) AS position, external_id, title, url, price FROM d WHERE rn = 1""")
 def q_page_cards(spark, d):
     return X.page_cards(augmented_pages(spark, d))
 
@@ -807,7 +807,7 @@ s AS (SELECT e.vec_id AS qid, c.cid,
              list_dot_product(c.vec, CAST(e.embedding AS DOUBLE[])) /
              (sqrt(list_dot_product(c.vec, c.vec)) * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))) AS s
       FROM embeddings e, c),
-r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s DESC NULLS LAST, cid) AS rank FROM s)
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY s DESC NULLS LAST, cid) AS INTEGER) AS rank FROM s)
 SELECT qid, rank, cid, round(s, 4) AS score FROM r WHERE rank <= 3""")
 def q_vector_label_match(spark, d):
     """Every vector matched to its 3 closest label centroids (the batch
