@@ -6,6 +6,8 @@ import __spark_entry__ as E
 from tests.oracle_harness import digest, duck, rows_of
 
 SF = "/root/testdata/sf0.001"
+TYPE_MAP = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+            "BOOLEAN": "boolean", "TIMESTAMP": "timestamp", "DATE": "date"}
 SQL = E.oracle_sql()
 NAMES = sorted(E.queries())
 
@@ -26,6 +28,9 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in cur.description]
     drows = [dict(zip(dcols, r)) for r in cur.fetchall()]
     assert sorted(dcols) == sorted(df.columns)
+    duck_types = {c[0]: TYPE_MAP.get(str(c[1]), str(c[1])) for c in cur.description}
+    for c, t in df.dtypes:
+        assert duck_types[c] == ("timestamp" if t == "timestamp_ntz" else t), (c, t, duck_types[c])
     cols = sorted(df.columns)
     assert len(rows) == len(drows)
     assert digest(rows_of(rows, cols)) == digest(rows_of(drows, cols))
