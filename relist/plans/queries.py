@@ -930,3 +930,31 @@ def q_program_results(spark, d):
     latest = CP.latest_by_marketplace(CL.clean_counts(A.raw_counts(spark, d))).select(
         "marketplace", "count", "last_run_at")
     return J.lookup(programs, latest, "marketplace").select("program", "marketplace", "count", "last_run_at")
+
+
+SNAPSHOT_DAY = "2024-01-04 00:00:00"
+_DIFF_COLS = ["title", "price", "product_url", "rating", "scraped_at"]
+
+
+@register("catalog_changes", "WITH " + O.RAW_CATALOG + LATEST_PRODUCTS_SQL + f"""
+, old_r AS (SELECT *, row_number() OVER (PARTITION BY product_uid ORDER BY
+              {", ".join(c + " DESC NULLS LAST" for c in _PROD_ORDER)}) AS rn
+            FROM products WHERE scraped_at <= TIMESTAMP '{SNAPSHOT_DAY}'),
+  old AS (SELECT * FROM old_r WHERE rn = 1)
+SELECT coalesce(n.product_uid, o.product_uid) AS product_uid,
+       CASE WHEN o.product_uid IS NULL THEN 'insert' WHEN n.product_uid IS NULL THEN 'delete' ELSE 'update' END AS change,
+       {", ".join(f"CASE WHEN n.product_uid IS NULL THEN o.{c} ELSE n.{c} END AS {c}" for c in _DIFF_COLS)}
+FROM old o FULL OUTER JOIN lp n ON o.product_uid = n.product_uid
+WHERE o.product_uid IS NULL OR n.product_uid IS NULL
+   OR ({", ".join("o." + c for c in _DIFF_COLS)}) IS DISTINCT FROM ({", ".join("n." + c for c in _DIFF_COLS)})""")
+def q_catalog_changes(spark, d):
+    """Change feed of the catalog: the snapshot as of an earlier day vs the
+    current one (insert / update / delete rows, unchanged rows dropped)."""
+    from ..sources.sinks import snapshot_diff
+    cols = ["product_uid"] + _DIFF_COLS
+    order = [F.col(c).desc_nulls_last() for c in _PROD_ORDER]
+    prods = A.products(spark, d)
+    old = D.latest_per_key(prods.filter(F.col("scraped_at") <= F.lit(SNAPSHOT_DAY).cast("timestamp")),
+                           ["product_uid"], order).select(*cols)
+    new = D.latest_per_key(prods, ["product_uid"], order).select(*cols)
+    return snapshot_diff(old, new, ["product_uid"])
