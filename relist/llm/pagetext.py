@@ -28,6 +28,7 @@ import html as _html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -104,6 +105,27 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(text)} if text.strip("/ \t\r\n") else {}
 
 
+@lru_cache(maxsize=None)                # one per name in RAW
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I)
+
+
+@lru_cache(maxsize=4096)
+def _nature(tag: str, rest: str) -> tuple[bool, bool, str]:
+    """(boilerplate, header, step of the path) of a start tag."""
+    attr = _attributes(rest)
+    classes = sorted({re.sub(r"\d+", "", c) for c in attr.get("class", "").split()} - {""})
+    step = ">" + ".".join([tag, *classes]) if tag in BLOCK else ""
+    if tag in ("html", "body"):
+        return False, False, step
+    names = [*attr.get("class", "").split(), attr.get("id", "")]
+    noise = (tag in NOISE_TAGS or attr.get("role", "").lower() in NOISE_ROLES or "hidden" in attr
+             or attr.get("aria-hidden", "").lower() == "true" and tag != "main"
+             or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attr.get("style", ""), re.I) is not None
+             or any(map(_noise_name, names)))
+    return noise, tag == "header" or tag in BLOCK - HEADING and any(map(_header_name, names)), step
+
+
 def parse(html: str) -> Page:
     """Blocks of text with the elements they stand in."""
     page = Page()
@@ -192,22 +214,12 @@ def parse(html: str) -> Page:
         if tag in VOID:
             continue
         if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, pos)
+            stop = _raw_end(tag).search(html, pos)
             pos = stop.end() if stop else end
             continue
-        attr = _attributes(rest)
-        classes = sorted({re.sub(r"\d+", "", c) for c in attr.get("class", "").split()} - {""})
+        own, header, step = _nature(tag, rest)
         up = els[stack[-1]]
-        names = [*attr.get("class", "").split(), attr.get("id", "")]
-        frame = tag in ("html", "body")
-        noise = up.noise or not frame and (
-            tag in NOISE_TAGS or attr.get("role", "").lower() in NOISE_ROLES or "hidden" in attr
-            or attr.get("aria-hidden", "").lower() == "true" and tag != "main"
-            or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attr.get("style", ""), re.I) is not None
-            or any(map(_noise_name, names)))
-        header = up.header or not frame and (tag == "header" or tag in BLOCK - HEADING and any(map(_header_name, names)))
-        els.append(Element(tag, up.path + ">" + ".".join([tag, *classes]) if tag in BLOCK else up.path, stack[-1],
-                           noise, header))
+        els.append(Element(tag, up.path + step, stack[-1], up.noise or own, up.header or header))
         if tag == "a":
             in_link += 1
         stack.append(len(els) - 1)
