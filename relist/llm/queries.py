@@ -20,6 +20,13 @@ def query(fn):
     return fn
 
 
+@query
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash_dedup import hex_digits, near_duplicates
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import identify
