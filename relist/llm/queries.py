@@ -27,6 +27,12 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import matches
+    return matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import identify
