@@ -39,6 +39,28 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+ORACLE["op5_substring_dedup"] = r"""
+with d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents),
+win as (select doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') as s
+        from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from d where len(w) >= 13)),
+low as (select s, min(doc_id) as m from win group by s),
+gone as (select distinct doc_id, i + k as p from (select win.doc_id, win.i from win join low using (s) where m < win.doc_id),
+         range(0, 13) as r(k)),
+word as (select doc_id, unnest(w) as x, generate_subscripts(w, 1) as p from d),
+kept as (select word.doc_id, string_agg(x, ' ' order by p) as t, count(*) as n
+         from word left join gone using (doc_id, p) where gone.p is null group by word.doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+       sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (doc_id)
+"""
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import dedup_substrings
+    return dedup_substrings(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sentencepieces import round_trip
