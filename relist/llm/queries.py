@@ -77,6 +77,14 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "blob")
 
 
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linededup import dedup_lines
+    done = dedup_lines(_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", (F.col("n_lines") - F.col("kept_lines")).alias("n_removed"),
+                       F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 @query
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pagetext import main_text
