@@ -27,6 +27,12 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import nearest
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import matches
