@@ -301,7 +301,7 @@ def _host():
 def main_text(pages: DataFrame) -> DataFrame:
     """Every page with ``text`` and ``n_chars`` (code points) instead of ``html``."""
     winners = broadcast_if_small(materialise(host_paths(pages), "host-paths"), 400)
-    keep = [c for c in pages.columns if c not in ("html", "text", "n_chars", "host", "path")]
+    keep = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
     schema = T.StructType([pages.schema[c] for c in keep]
                           + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
@@ -314,5 +314,6 @@ def main_text(pages: DataFrame) -> DataFrame:
                 names=[*keep, "text", "n_chars"])
 
     rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col("html").alias("__html"), _host().alias("__host"))
-    joined = rows.join(winners, F.col("__host") == F.col("host"), "left")
-    return (joined.select(*[F.col(f"`{c}`") for c in keep], "__html", F.col("path").alias("__path")).mapInArrow(run, schema))
+    best = winners.select(F.col("host").alias("__h"), F.col("path").alias("__path"))
+    joined = rows.join(best, F.col("__host") == F.col("__h"), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in keep], "__html", "__path").mapInArrow(run, schema)

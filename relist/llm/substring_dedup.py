@@ -27,7 +27,7 @@ documents go only to the shards that can match:
 
 Defined cases: null and empty texts have no words; documents under ``WINDOW``
 words lose nothing; a repeat inside one document is no repeat; rows that
-repeat a ``doc_id`` are the same document; rows without ``doc_id`` lose
+repeat a ``doc_id`` are taken for repeats of one row; rows without ``doc_id`` lose
 nothing and are nobody's reference; an empty table gives an empty result.
 """
 
