@@ -67,21 +67,31 @@ def slug(text: Column) -> Column:
     return F.regexp_replace(s, "^-+|-+$", "")
 
 
+# Character references that occur in card titles and links.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def _decoded(text: Column) -> Column:
+    for name, char in ENTITIES:
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return text
+
+
 def page_cards(pages: DataFrame, key: str = "page_id", html: str = "html", url: str = "url",
-               window: int = 300) -> DataFrame:
+               max_title: int | None = 500) -> DataFrame:
     """Product cards from catalogue pages: anchors to '/fr/<slug>-<id>/'
     (shop and shallow catalogue links excluded), non-empty title of at most
-    500 characters, first 'n,nn €' price in the text following the anchor
-    (up to the next anchor, at most ``window`` characters), first
-    occurrence of each id per page."""
+    ``max_title`` characters (None: any), first 'n,nn €' price in the text
+    following the anchor up to the next anchor, first occurrence of each id
+    per page.  Cards may span lines, links may stand in either quotes."""
     pieces = pages.select(key, F.regexp_extract(F.col(url), r"^(https?://[^/]+)", 1).alias("_base"),
-                          F.posexplode(F.split(F.col(html), "<a ")).alias("_pos", "_p"))
+                          F.posexplode(F.split(F.col(html), r"<a\s")).alias("_pos", "_p"))
     p = pieces.filter(F.col("_pos") > 0)
-    href = F.trim(F.regexp_extract("_p", r'^[^>]*?href="([^"]*)"', 1))
-    inner = F.regexp_extract("_p", r"^[^>]*>(.*?)</a>", 1)
-    after = F.substring(F.regexp_extract("_p", r"</a>(.*)$", 1), 1, window)
-    p = p.select(key, "_pos", "_base", href.alias("href"),
-                 F.trim(F.regexp_replace(inner, "<[^>]*>", "")).alias("title"),
+    href = F.trim(F.regexp_extract("_p", r"""(?s)^[^>]*?href\s*=\s*(["'])(.*?)\1""", 2))
+    inner = F.regexp_extract("_p", r"(?s)^[^>]*>(.*?)</a>", 1)
+    after = F.regexp_extract("_p", r"(?s)</a>(.*)$", 1)
+    title = F.regexp_replace(_decoded(F.regexp_replace(inner, "<[^>]*>", "")), r"\s+", " ")
+    p = p.select(key, "_pos", "_base", _decoded(href).alias("href"), F.trim(title).alias("title"),
                  F.regexp_replace(after, " ", "").alias("_after"))
     slashes = F.length("href") - F.length(F.regexp_replace("href", "/", ""))
     skip = (~F.col("href").contains("/fr/") | F.col("href").contains("/nos-boutiques/")
@@ -92,32 +102,49 @@ def page_cards(pages: DataFrame, key: str = "page_id", html: str = "html", url:
              .select(key, "_pos", ext_id.alias("external_id"), "title",
                      F.when(F.col("href").startswith("http"), F.col("href"))
                       .otherwise(F.concat("_base", "href")).alias("url"), price.alias("price"))
-             .filter((F.col("external_id") != "") & (F.col("title") != "") & (F.length("title") <= 500)))
+             .filter((F.col("external_id") != "") & (F.col("title") != "")))
+    if max_title is not None:
+        cards = cards.filter(F.length("title") <= max_title)
     w = Window.partitionBy(key, "external_id").orderBy("_pos")
     return (cards.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
             .drop("_rn").withColumnRenamed("_pos", "position"))
 
 
-def _find_total(obj, depth: int = 0, max_depth: int = 8, list_head: int = 5):
-    if depth > max_depth:
-        return None
-    if isinstance(obj, dict):
-        for k in TOTAL_KEYS:
-            v = obj.get(k)
-            if isinstance(v, int) and not isinstance(v, bool) and v > 0:
-                return v
-        for v in obj.values():
-            r = _find_total(v, depth + 1, max_depth, list_head)
-            if r is not None:
-                return r
-    elif isinstance(obj, list):
-        for item in obj[:list_head]:
-            r = _find_total(item, depth + 1, max_depth, list_head)
-            if r is not None:
-                return r
+def first_total(document, max_depth: int | None = 8, list_head: int | None = 5) -> int | None:
+    """First positive whole number under a total-like key, in document order.
+
+    An own stack instead of recursion, so depth is no limit; ``max_depth``
+    and ``list_head`` bound the search as the definition does (None: no
+    bound)."""
+    waiting = [(document, 0)]
+    while waiting:
+        value, depth = waiting.pop()
+        if max_depth is not None and depth > max_depth:
+            continue
+        if isinstance(value, dict):
+            named = (value.get(k) for k in TOTAL_KEYS)
+            hit = next((n for n in named if type(n) is int and n > 0), None)
+            if hit is not None:
+                return hit
+            below = list(value.values())
+        else:
+            below = value[:list_head] if isinstance(value, list) else []
+        waiting += [(child, depth + 1) for child in reversed(below)]
     return None
 
 
+def _total_of(text: str | None) -> int | None:
+    """Total of one JSON text; unreadable text or a number beyond a bigint is
+    no match."""
+    if text is None:
+        return None
+    try:
+        total = first_total(json.loads(text))
+    except (ValueError, RecursionError):
+        return None
+    return total if total is not None and total < 1 << 63 else None
+
+
 def embedded_json(html: Column, script_id: str = "__NEXT_DATA__") -> Column:
     return F.nullif(F.regexp_extract(
         html, r"(?s)<script[^>]+id=[\"']" + script_id + r"[\"'][^>]*>(.*?)</script>", 1), F.lit(""))
@@ -126,8 +153,7 @@ def embedded_json(html: Column, script_id: str = "__NEXT_DATA__") -> Column:
 def total_from_json(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """First positive total-like key found depth-first in the page's
     embedded JSON (depth ≤ 8, first 5 list items); else the first
-    total-like number in the raw text.  The recursive walk runs per Arrow
-    batch in ``mapInPandas`` over the whole pages."""
+    total-like number in the raw text.  The walk runs per Arrow batch in ``mapInPandas`` over the whole pages."""
     src = pages.select(key, embedded_json(F.col(html)).alias("_json"),
                        count_from_text(F.col(html), (r'"totalCount"\s*:\s*(\d+)', r'"nbHits"\s*:\s*(\d+)',
                                                      r'"total"\s*:\s*(\d+)')).alias("_fallback"))
@@ -135,16 +161,7 @@ def total_from_json(pages: DataFrame, key: str = "page_id", html: str = "html")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for j in b["_json"]:
-                v = None
-                if j is not None:
-                    try:
-                        v = _find_total(json.loads(j))
-                    except ValueError:
-                        v = None
-                out.append(v)
-            res = pd.Series(out, dtype="Int64")
+            res = pd.Series([_total_of(j) for j in b["_json"]], dtype="Int64")
             fb = b["_fallback"].astype("Int64")
             yield pd.DataFrame({key: b[key], "total": res.fillna(fb)})
 
@@ -183,10 +200,11 @@ def parse_reply(text: Column, schema: str = REPLY_SCHEMA) -> Column:
     parsed as JSON; when it does not parse, the raw text becomes
     ``search_text``."""
     body = F.regexp_replace(F.trim(text), r"^```(?:json)?\s*|\s*```$", "")
-    parsed = F.from_json(body, schema)
-    ok = parsed.isNotNull() & F.trim(body).startswith("{")
     fields = [f.split()[0] for f in schema.split(",")]
-    return F.when(ok, parsed).otherwise(F.struct(*[
+    # broken JSON parses to a struct of nulls; the corrupt-record field tells it from an empty reply
+    parsed = F.from_json(body, f"{schema}, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"})
+    ok = parsed.isNotNull() & parsed.getField("_corrupt_record").isNull() & F.trim(body).startswith("{")
+    return F.when(ok, F.struct(*[parsed.getField(f).alias(f) for f in fields])).otherwise(F.struct(*[
         (F.trim(text) if f == "search_text" else F.lit(None).cast("string")).alias(f) for f in fields]))
 
 

@@ -99,13 +99,6 @@ def contains_join(left: DataFrame, left_key: str, left_text: str,
     return out_long.unionByName(out_short.select(*cols))
 
 
-def contains_join_naive(left: DataFrame, left_text: str, right: DataFrame,
-                        right_pattern: str) -> DataFrame:
-    """Reference semantics of :func:`contains_join` (nested loop) – tests only."""
-    r = right.filter(F.col(right_pattern).isNotNull() & (F.length(right_pattern) > 0))
-    return left.join(r, F.col(left_text).contains(F.col(right_pattern)))
-
-
 def overlay(live: DataFrame, baseline: DataFrame, keys: Sequence[str] = ("brand", "marketplace"),
             value: str = "count", zero_is_missing: bool = False) -> DataFrame:
     """Live value over baseline per key (full outer join).
@@ -126,10 +119,9 @@ def overlay(live: DataFrame, baseline: DataFrame, keys: Sequence[str] = ("brand"
                     F.col("_base").cast("bigint").alias("baseline"))
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str], max_dim_rows: int = 1_000_000) -> DataFrame:
-    """Left lookup join; the dimension is broadcast only after a size check."""
-    side = F.broadcast(dim) if bounded(dim, max_dim_rows) else dim
-    return df.join(side, on, "left")
+def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Left lookup join; the optimizer broadcasts the dimension if its size allows."""
+    return df.join(dim, on, "left")
 
 
 def without_existing(df: DataFrame, existing: DataFrame | None, on: str | Sequence[str]) -> DataFrame:

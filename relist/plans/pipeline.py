@@ -14,8 +14,6 @@ Landing layout (sub-folders of ``landing``)::
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,13 +24,14 @@ from ..operators import dedupe as D
 from ..operators import geo as G
 from ..operators.market import catalog_market
 from ..schemas import PRODUCT, STORE
+from ..session import path_exists
 from ..sources.readers import read_csv_strings
 from ..sources.sinks import write_view
 from ..streaming.ingest import ingest, read_table
 
 
 def _p(*parts):
-    return os.path.join(*parts)
+    return "/".join(p.rstrip("/") for p in parts)
 
 
 def bronze(spark: SparkSession, landing: str, out: str) -> None:
@@ -47,7 +46,7 @@ def bronze(spark: SparkSession, landing: str, out: str) -> None:
         ("bronze_stores", _p(landing, "stores"), "json", STORE, "*.json", True),
     ]
     for name, src, fmt, schema, glob, ml in specs:
-        if os.path.isdir(src) or src.startswith(("s3", "gs", "abfs", "hdfs", "dbfs")):
+        if path_exists(spark, src):
             ingest(spark, src, _p(out, name), _p(ck, name), fmt=fmt, schema=schema, glob=glob, multiline=ml)
 
 
@@ -58,10 +57,10 @@ def _read(spark, out, name, schema=None) -> DataFrame:
 def silver(spark: SparkSession, landing: str, out: str, sources=C.LISTING_SOURCES) -> dict[str, DataFrame]:
     raw = _read(spark, out, "bronze_listings")
     enr = _p(landing, "enrichment_files")
-    postal = G.postal_centroids(read_csv_strings(spark, enr, "postal*.csv")) if os.path.isdir(enr) else \
+    postal = G.postal_centroids(read_csv_strings(spark, enr, "postal*.csv")) if path_exists(spark, enr) else \
         spark.createDataFrame([], "code_postal string, avg_lat double, avg_lon double")
     gaz_path = _p(enr, "gazetteer.csv")
-    if os.path.exists(gaz_path):
+    if path_exists(spark, gaz_path):
         g = read_csv_strings(spark, gaz_path)
         # list order is semantic: an explicit `ord` column, else the line
         # order of this single small file (one partition, so the generated

@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -42,25 +43,28 @@ def prepare(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage.  Only when it is
-    unset (local tests) a scratch folder is created and registered.
+    A cluster must name one.  Only a local session that names none (tests)
+    gets a scratch folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="relist-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-        pass
+        if not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="relist-ckpt-"))
+        d = context.getCheckpointDir()
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives
-    executor loss, unlike a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's own file systems know the path, wherever it lies."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def bounded(df: DataFrame, max_rows: int) -> bool:

@@ -20,7 +20,7 @@ def write_view(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> No
 def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
     """Create-or-replace a catalog table as select (schema replaced too);
     ``path`` makes it an external table at that location."""
-    w = df.write.mode("overwrite").option("overwriteSchema", "true")
+    w = df.write.mode("overwrite")
     if path:
         w = w.option("path", path)
     if partition_by:
@@ -40,19 +40,21 @@ def write_run(df: DataFrame, path: str, run_id: str, fmt: str = "json",
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Change rows between two snapshots of a table: 'insert', 'update'
-    (row hash differs) or 'delete', with the new row (old row for deletes).
-    One full outer join on the key; unchanged rows are dropped."""
+    """Change rows between two snapshots of a table: 'insert', 'update' (some
+    column differs, null being a value like any other) or 'delete', with the
+    new row (old row for deletes).  One full outer join on the key; unchanged
+    rows are dropped."""
     key = list(key)
     cols = [c for c in new.columns if c not in key]
-    h = F.xxhash64(*[F.col(c) for c in cols]) if cols else F.lit(0)
-    o = old.select(*key, h.alias("_h_old"), F.struct(*[F.col(c) for c in old.columns if c not in key]).alias("_o"))
-    n = new.select(*key, h.alias("_h_new"), F.struct(*[F.col(c) for c in cols]).alias("_n"))
-    j = o.join(n, key, "full")
-    op = (F.when(F.col("_h_old").isNull(), F.lit("insert"))
-          .when(F.col("_h_new").isNull(), F.lit("delete"))
-          .when(F.col("_h_old") != F.col("_h_new"), F.lit("update")))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        values = [(F.col(c) if c in df.columns else F.lit(None).cast(new.schema[c].dataType)).alias(c) for c in cols]
+        return df.select(*key, F.struct(F.lit(True).alias("there"), *values).alias(name))
+
+    j = side(old, "_o").join(side(new, "_n"), key, "full")
+    op = (F.when(F.col("_o").isNull(), F.lit("insert"))
+          .when(F.col("_n").isNull(), F.lit("delete"))
+          .when(~F.col("_o").eqNullSafe(F.col("_n")), F.lit("update")))
+    row = F.coalesce("_n", "_o")
     return (j.withColumn("_op", op).filter(F.col("_op").isNotNull())
-            .select(*key, F.col("_op").alias("change"),
-                    *[F.coalesce(F.col("_n").getField(c), F.when(F.col("_op") == "delete", F.col("_o").getField(c)))
-                      .alias(c) for c in cols]))
+            .select(*key, F.col("_op").alias("change"), *[row.getField(c).alias(c) for c in cols]))

@@ -1,32 +1,37 @@
 """Incremental file ingest with Structured Streaming.
 
 ``ingest`` runs a file-source stream with ``trigger(availableNow=True)``:
-every file landed since the last run is read exactly once (the checkpoint
-tracks processed files), lineage columns are added, and rows are appended
-to a Parquet table.  Schema evolution without a proprietary loader: the
-stream's schema is the union of a schema registry kept beside the
-checkpoint and the schema inferred from the landing files; new columns are
-added (old rows read back as null through ``mergeSchema``), existing column
-types are kept.
+every file landed since the last run is read exactly once, however old its
+time stamp (the checkpoint tracks processed files), lineage columns are
+added, and rows are appended to a Parquet table.  Schema evolution without a
+proprietary loader: the stream's schema is the union of a schema registry
+kept beside the checkpoint and the schema inferred from the files the
+registry has not seen yet; new columns and new fields of nested structs are
+added (old rows read back as null through ``mergeSchema``), known types are
+kept, and a record with a value that does not fit its type is kept as it was
+landed in ``_rescued_data``.
 """
 
 from __future__ import annotations
 
 import json
-import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
+
+from ..session import path_exists
+
+RESCUED = "_rescued_data"
 
 
 def _read_registry(spark: SparkSession, path: str) -> str | None:
     """The registered schema (JSON text), or None before the first run.
     Kept as a one-line text dataset so any shared file system works."""
-    try:
-        rows = spark.read.text(path).collect()   # a single line
-    except Exception:  # noqa: BLE001 - no registry yet
+    if not path_exists(spark, path):
         return None
+    rows = spark.read.text(path).collect()       # a single line
     return rows[0][0] if rows else None
 
 
@@ -34,63 +39,70 @@ def _write_registry(spark: SparkSession, path: str, text: str) -> None:
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
+def _merge_types(old: DataType, new: DataType) -> DataType:
+    """The known type, with fields of nested structs seen for the first time."""
+    if isinstance(old, StructType) and isinstance(new, StructType):
+        return merge_schemas(old, new)
+    if isinstance(old, ArrayType) and isinstance(new, ArrayType):
+        return ArrayType(_merge_types(old.elementType, new.elementType), True)
+    return old
+
+
 def merge_schemas(old: StructType | None, new: StructType) -> StructType:
-    """Keep every known field (and its type); append fields seen for the first time."""
+    """Keep every known field (and its type); append fields seen for the first
+    time, at any depth."""
     if old is None:
         return new
+    fresh = {f.name.lower(): f for f in new.fields}
+    kept = [StructField(f.name, _merge_types(f.dataType, fresh[f.name.lower()].dataType)
+                        if f.name.lower() in fresh else f.dataType, True) for f in old.fields]
     names = {f.name.lower() for f in old.fields}
-    return StructType(list(old.fields) + [f for f in new.fields if f.name.lower() not in names])
+    return StructType(kept + [f for f in new.fields if f.name.lower() not in names])
 
 
-def _batch_reader(spark: SparkSession, fmt: str, glob: str | None, multiline: bool, header: bool):
-    r = spark.read.option("recursiveFileLookup", "true")
+def _options(reader, fmt: str, glob: str | None, multiline: bool, header: bool):
+    reader = reader.option("recursiveFileLookup", "true")
     if glob:
-        r = r.option("pathGlobFilter", glob)
+        reader = reader.option("pathGlobFilter", glob)
     if fmt == "json":
-        r = r.option("multiLine", str(multiline).lower())
+        reader = reader.option("multiLine", str(multiline).lower())
     elif fmt == "csv":
-        r = r.option("header", str(header).lower()).option("inferSchema", "true")
-    return r
+        reader = reader.option("header", str(header).lower())
+    return reader
+
+
+def _landed(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
+    """Paths of the landed files (a listing; no file is opened)."""
+    return _options(spark.read, "binaryFile", glob, False, False).format("binaryFile").load(path).select("path")
 
 
 def evolve_schema(spark: SparkSession, path: str, fmt: str, registry: str, glob: str | None = None,
-                  multiline: bool = False, header: bool = True, sampling_ratio: float = 1.0,
-                  margin_s: int = 300) -> StructType:
+                  multiline: bool = False, header: bool = True, sampling_ratio: float = 1.0) -> StructType:
     """Union of the registered schema and the schema inferred from the files
-    landed since the previous run; the result is written back.
-
-    Only new files are read for inference (``modifiedAfter`` the previous
-    run's start, minus a safety margin – re-reading a few files is
-    harmless), so the cost follows the increment, not the whole landing
-    history."""
-    import datetime as dt
-    from zoneinfo import ZoneInfo
-    # `modifiedAfter` is read in the session time zone
-    try:
-        tz = ZoneInfo(spark.conf.get("spark.sql.session.timeZone", "UTC") or "UTC")
-    except Exception:  # noqa: BLE001 - offset-style zone ids: fall back to UTC
-        tz = ZoneInfo("UTC")
-    started = dt.datetime.now(tz).replace(tzinfo=None)
+    no earlier run has inferred from; the result is written back.
+
+    The registry lists the files it has seen, so the cost follows the
+    increment, and a file's time stamp plays no part."""
     stored = _read_registry(spark, registry)
-    old, since = None, None
-    if stored:
-        reg = json.loads(stored)
-        old = StructType.fromJson(reg["schema"])
-        since = reg.get("inferred_until")
-    reader = _batch_reader(spark, fmt, glob, multiline, header)
+    old = StructType.fromJson(json.loads(stored)["schema"]) if stored else None
+    seen_path = registry.rstrip("/") + "_files"
+    landed = _landed(spark, path, glob)
+    if path_exists(spark, seen_path):
+        landed = landed.join(spark.read.schema("path string").parquet(seen_path), "path", "left_anti")
+    new = sorted(r[0] for r in landed.collect())             # names of one run's files
+    if not new:
+        return old if old is not None else StructType([])
+    reader = _options(spark.read, fmt, None, multiline, header)
+    if fmt == "csv":
+        reader = reader.option("inferSchema", "true")
     if sampling_ratio < 1.0 and fmt == "json":
         reader = reader.option("samplingRatio", str(sampling_ratio))
-    if since:
-        reader = reader.option("modifiedAfter", since)
-    try:
-        inferred = reader.format(fmt).load(path).schema
-    except Exception:  # noqa: BLE001 - nothing (new) to infer from
-        inferred = StructType([])
+    inferred = reader.format(fmt).load(new).schema
     fields = [StructField(f.name, f.dataType, True) for f in inferred.fields
-              if f.name != "_corrupt_record"]
+              if f.name not in ("_corrupt_record", RESCUED)]
     merged = merge_schemas(old, StructType(fields))
-    until = (started - dt.timedelta(seconds=margin_s)).strftime("%Y-%m-%dT%H:%M:%S")
-    _write_registry(spark, registry, json.dumps({"schema": json.loads(merged.json()), "inferred_until": until}))
+    _write_registry(spark, registry, json.dumps({"schema": json.loads(merged.json())}))
+    spark.createDataFrame([(p,) for p in new], "path string").write.mode("append").parquet(seen_path)
     return merged
 
 
@@ -98,13 +110,12 @@ def stream_files(spark: SparkSession, path: str, fmt: str, schema: StructType, g
                  multiline: bool = False, header: bool = True) -> DataFrame:
     """Streaming DataFrame over a landing folder (recursive, filtered by glob)
     with ingest time and source file lineage."""
-    r = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    if fmt == "json":
-        r = r.option("multiLine", str(multiline).lower())
-    elif fmt == "csv":
-        r = r.option("header", str(header).lower())
+    if RESCUED not in schema.fieldNames():
+        schema = StructType([*schema.fields, StructField(RESCUED, StringType(), True)])
+    # the checkpoint gives exactly-once; no file is too old to be new
+    r = _options(spark.readStream.schema(schema), fmt, glob, multiline, header).option("maxFileAge", "36500d")
+    if fmt in ("json", "csv"):
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RESCUED)
     df = r.format(fmt).load(path)
     return (df.withColumn("_ingested_at", F.current_timestamp())
               .withColumn("_source_file", F.col("_metadata.file_path")))
@@ -123,18 +134,31 @@ def ingest(spark: SparkSession, path: str, out: str, checkpoint: str, fmt: str =
             return 0
     df = stream_files(spark, path, fmt, schema, glob, multiline, header)
     q = (df.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", os.path.join(checkpoint, "stream"))
+         .option("checkpointLocation", checkpoint.rstrip("/") + "/stream")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return len(q.recentProgress)
 
 
+def backfill(spark: SparkSession, path: str, out: str, checkpoint: str, run: str, **options) -> DataFrame:
+    """Read the whole landing history again, into a table and a checkpoint of
+    their own (``<out>_<run>``, ``<checkpoint>_<run>``); the caller switches
+    readers over when it is complete.  Returns the new table."""
+    ingest(spark, path, f"{out}_{run}", f"{checkpoint}_{run}", **options)
+    return read_table(spark, f"{out}_{run}")
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Read an ingested table back (schemas of all runs merged)."""
+    """Read an ingested table back (schemas of all runs merged); empty before
+    the first run.  A damaged table raises."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema or StructType([]))
     r = spark.read.option("mergeSchema", "true")
     if schema is not None:
-        r = r.schema(schema)
+        return r.schema(schema).parquet(path)
     try:
         return r.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing ingested yet
-        return spark.createDataFrame([], schema or StructType([]))
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":     # a stream that has not written a row yet
+            raise
+        return spark.createDataFrame([], StructType([]))
