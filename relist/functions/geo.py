@@ -25,11 +25,11 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column,
 
 def _fold_tables() -> tuple[str, str]:
     """translate() tables derived by rule: every Latin character in
-    U+00C0..U+024F whose canonical decomposition starts with an ASCII letter
-    maps to that letter.  Characters without one (œ, ß, ø…) are later
+    U+00C0..U+024F and U+1E00..U+1EFF whose canonical decomposition starts
+    with an ASCII letter maps to that letter.  Characters without one (œ, ß, ø…) are later
     removed with the other non-ASCII characters."""
     src, dst = [], []
-    for cp in range(0x00C0, 0x0250):
+    for cp in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
         ch = chr(cp)
         base = unicodedata.normalize("NFD", ch)[0]
         if base.isascii() and base.isalpha():

@@ -149,7 +149,7 @@ def age_histogram(listings: DataFrame, as_of=None, bands=C.AGE_BANDS) -> DataFra
     bounded aggregate), then the reference day, bands and shares are
     computed on those few daily rows."""
     src = listings.filter(F.col("published_at").isNotNull())
-    daily = (src.groupBy(F.to_date(mixed_timestamp(F.col("published_at"))).alias("day"))
+    daily = (src.groupBy(F.to_date(_timestamp(src, "published_at")).alias("day"))
              .agg(F.count(F.lit(1)).alias("n")))
     ref = (F.max("day").over(Window.partitionBy()) if as_of is None
            else (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("date"))
@@ -203,9 +203,15 @@ def category_deep(listings: DataFrame, category: str | None = None, rules=C.CATE
             .groupBy("price_range", "sort_order", "source").agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def _timestamp(df: DataFrame, name: str):
+    """The column itself if it is a timestamp already, else its text parsed."""
+    c = F.col(name)
+    return c if dict(df.dtypes)[name].startswith("timestamp") else mixed_timestamp(c)
+
+
 def weekly_trend(listings: DataFrame, ts_col: str = "published_at") -> DataFrame:
     """Listings per (Monday-start week, source); undated rows dropped."""
-    week = F.date_trunc("WEEK", mixed_timestamp(F.col(ts_col)))
+    week = F.date_trunc("WEEK", _timestamp(listings, ts_col))
     return (listings.select(week.alias("week"), "source").filter(F.col("week").isNotNull())
             .groupBy("week", "source").agg(F.count(F.lit(1)).alias("cnt")))
 

@@ -35,11 +35,8 @@ def _pick(values, idx):
 
 def raw_listings(spark: SparkSession, d: str) -> DataFrame:
     """Landed listing rows (JSON-like, strings) – one per lineitem."""
-    # hash-partition the driving table on the order key: this is the
-    # partitioning the lineitem ⋈ orders sort-merge join needs at scale (so
-    # it replaces that join's exchange rather than adding one), and it
-    # spreads the per-row cleaning over all cores when the input file is a
-    # single row group (the local test files are)
+    # the orders come first: the partitioning by order key serves that join
+    # and spreads the rows of a file with a single row group over all cores
     li = (table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                              "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
           .repartition("l_orderkey"))
@@ -47,8 +44,8 @@ def raw_listings(spark: SparkSession, d: str) -> DataFrame:
     od = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     na = table(spark, d, "nation").select("n_nationkey", "n_name")   # 25 rows by spec
-    j = (li.join(pa, li.l_partkey == pa.p_partkey)
-         .join(od, li.l_orderkey == od.o_orderkey)
+    j = (li.join(od, li.l_orderkey == od.o_orderkey)
+         .join(pa, li.l_partkey == pa.p_partkey)
          .join(cu, od.o_custkey == cu.c_custkey)
          .join(F.broadcast(na), cu.c_nationkey == na.n_nationkey))
     src = _pick(SOURCES6, F.col("l_suppkey") % 6)
