@@ -120,16 +120,21 @@ def _edges(u: np.ndarray, v: np.ndarray, s: np.ndarray):
 
 
 def _best_pairs(ids: np.ndarray, x: np.ndarray, floor: np.ndarray, most: int) -> tuple:
-    """For every row of a group, its ``most`` best partners above ``floor``."""
-    s = x @ x.T
-    np.fill_diagonal(s, -np.inf)
-    s[ids[:, None] == ids[None, :]] = -np.inf
+    """For every row of a group, its ``most`` best partners above ``floor``;
+    512 rows at a time, so a group's products never lie in memory as a whole."""
     most = min(most, len(ids) - 1)
-    at = np.argpartition(-s, most - 1, axis=1)[:, :most]
-    top = np.take_along_axis(s, at, 1)
-    ok = (top > floor[:, None]) & np.isfinite(top)
-    row = np.broadcast_to(np.arange(len(ids))[:, None], at.shape)[ok]
-    return ids[row], ids[at[ok]], top[ok].astype(np.float32)
+    u, v, w = [], [], []
+    for lo in range(0, len(ids), 512):
+        own = ids[lo:lo + 512]
+        s = x[lo:lo + 512] @ x.T
+        s[own[:, None] == ids[None, :]] = -np.inf
+        at = np.argpartition(-s, most - 1, axis=1)[:, :most]
+        top = np.take_along_axis(s, at, 1)
+        ok = (top > floor[lo:lo + 512, None]) & np.isfinite(top)
+        u.append(np.broadcast_to(own[:, None], at.shape)[ok])
+        v.append(ids[at[ok]])
+        w.append(top[ok])
+    return np.concatenate(u), np.concatenate(v), np.concatenate(w).astype(np.float32)
 
 
 def _compare(batches: Iterator, most: int, group: str, has_floor: bool) -> Iterator:
@@ -150,7 +155,7 @@ def _top(edges: DataFrame, k: int, by: str = "u") -> DataFrame:
     return edges.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k).drop("place")
 
 
-def first_graph(nodes: DataFrame, dim: int, k: int, trees: int, leaf: int, sample: int) -> DataFrame:
+def first_graph(nodes: DataFrame, dim: int, k: int, trees: int, leaf: int, per_tree: int, sample: int) -> DataFrame:
     n = nodes.count()
     bits = max(0, ceil(log2(max(n, 1) / leaf)))
     rng = np.random.default_rng(11)
@@ -178,7 +183,7 @@ def first_graph(nodes: DataFrame, dim: int, k: int, trees: int, leaf: int, sampl
     split = dealt.join(parts, "bucket").select(
         F.xxhash64("bucket", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("part"), "node", "code", "scale")
     pairs = split.repartition("part").sortWithinPartitions("part").mapInArrow(
-        lambda b: _compare(b, k, "part", False), EDGE)
+        lambda b: _compare(b, per_tree, "part", False), EDGE)
     return materialise(_top(pairs.groupBy("u", "v").agg(F.max("s").alias("s")), k), "graph")
 
 
@@ -282,12 +287,12 @@ def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam:
     return state.select("q", "node", "s")
 
 
-def nearest(vectors: DataFrame, is_query, top: int = 20, k: int = 28, trees: int = 8, leaf: int = 200, rounds: int = 6,
-            settled: float = 0.01, propose: int = 14, beam: int = 128, steps: int = 4, expand: int = 24, sample: int = 2000) -> DataFrame:
+def nearest(vectors: DataFrame, is_query, top: int = 20, k: int = 28, trees: int = 32, leaf: int = 1000, per_tree: int = 7, rounds: int = 3,
+            settled: float = 0.01, propose: int = 14, beam: int = 160, steps: int = 4, expand: int = 32, sample: int = 2000) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest rows found for each
     row for whose ``vec_id`` the condition ``is_query`` holds."""
     nodes, rows, dim = nodes_of(vectors)
-    graph = descend(first_graph(nodes, dim, k, trees, leaf, sample), nodes, k, rounds, settled, propose)
+    graph = descend(first_graph(nodes, dim, k, trees, leaf, per_tree, sample), nodes, k, rounds, settled, propose)
     asking = materialise(rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("node").alias("q")), "asking")
     found = greedy_search(asking.select("q").distinct(), graph, nodes, beam, steps, expand)
     best = Window.partitionBy("q").orderBy(F.desc("s"), "node")
