@@ -13,7 +13,8 @@ kinds ``assign``, ``access`` and ``hex`` follow fixed patterns; the other
 kinds are added by this operator.
 
 Defined cases: a null text is the empty blob; an empty table gives an empty
-result; repeated rows each get the findings; columns of the input other than
+result; repeated rows each get the findings; a path with several texts has a
+blob for each; columns of the input other than
 the path and the text are not read.
 """
 
@@ -107,13 +108,15 @@ def scan(versions: DataFrame, ledger_path: str, path_col: str = "path", text_col
     written twice by two concurrent runs is read once."""
     spark = versions.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = versions.select(F.col(f"`{path_col}`").alias(path_col), text.alias("text"))
-    paths = materialise(rows.select(path_col, F.sha2(F.col("text").cast("binary"), 256).alias("blob")), "blobs")
+    rows = versions.select(F.col(f"`{path_col}`").alias(path_col), text.alias("text")) \
+        .withColumn("blob", F.sha2(F.col("text").cast("binary"), 256))
+    paths = materialise(rows.select(path_col, "blob"), "blobs")
     seen = read_ledger(spark, ledger_path).where(F.col("rules") == rules).select("blob").distinct()
-    # one path stands for each unseen blob, so its text travels once and a blob with very many paths is no hot key
+    # one path stands for each unseen blob, so its text travels once and a blob with very many paths is no hot key;
+    # a path may have several texts, so a row is taken by its path and its blob
     work = (paths.join(seen, "blob", "left_anti").groupBy("blob").agg(F.min(path_col).alias("__from"))
-            .hint("shuffle_hash"))
-    (rows.join(work, F.col(path_col).eqNullSafe(F.col("__from")))
+            .select(F.col("blob").alias("__blob"), "__from").hint("shuffle_hash"))
+    (rows.join(work, F.col(path_col).eqNullSafe(F.col("__from")) & (F.col("blob") == F.col("__blob")))
      .select("blob", F.lit(rules).alias("rules"), "text").mapInArrow(_scan_batches, LEDGER)
      .write.mode("append").parquet(ledger_path))
     known = (spark.read.schema(LEDGER).parquet(ledger_path).where(F.col("rules") == rules).drop("rules")

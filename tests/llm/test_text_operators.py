@@ -170,6 +170,17 @@ def test_ledger_scans_only_unseen_pairs(spark, tmp, monkeypatch):
     assert odd[None] == 0 and odd[-1] == 0
 
 
+def test_ledger_keeps_the_versions_of_a_path_apart(spark, tmp):
+    texts = ["token=first1", "nothing", "AKIA" + "Z" * 16, "x token=second22", ""]
+    rows = [(p, t) for p in ("a", None, "b") for t in texts] + [(None, "token=only-null")]
+    df = spark.createDataFrame(rows + rows[:2], "path string, text string")
+    for _ in range(2):                                    # the second run reads the ledger only
+        got = sorted(((r.path or "", r.blob, r.spans) for r in secrets.scan(df, f"{tmp}/versions").collect()))
+        assert got == sorted((p or "", hashlib.sha256(t.encode()).hexdigest(), secrets.scan_text(t)[4]) for p, t in rows + rows[:2])
+    held = {(r.blob, r.spans) for r in spark.read.parquet(f"{tmp}/versions").collect()}
+    assert held == {(hashlib.sha256(t.encode()).hexdigest(), secrets.scan_text(t)[4]) for _, t in rows}
+
+
 # ---- pages ------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="<p>no</p>";</script></head><body class="has-sidebar">
