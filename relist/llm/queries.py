@@ -86,7 +86,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .linededup import dedup_lines
-    done = dedup_lines(_table(spark, sf_dir, "documents"))
+    done = dedup_lines(_table(spark, sf_dir, "documents"), sketch=6)
     return done.select("doc_id", "n_lines", (F.col("n_lines") - F.col("kept_lines")).alias("n_removed"),
                        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 

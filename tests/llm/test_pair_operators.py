@@ -300,6 +300,32 @@ def test_lines_equal_brute_force(spark):
     assert len(one) == 2 and one[0].text == one[1].text   # rows of one document don't remove each other
 
 
+def test_line_recall_by_edit_similarity_alone(spark):
+    rng = random.Random(12)
+    syllables = [a + b for a in "bcdfglmnprst" for b in ("a", "en", "i", "or", "u")]
+    letters = "abcdefgh"
+
+    def word():
+        return "".join(rng.choice(syllables) for _ in range(rng.randrange(1, 5)))
+
+    pairs = [["cat sat", "cat sit"], ["total", "totals"], ["abcde", "abxde"]]
+    for n in (4, 6, 8, 10, 14, 20, 27, 50) * 8:
+        w = [word() for _ in range(n)]
+        v, at = list(w), rng.randrange(n)
+        if rng.random() < .5:
+            v[at] = word()
+        else:
+            k = rng.randrange(len(v[at]))
+            v[at] = v[at][:k] + rng.choice(letters) + v[at][k + 1:]
+        a, b = " ".join(w), " ".join(v)
+        if a != b and edit_distance(a, b) <= 0.2 * max(len(a), len(b)):
+            pairs.append([a, b])
+    df = docs(spark, [t for p in pairs for t in p])
+    kept = {r.doc_id: r.kept_lines for r in linededup.dedup_lines(df, sketch=6).collect()}
+    found = [kept[2 * i + 1] == 0 for i in range(len(pairs))]
+    assert len(pairs) > 50 and all(found[:3]) and np.mean(found) >= 0.95 and all(kept[2 * i] == 1 for i in range(len(pairs)))
+
+
 def test_long_lines(spark):
     w = ["w%d" % (i % 997) for i in range(40_000)]
     texts = [" ".join(w), " ".join(w[:20_000] + ["changed"] + w[20_001:]), "other " * 33_000]
