@@ -1,14 +1,15 @@
 """Benchmark decontamination by SimHash windows.
 
 A document is contaminated by a benchmark item if one of its windows of as
-many words as the item has a weighted shingle similarity (Jaccard over
+many words as the item (all of it, if it has fewer) has a weighted shingle similarity (Jaccard over
 shingle counts, five words a shingle) of 0.8 or more with it.
 
 1. Texts become words: ASCII letters in lower case, cut at ASCII white space
    and punctuation.  An item of under five words is one shingle as a whole.
 2. Of every document, the windows of each item length are taken at every
    word.  Windows too few of whose shingles occur in any item are skipped
-   first; the similarity could not reach the threshold, so none is lost.
+   first; the similarity could not reach the threshold, so none is lost.  A
+   document shorter than the item is one window as a whole.
 3. Each window gets a 128-bit SimHash of its shingles.  The items' SimHashes
    lie in a multi-index: 8 blocks of 16 bits, each listed under all values
    up to 3 bits away.  Two SimHashes up to 31 bits apart agree that well in
@@ -151,6 +152,20 @@ def _lookup(index: ItemIndex, prints: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return window[ok], item[ok], distance[ok]
 
 
+def _whole(index: ItemIndex, h: np.ndarray, hits: dict[int, np.ndarray]) -> list[tuple]:
+    """(distance, 0, words, item) of the longer items that a whole document
+    may be like: it has 0.8 of their shingles at least."""
+    n, k = len(h), min(WORDS, len(h))
+    count = n - k + 1
+    longer = [m for m in index.lengths if m > n and SIMILARITY * (m - min(WORDS, m) + 1) <= count + 1e-9]
+    if not longer or k < WORDS or k not in hits:          # under five words an item is one shingle and needs them all
+        return []
+    if hits[k][:count].sum() < SIMILARITY * (longer[0] - k + 1) - 1e-9:
+        return []
+    _, item, distance = _lookup(index, _simhashes(_bits(_shingles(h, k)), np.array([0]), count))
+    return [(d, 0, n, i) for d, i in zip(distance.tolist(), item.tolist()) if len(index.words[i]) in longer]
+
+
 def match_words(index: ItemIndex, words: list[bytes], h: np.ndarray, hits: dict[int, np.ndarray]) -> list[tuple]:
     """(item number, similarity, start, words, distance) of a document's best
     window per item.  ``hits``: which places start a shingle of some item."""
@@ -159,7 +174,7 @@ def match_words(index: ItemIndex, words: list[bytes], h: np.ndarray, hits: dict[
         k = min(WORDS, n)
         count = n - k + 1
         hit = hits.get(k)
-        if hit is None or len(h) < n:
+        if hit is None or len(h) < n:                     # too short for a window of n words
             continue
         sums = np.concatenate([[0], np.cumsum(hit)])
         whole = len(h) - n + 1
@@ -170,6 +185,7 @@ def match_words(index: ItemIndex, words: list[bytes], h: np.ndarray, hits: dict[
             prints = _simhashes(_bits(_shingles(h[first:last], k)), starts - first, count)
             window, item, distance = _lookup(index, prints)
             candidates += zip(distance.tolist(), starts[window].tolist(), [n] * len(window), item.tolist())
+    candidates += _whole(index, h, hits)
     best: dict[int, tuple] = {}
     for distance, start, n, i in sorted(candidates):      # an exact copy comes first and settles its item
         had = best.get(i)

@@ -185,6 +185,27 @@ def test_decontamination_equals_brute_force(spark):
     assert decontaminate.matches(df, bench.limit(0)).collect() == [] and decontaminate.matches(df.limit(0), bench).collect() == []
 
 
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    rng = random.Random(8)
+    items = [(i, " ".join(sentence(rng, n))) for i, n in enumerate([16, 24, 31, 46, 59, 46])] + [(9, "one two three four five six")]
+    texts = []
+    for _, t in items:
+        w = t.split()
+        texts += [" ".join(x) for gone in range(1, 12) for x in (w[:-gone], w[gone:]) if x] + [" ".join(w[:j] + w[j + 1:]) for j in range(0, len(w), 5)]
+    parsed = [(i, decontaminate.words_of(t.encode())) for i, t in items]
+    want = {}
+    for d, t in enumerate(texts):
+        w = decontaminate.words_of(t.encode())
+        for i, x in parsed:
+            sim = max([decontaminate.similarity(w[s:s + len(x)], x) for s in range(max(1, len(w) - len(x) + 1))])
+            if sim >= 0.8:
+                want[d, i] = sim
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.matches(docs(spark, texts), bench).collect()
+    assert len(want) > 40 and {(r.doc_id, r.item_id): r.similarity for r in found} == pytest.approx(want)
+    assert all((r.start_word, r.n_words) == (0, len(texts[r.doc_id].split())) for r in found)
+
+
 def test_decontamination_query_finds_exact_passages(spark):
     got = {(r.doc_id, r.item_id) for r in Q.QUERIES["op3_decontamination"](spark, SF).collect()}
     flat = {r.doc_id: " " + " ".join(map(bytes.decode, decontaminate.words_of((r.text or "").encode()))) + " "
