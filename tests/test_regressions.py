@@ -76,6 +76,15 @@ def test_broken_reply_keeps_its_text(spark):
     assert got[0]["search_text"] == "{broken reply" and got[1]["category"] == "robe" and got[2]["search_text"] == "plain"
 
 
+def test_counts_of_the_other_pattern_families(spark):
+    pages = ['{"totalResults": 41, "nbHits": 7}', 'x \\"nbHits\\": 52 y "nbHits": 9', '{"nbHits":63}', "nbHits = '74'", "85 resultats", "96 articles", "none"]
+    df = spark.createDataFrame(list(enumerate(pages)), "k int, t string")
+    got = df.select("k", X.count_from_text(F.col("t"), X.SEARCH_COUNT_PATTERNS).alias("a"),
+                    X.count_from_text(F.col("t"), X.HITS_COUNT_PATTERNS).alias("b")).orderBy("k").collect()
+    assert [r.a for r in got] == [41, 9, 63, None, 85, 96, None]
+    assert [r.b for r in got] == [7, 52, 63, 74, 85, None, None]
+
+
 def test_json_totals_never_abort(spark):
     page = '<script id="__NEXT_DATA__">{}</script>'
     rows = [(1, page.format('{"total": 99999999999999999999}')), (2, page.format("[" * 30000 + "]" * 30000)),
