@@ -233,59 +233,6 @@ def search_text_from_attrs(attrs: Column) -> Column:
                                            ne(attrs.getField("gender"))), F.lit("")))
 
 
-# Payload → listing.  One ``from_json`` pass with a fixed schema extracts
-# every field; the polymorphic ``price`` is read as text (a JSON object
-# arrives as its raw JSON text) and resolved in a second, tiny parse.
-PAYLOAD_SCHEMA = (
-    "id string, listing_id string, title string, description string, url string, city string, "
-    "country string, user struct<city: string, country: string>, price string, price_numeric double, "
-    "price_string string, photo struct<url: string, full_size_url: string>, "
-    "photos array<struct<url: string, full_size_url: string>>, image string, images array<string>, "
-    "created_at string")
-PRICE_OBJECT_SCHEMA = "amount string, numeric struct<amount: string>"
-
-
-def _num(text: Column) -> Column:
-    return F.translate(text, ",", ".").try_cast("double")
-
-
-def payload_price(item: Column) -> Column:
-    """Price that may be a number, a decimal-comma string, {amount} or
-    {numeric:{amount}}; else price_numeric, else price_string."""
-    raw = F.trim(item.getField("price"))
-    obj = F.from_json(F.when(raw.startswith("{"), raw), PRICE_OBJECT_SCHEMA)
-    return F.coalesce(F.when(~raw.startswith("{"), _num(raw)),
-                      _num(obj.getField("amount")), _num(obj.getField("numeric").getField("amount")),
-                      item.getField("price_numeric"), _num(item.getField("price_string")))
-
-
-def payload_photo(item: Column) -> Column:
-    """First photo URL among known shapes that starts with http."""
-    first = F.try_element_at(item.getField("photos"), F.lit(1))
-    cands = [item.getField("photo").getField("url"), item.getField("photo").getField("full_size_url"),
-             first.getField("url"), first.getField("full_size_url"), item.getField("image"),
-             F.try_element_at(item.getField("images"), F.lit(1))]
-    return F.coalesce(*[F.when(c.startswith("http"), c) for c in cands])
-
-
-def listings_from_payload(raw: DataFrame, source: str, payload: str = "payload",
-                          scraped_at: Column | None = None) -> DataFrame:
-    """Raw marketplace item JSON (one per row) → listing record."""
-    it = F.col("_item")
-    ident = F.coalesce(it.getField("id"), it.getField("listing_id"))
-    url = F.coalesce(it.getField("url"), F.concat(F.lit("https://www.vinted.fr/items/"), ident))
-    city = F.coalesce(it.getField("city"), it.getField("user").getField("city"))
-    country = F.coalesce(it.getField("country"), it.getField("user").getField("country"))
-    location = F.nullif(F.concat_ws(", ", city, country), F.lit(""))
-    return raw.select(F.from_json(F.col(payload), PAYLOAD_SCHEMA).alias("_item")).select(
-        F.lit(source).alias("source"), ident.alias("external_id"), it.getField("title").alias("title"),
-        it.getField("description").alias("description"), payload_price(it).alias("price"),
-        url.alias("url"), location.alias("location"), F.lit(None).cast("double").alias("latitude"),
-        F.lit(None).cast("double").alias("longitude"), it.getField("created_at").alias("published_at"),
-        (scraped_at if scraped_at is not None else F.current_timestamp().cast("string")).alias("scraped_at"),
-        payload_photo(it).alias("primary_image_url"))
-
-
 # Catalogue pages: product items embedded in the page's __NEXT_DATA__ JSON.
 ITEMS_SCHEMA = (
     "props struct<pageProps: struct<queryProductResponse: struct<category: struct<"

@@ -731,39 +731,6 @@ def q_image_manifest(spark, d):
     return X.image_manifest(gold_listings(spark, d))
 
 
-def payload_rows(spark, d):
-    """Raw item payloads (JSON text) built from the adapter rows, with the
-    price written in one of five shapes."""
-    r = A.raw_listings(spark, d)
-    shape = F.length("title") % 5
-    ptxt = F.translate(F.col("price").cast("string"), ".", ",")
-    price = (F.when(shape == 0, F.to_json(F.struct(F.col("price").alias("price"))))
-             .when(shape == 1, F.to_json(F.struct(ptxt.alias("price"))))
-             .when(shape == 2, F.to_json(F.struct(F.struct(F.col("price").alias("amount")).alias("price"))))
-             .when(shape == 3, F.to_json(F.struct(F.struct(F.struct(F.col("price").alias("amount"))
-                                                           .alias("numeric")).alias("price"))))
-             .otherwise(F.to_json(F.struct(ptxt.alias("price_string")))))
-    body = F.to_json(F.struct(F.col("external_id").alias("id"), "title", "description", "url",
-                              F.col("location").alias("city"),
-                              F.struct(F.col("primary_image_url").alias("url")).alias("photo")))
-    # splice the two objects: '{...body...' + ',' + '...price...}'
-    return (r.select(body.alias("_b"), price.alias("_p"))
-            .select(F.concat(F.expr("substring(_b, 1, length(_b) - 1)"), F.lit(","),
-                             F.expr("substring(_p, 2)")).alias("payload")))
-
-
-@register("payload_listings", "WITH " + O.RAW_LISTINGS + """
-SELECT 'vinted' AS source, external_id, title, description, price,
-       coalesce(url, 'https://www.vinted.fr/items/' || external_id) AS url,
-       nullif(location, '') AS location,
-       CASE WHEN starts_with(primary_image_url, 'http') THEN primary_image_url END AS primary_image_url
-FROM raw_listings""")
-def q_payload_listings(spark, d):
-    out = X.listings_from_payload(payload_rows(spark, d), "vinted")
-    return out.select("source", "external_id", "title", "description", "price", "url", "location",
-                      "primary_image_url")
-
-
 _ITEMS = "'$.props.pageProps.queryProductResponse.category.items'"
 SHOP_SITE = "https://shop.example.com"
 SHOP_STATIC = "https://static.example.com"

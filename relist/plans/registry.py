@@ -24,4 +24,4 @@ def register(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import queries  # noqa: F401  (registers on import)
+    from . import payload_queries, queries  # noqa: F401  (register on import)
