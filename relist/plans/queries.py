@@ -552,7 +552,7 @@ s AS (SELECT c.qid, e.vec_id AS cid,
              list_dot_product(c.qvec, CAST(e.embedding AS DOUBLE[])) /
              (sqrt(list_dot_product(c.qvec, c.qvec)) * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))) AS s
       FROM c, embeddings e),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY s DESC NULLS LAST, cid) AS INTEGER) AS rank FROM s)
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC NULLS LAST, cid) AS INTEGER) AS rank FROM s)
 SELECT qid, cid, round(s, 4) AS score, rank FROM r WHERE rank <= 3""")
 def q_label_topk(spark, d):
     emb = A.table(spark, d, "embeddings")
@@ -774,7 +774,7 @@ s AS (SELECT e.vec_id AS qid, c.cid,
              list_dot_product(c.vec, CAST(e.embedding AS DOUBLE[])) /
              (sqrt(list_dot_product(c.vec, c.vec)) * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))) AS s
       FROM embeddings e, c),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY s DESC NULLS LAST, cid) AS INTEGER) AS rank FROM s)
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC NULLS LAST, cid) AS INTEGER) AS rank FROM s)
 SELECT qid, rank, cid, round(s, 4) AS score FROM r WHERE rank <= 3""")
 def q_vector_label_match(spark, d):
     """Every vector matched to its 3 closest label centroids (the batch

@@ -105,7 +105,7 @@ def test_vector_sets_of_any_size(spark):
     s = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ (c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-300)).T
     s[:, 5] = -9
     want = {(i, r): int(j) for i in range(130) for r, j in enumerate(np.argsort(-s[i], kind="stable")[:3], 1)}
-    for got in (V.topk_similar(qd, cd, block=40), V.match_to_corpus(qd, cd, block=30)):
+    for got in (V.topk_similar(qd, cd, tile=40), V.match_to_corpus(qd, cd, cell_rows=5, tile=30)):
         assert {(r.qid, r.rank): r.cid for r in got.collect()} == want
     every = V.match_to_corpus(qd.limit(1), cd, k=70).collect()
     assert {r.cid: r.score for r in every}[5] is None and max(every, key=lambda r: r.rank).cid == 5
