@@ -786,6 +786,54 @@ def q_vector_label_match(spark, d):
     return V.match_to_corpus(queries, cents, k=3)
 
 
+def _murmur_sql(word: str, buckets: int) -> str:
+    """murmur3 (32 bits, seed 42) of a text's UTF-8 bytes, modulo ``buckets``, in DuckDB."""
+    m = "4294967295::ubigint"
+
+    def let(value: str, name: str, body: str) -> str:
+        return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+    def turn(x: str, r: int) -> str:
+        return f"((({x} << {r}) & {m}) | ({x} >> {32 - r}))"
+
+    byte = f"list_transform(range(0, strlen({word})), lambda i: ('0x' || substr(hex(encode({word})), cast(2 * i + 1 as int), 2))::ubigint)"
+    mixed = let("(k * 3432918353::ubigint) & " + m, "m1", f"({turn('m1', 15)} * 461845907::ubigint) & {m}")
+    block = let("xor(h, k2)", "x1", f"({turn('x1', 13)} * 5::ubigint + 3864292196::ubigint) & {m}")
+    words = "list_transform(range(0, len(b) // 4), lambda j: b[4*j+1] | (b[4*j+2] << 8) | (b[4*j+3] << 16) | (b[4*j+4] << 24))"
+    rest = "list_reduce(list_concat([0::ubigint], list_transform(range(0, len(b) % 4), lambda j: b[4 * (len(b) // 4) + j + 1] << cast(8 * j as ubigint))), lambda p, q: p | q)"
+    body = f"list_reduce(list_concat([42::ubigint], list_transform({words}, lambda k: {mixed})), lambda h, k2: {block})"
+    tail = f"list_transform([{rest}], lambda k: {mixed})[1]"
+    last = let(f"xor(xor({body}, {tail}), len(b)::ubigint)", "f0",
+               let("xor(f0, f0 >> 16)", "f1", let(f"(f1 * 2246822507::ubigint) & {m}", "f2", let("xor(f2, f2 >> 13)", "f3", let(
+                   f"(f3 * 3266489909::ubigint) & {m}", "f4", "xor(f4, f4 >> 16)")))))
+    signed = f"list_transform([{last}], lambda z: case when z >= 2147483648 then z::bigint - 4294967296 else z::bigint end)[1]"
+    return f"list_transform([{byte}], lambda b: ((({signed}) % {buckets}) + {buckets}) % {buckets})[1]"
+
+
+@register("question_matches", f"""
+WITH q AS (SELECT conv_id AS qid, arg_max(text, turn) AS text FROM conversations WHERE role = 'user' GROUP BY conv_id),
+c AS (SELECT conv_id * 1000 + turn AS cid, text FROM conversations WHERE role = 'assistant' AND text IS NOT NULL),
+w AS (SELECT 0 AS side, qid AS id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+')) AS word FROM q
+      UNION ALL SELECT 1, cid, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) FROM c),
+hashed AS (SELECT word, {_murmur_sql('word', 256)} AS bucket FROM (SELECT DISTINCT word FROM w)),
+v AS (SELECT side, id, bucket, CAST(count(*) AS DOUBLE) AS n FROM w JOIN hashed USING (word) GROUP BY ALL),
+norm AS (SELECT side, id, sqrt(sum(n * n)) AS len FROM v GROUP BY ALL),
+dots AS (SELECT a.id AS qid, b.id AS cid, sum(a.n * b.n) AS d FROM v a JOIN v b ON a.bucket = b.bucket WHERE a.side = 0 AND b.side = 1 GROUP BY ALL),
+s AS (SELECT q.qid, c.cid, CASE WHEN x.len > 0 AND y.len > 0 THEN coalesce(d, 0) / (x.len * y.len) END AS s
+      FROM q CROSS JOIN c LEFT JOIN dots USING (qid, cid) LEFT JOIN norm x ON x.side = 0 AND x.id = q.qid LEFT JOIN norm y ON y.side = 1 AND y.id = c.cid),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC NULLS LAST, cid) AS INTEGER) AS rank FROM s)
+SELECT qid, rank, cid, round(s, 4) AS score FROM r WHERE rank <= 3""")
+def q_question_matches(spark, d):
+    """The last question of every conversation as a vector, matched to the
+    closest replies of all conversations."""
+    from ..operators.embedding import match_texts
+    cv = A.table(spark, d, "conversations")
+    asked = CV.last_question(cv, role="user").select(F.col("conv_id").alias("qid"), "question")
+    replies = (cv.filter((F.col("role") == "assistant") & F.col("text").isNotNull())
+               .select((F.col("conv_id") * 1000 + F.col("turn")).alias("cid"), "text"))
+    return match_texts(asked, replies, "qid", "question", "cid", "text", k=3)
+
+
 @register("reply_search_text", """
 SELECT conv_id, turn, trim(text) AS search_text
 FROM conversations WHERE role = 'assistant'""")
