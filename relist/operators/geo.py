@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_KM, fold_accents, haversine_km, postal_code
-from .joins import contains_join
+from .containment import contains_join
 
 
 def postal_centroids(raw: DataFrame, code: str = "code_postal", lat: str = "latitude",
@@ -49,7 +49,7 @@ def geocode(df: DataFrame, centroids: DataFrame, gazetteer: DataFrame, loc_col:
                .select("_loc", "_fold", F.col("avg_lat").isNotNull().alias("_hit"), "avg_lat", "avg_lon"))
     gz = gazetteer.select(F.col("name").alias("_gname"), F.col("lat").alias("_glat"),
                           F.col("lon").alias("_glon"), F.col("ord").alias("_gord"))
-    hits = contains_join(locs.select("_loc", "_fold"), "_loc", "_fold", gz, "_gord", "_gname")
+    hits = contains_join(locs.select("_loc", "_fold"), "_fold", gz, "_gname")
     first = (hits.groupBy("_loc")
              .agg(F.min_by(F.struct(F.col("_glat").alias("lat"), F.col("_glon").alias("lon")),
                            F.col("_gord")).alias("_g")))

@@ -1,103 +1,16 @@
-"""Joins: exact substring-containment join, overlay of live over baseline
-values, lookup and anti joins, and coverage of a (brand × marketplace) grid.
+"""Joins: overlay of live over baseline values, lookup and anti joins, and
+coverage of a (brand × marketplace) grid; the containment join is in
+``containment``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import bounded
-
-GRAM = 3
-
-
-def _grams(text: Column, n: int = GRAM) -> Column:
-    """Distinct character n-grams of ``text`` (empty when shorter than n)."""
-    return F.when(F.length(text) >= n, F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.length(text) - (n - 1)),
-        lambda i: F.substring(text, i, n)))).otherwise(F.array().cast("array<string>"))
-
-
-def contains_join(left: DataFrame, left_key: str, left_text: str,
-                  right: DataFrame, right_key: str, right_pattern: str,
-                  max_short_patterns: int = 10_000, max_broadcast_patterns: int = 200_000,
-                  max_literal_grams: int = 512) -> DataFrame:
-    """Inner join of every left row whose ``left_text`` contains the right
-    row's ``right_pattern`` (case-sensitive substring), exactly as
-    ``left.join(right, contains(left_text, right_pattern))`` – without the
-    nested loop.
-
-    Blocking: each pattern of length >= 3 is keyed by its rarest character
-    trigram (fewest patterns sharing it).  Every left text emits its distinct
-    trigrams; an equi-join on the trigram yields candidate pairs that are then
-    verified with ``contains``.  A pattern can only occur in a text that
-    contains all its trigrams, so no true match is lost.  Patterns shorter
-    than 3 characters match nearly every text anyway; they are joined by a
-    broadcast loop after a size check.  Null/empty patterns never match (an
-    empty pattern would otherwise match everything).
-
-    Physical shape: when the keyed pattern side is within
-    ``max_broadcast_patterns`` rows (checked), it is broadcast and the left
-    rows are probed in one map-side stage (no shuffle of the left side).
-    If, in addition, the patterns use at most ``max_literal_grams`` distinct
-    key trigrams, each text tests those few trigrams with ``contains``
-    rather than emitting all of its own.
-    Otherwise only (left key, trigram) pairs are shuffled to the join and the
-    candidates are joined back to the left rows for verification, so long
-    texts are never replicated per trigram.
-
-    ``left_key`` / ``right_key`` must be unique per row; all columns of both
-    sides are returned (right-side names must not clash with left ones).
-    """
-    pat = F.col(right_pattern)
-    r = right.filter(pat.isNotNull() & (F.length(pat) > 0))
-    long_r = r.filter(F.length(pat) >= GRAM)
-    # one size check on the pattern side covers both of its subsets below
-    small = bounded(r, min(max_broadcast_patterns, max_short_patterns))
-
-    # rarest trigram per pattern (small side only)
-    rg = long_r.select(right_key, F.posexplode(_grams(pat)).alias("_pos", "_g"))
-    freq = rg.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    keys = (rg.join(freq, "_g")
-            .groupBy(right_key)
-            .agg(F.min_by("_g", F.struct("_n", "_pos")).alias("_g")))
-    keyed = long_r.join(keys, right_key)
-
-    key_grams = None
-    if small:
-        kg = [row[0] for row in keyed.select("_g").distinct().limit(max_literal_grams + 1).collect()]
-        key_grams = sorted(kg) if len(kg) <= max_literal_grams else None
-    if key_grams is not None:
-        # few distinct key grams (checked): each text tests them with
-        # `contains` instead of emitting all of its trigrams, so only real
-        # candidates become rows
-        text = F.col(left_text)
-        hits = (F.array_compact(F.array(*[F.when(text.contains(F.lit(g)), F.lit(g)) for g in key_grams]))
-                if key_grams else F.array().cast("array<string>"))
-        lg = left.select("*", F.explode(hits).alias("_g"))
-        out_long = (lg.join(F.broadcast(keyed), "_g").drop("_g")
-                    .filter(F.col(left_text).contains(F.col(right_pattern))))
-    elif small or bounded(keyed, max_broadcast_patterns):
-        lg = left.select("*", F.explode(_grams(F.col(left_text))).alias("_g"))
-        out_long = (lg.join(F.broadcast(keyed), "_g").drop("_g")
-                    .filter(F.col(left_text).contains(F.col(right_pattern))))
-    else:
-        lg = left.select(left_key, F.explode(_grams(F.col(left_text))).alias("_g"))
-        cand = lg.join(keyed, "_g").drop("_g")
-        out_long = (cand.join(left, left_key)
-                    .filter(F.col(left_text).contains(F.col(right_pattern))))
-
-    short_r = r.filter(F.length(pat) < GRAM)
-    if short_r.isEmpty():          # usual case: no second pass over the left side
-        return out_long
-    short_side = F.broadcast(short_r) if small or bounded(short_r, max_short_patterns) else short_r
-    out_short = left.join(short_side, F.col(left_text).contains(F.col(right_pattern)))
-    cols = out_long.columns
-    return out_long.unionByName(out_short.select(*cols))
-
+from .containment import contains_join  # noqa: F401  (one of the joins)
 
 def overlay(live: DataFrame, baseline: DataFrame, keys: Sequence[str] = ("brand", "marketplace"),
             value: str = "count", zero_is_missing: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import contains_join
+from .containment import contains_join
 
 
 def catalog_market(products: DataFrame, listings: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def catalog_market(products: DataFrame, listings: DataFrame) -> DataFrame:
     lt = listings.select("listing_key", F.col("source").alias("_l_source"), F.col("price").alias("_l_price"),
                          text.alias("_l_text"))
     titles = products.select(F.lower("title").alias("_t")).distinct()
-    matched = contains_join(lt, "listing_key", "_l_text", titles, "_t", "_t")
+    matched = contains_join(lt, "_l_text", titles, "_t")
     stats = (matched.groupBy("_t")
              .agg(F.count("listing_key").alias("resell_count"), F.avg("_l_price").alias("avg_resell_price"),
                   F.min("_l_price").alias("min_resell_price"), F.max("_l_price").alias("max_resell_price"),
