@@ -1,5 +1,5 @@
 """Geo operators: postal centroids, geocoding cascade (postal code →
-gazetteer), and exact nearest store by grid blocking.
+gazetteer), and exact nearest store by a tree of cells over the sphere.
 
 No Python UDF: everything is joins and built-in expressions.  Work is done
 per *distinct* location / coordinate and joined back, so repeated values
@@ -8,10 +8,9 @@ per *distinct* location / coordinate and joined back, so repeated values
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_KM, fold_accents, haversine_km, postal_code
@@ -58,84 +57,106 @@ def geocode(df: DataFrame, centroids: DataFrame, gazetteer: DataFrame, loc_col:
                       F.when(F.col("_hit"), F.col("avg_lat")).otherwise(F.col("_g.lat")).alias("_lat"),
                       F.when(F.col("_hit"), F.col("avg_lon")).otherwise(F.col("_g.lon")).alias("_lon")))
     base = df.drop(lat_col, lon_col)
-    return (base.join(coords, base[loc_col] == coords["_loc"], "left")
-            .withColumnRenamed("_lat", lat_col).withColumnRenamed("_lon", lon_col).drop("_loc"))
-
-
-# (cell size in degrees, ring radius in cells); the last level spans the
-# whole sphere so every remaining point is resolved exactly.
-NEAREST_LEVELS = ((0.5, 1), (4.0, 2), (45.0, 4))
-
-
-def _cells(lat, lng, g: float):
-    ncols = int(round(360.0 / g))
-    return (F.floor((lat + 90.0) / g).cast("long"),
-            F.pmod(F.floor((lng + 180.0) / g).cast("long"), F.lit(ncols)))
+    told = F.col(loc_col).isNotNull() & (F.col(loc_col) != "")
+    named = base.where(told)
+    found = (named.join(coords, named[loc_col] == coords["_loc"], "left")
+             .withColumnRenamed("_lat", lat_col).withColumnRenamed("_lon", lon_col).drop("_loc"))
+    # rows without a location stay out of the join, where they would all share one key
+    none = F.lit(None).cast("double")
+    return found.unionByName(base.where(~F.coalesce(told, F.lit(False))).withColumns({lat_col: none, lon_col: none}))
+
+
+# Bits of a cell's coordinates, level by level: the cube around the earth is
+# cut into 2**bits cells along each axis (1,600 km, then 400, 100, 25 and 6).
+SPHERE_LEVELS = (3, 5, 7, 9, 11)
+#: distances are compared rounded to 0.1 km
+ROUNDING_KM = 0.1
+
+
+def _with_cell(rows: DataFrame, lat: str, lng: str, bits: int) -> DataFrame:
+    """``rows`` with the cell of the finest level, ``cx``, ``cy``, ``cz``:
+    places on the unit sphere in a grid of cubes, so poles and the
+    antimeridian are places like any other."""
+    phi, lam = F.radians(lat), F.radians(lng)
+    axes = {"cx": F.cos(phi) * F.cos(lam), "cy": F.cos(phi) * F.sin(lam), "cz": F.sin(phi)}
+    top = (1 << bits) - 1
+    return rows.withColumns({c: F.least(F.floor((v + 1) * (1 << (bits - 1))), F.lit(top)).cast("long") for c, v in axes.items()})
+
+
+def _coarser(cells: DataFrame, shift: int, by: dict[str, str]) -> DataFrame:
+    """Distinct cells of a level: the finest coordinates without their last bits."""
+    return cells.select(*[F.shiftright(c, shift).alias(name) for c, name in by.items()]).distinct()
+
+
+def _cell_km(bits: int, farthest: bool) -> Column:
+    """Least or greatest great-circle distance between the points of a point
+    cell (px, py, pz) and a store cell (sx, sy, sz).  The chord of two points
+    is bounded by the gaps between their cubes, and grows with the arc."""
+    total = F.lit(0.0)
+    for axis in "xyz":
+        gap = F.abs(F.col(f"p{axis}") - F.col(f"s{axis}"))
+        edge = (gap + 1 if farthest else F.greatest(gap - 1, F.lit(0))) * (2.0 / (1 << bits))
+        total = total + edge * edge
+    return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.sqrt(total) / 2, F.lit(1.0)))
+
+
+def _cell_pairs(points: DataFrame, stores: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """(px, py, pz, sx, sy, sz): for every cell of the finest level that holds
+    points, the store cells that may hold the nearest store of one of them.
+
+    Both sides descend together.  A point cell keeps a store cell only if its
+    least distance is not beyond the best greatest distance of any store cell
+    it has (and the rounding), so a level starts from the few pairs the level
+    above has left, whatever the number of points and stores."""
+    finest = levels[-1]
+    pairs = None
+    above = 0
+    for bits in levels:
+        shift = finest - bits
+        p = _coarser(points, shift, {"cx": "px", "cy": "py", "cz": "pz"})
+        s = _coarser(stores, shift, {"cx": "sx", "cy": "sy", "cz": "sz"})
+        up = bits - above
+        p = p.select("*", *[F.shiftright(f"p{a}", up).alias(f"_p{a}") for a in "xyz"])
+        s = s.select("*", *[F.shiftright(f"s{a}", up).alias(f"_s{a}") for a in "xyz"])
+        if pairs is None:      # the first level hangs below one cell, 0
+            met = p.join(s, [F.col(f"_p{a}") == F.col(f"_s{a}") for a in "xyz"])
+        else:
+            met = p.join(pairs, [f"_p{a}" for a in "xyz"]).join(s, [f"_s{a}" for a in "xyz"])
+        met = met.select(*[f"p{a}" for a in "xyz"], *[f"s{a}" for a in "xyz"])
+        best = F.min(_cell_km(bits, True)).over(Window.partitionBy("px", "py", "pz"))
+        kept = met.withColumn("_reach", best).where(_cell_km(bits, False) <= F.col("_reach") + ROUNDING_KM + 1e-6)
+        pairs = kept.select(*[F.col(f"{k}{a}").alias(f"_{k}{a}") for k in "ps" for a in "xyz"])
+        above = bits
+    return pairs.select(*[F.col(f"_{k}{a}").alias(f"{k}{a}") for k in "ps" for a in "xyz"])
 
 
 def nearest(points: DataFrame, stores: DataFrame, lat: str = "lat", lng: str = "lng",
             store_name: str = "name", store_lat: str = "lat", store_lng: str = "lng",
-            levels: Sequence[tuple[float, int]] = NEAREST_LEVELS) -> DataFrame:
+            levels: Sequence[int] = SPHERE_LEVELS) -> DataFrame:
     """For each row of ``points``: the nearest store (name, km rounded to
     0.1) by haversine distance; ties on the rounded distance go to the first
     store by name; null when the point has no coordinates.
 
-    Exact without comparing every point with every store: on the first
-    level stores are replicated into the grid cells of a (2r+1)² block
-    around their own cell and equi-joined with the distinct point
-    coordinates; on later levels only the unsettled points are replicated.  A point is settled
-    at a level when its best rounded distance + 0.1 km is within the safe
-    radius R·asin(cos φ · sin(r·g)) – no store outside the block can be that
-    close.  Unsettled points go to the next, coarser level; the last level
-    covers the sphere."""
-    pts = (points.select(F.col(lat).alias("_plat"), F.col(lng).alias("_plng"))
-           .filter(F.col("_plat").isNotNull() & F.col("_plng").isNotNull()).distinct())
-    st = (stores.select(F.col(store_name).alias("_sname"), F.col(store_lat).alias("_slat"),
-                        F.col(store_lng).alias("_slng"))
-          .filter(F.col("_slat").isNotNull() & F.col("_slng").isNotNull()))
-    settled = []
-    remaining = pts
-    for i, (g, r) in enumerate(levels):
-        last = i == len(levels) - 1
-        ncols = int(round(360.0 / g))
-        offs = F.sequence(F.lit(-r), F.lit(r))
-        scy, scx = _cells(F.col("_slat"), F.col("_slng"), g)
-        pcy, pcx = _cells(F.col("_plat"), F.col("_plng"), g)
-        if i == 0:
-            # first pass: every point, so replicate the (smaller) store side
-            # into the (2r+1)² block around each store's cell
-            side = (st.select("*", scy.alias("_scy"), scx.alias("_scx"))
-                    .select("*", F.explode(offs).alias("_dy")).select("*", F.explode(offs).alias("_dx"))
-                    .select("_sname", "_slat", "_slng", (F.col("_scy") + F.col("_dy")).alias("_cy"),
-                            F.pmod(F.col("_scx") + F.col("_dx"), F.lit(ncols)).alias("_cx"))
-                    .dropDuplicates(["_sname", "_slat", "_slng", "_cy", "_cx"]))
-            cand = remaining.select("_plat", "_plng", pcy.alias("_cy"), pcx.alias("_cx")).join(side, ["_cy", "_cx"])
-        else:
-            # later passes: only the few unsettled points, replicated into
-            # the block around their own cell; stores keep one cell each
-            near = (remaining.select("_plat", "_plng", pcy.alias("_pcy"), pcx.alias("_pcx"))
-                    .select("*", F.explode(offs).alias("_dy")).select("*", F.explode(offs).alias("_dx"))
-                    .select("_plat", "_plng", (F.col("_pcy") + F.col("_dy")).alias("_cy"),
-                            F.pmod(F.col("_pcx") + F.col("_dx"), F.lit(ncols)).alias("_cx"))
-                    .dropDuplicates(["_plat", "_plng", "_cy", "_cx"]))
-            cand = near.join(st.select("*", scy.alias("_cy"), scx.alias("_cx")), ["_cy", "_cx"])
-        km = haversine_km(F.col("_plat"), F.col("_plng"), F.col("_slat"), F.col("_slng"), None)
-        best = (cand.select("_plat", "_plng", "_sname", km.alias("_km"))
-                .groupBy("_plat", "_plng")
-                .agg(F.min(F.struct(F.bround("_km", 1).alias("store_km"),
-                                    F.col("_sname").alias("store_name"))).alias("_b")))
-        if last:
-            ok = best
-        else:
-            reach = min(r * g, 90.0)
-            safe = F.lit(EARTH_RADIUS_KM) * F.asin(
-                F.cos(F.radians("_plat")) * F.lit(math.sin(math.radians(reach))))
-            ok = best.filter(F.col("_b.store_km") + F.lit(0.1) <= safe)
-        settled.append(ok.select("_plat", "_plng", "_b.store_name", "_b.store_km"))
-        if not last:
-            remaining = remaining.join(ok.select("_plat", "_plng"), ["_plat", "_plng"], "left_anti")
-    res = settled[0]
-    for s in settled[1:]:
-        res = res.unionByName(s)
-    return (points.join(res, (points[lat] == res["_plat"]) & (points[lng] == res["_plng"]), "left")
-            .drop("_plat", "_plng"))
+    Points and stores are cells of a tree over the sphere.  Going down the
+    levels every point cell drops the store cells that can't hold a nearest
+    store; at the end a distinct coordinate is compared with the stores of
+    the cells its own cell has left.  Exact, and no level compares all with
+    all.  Coordinates outside the usual ranges are taken as angles."""
+    finest = levels[-1]
+    has_place = F.col(lat).isNotNull() & F.col(lng).isNotNull()
+    pts = points.where(has_place).select(F.col(lat).alias("_plat"), F.col(lng).alias("_plng")).distinct()
+    st = (stores.select(F.col(store_name).alias("_sname"), F.col(store_lat).alias("_slat"), F.col(store_lng).alias("_slng"))
+          .where(F.col("_slat").isNotNull() & F.col("_slng").isNotNull()))
+    pts, st = _with_cell(pts, "_plat", "_plng", finest), _with_cell(st, "_slat", "_slng", finest)
+    pairs = _cell_pairs(pts, st, levels)
+    near = pts.join(pairs, [F.col(f"c{a}") == F.col(f"p{a}") for a in "xyz"]).select("_plat", "_plng", "sx", "sy", "sz")
+    cand = near.join(st, [F.col(f"s{a}") == F.col(f"c{a}") for a in "xyz"])
+    km = haversine_km(F.col("_plat"), F.col("_plng"), F.col("_slat"), F.col("_slng"), None)
+    best = (cand.groupBy("_plat", "_plng")
+            .agg(F.min(F.struct(F.bround(km, 1).alias("store_km"), F.col("_sname").alias("store_name"))).alias("_b"))
+            .select("_plat", "_plng", "_b.store_name", "_b.store_km"))
+    placed = points.where(has_place)
+    found = placed.join(best, (placed[lat] == best["_plat"]) & (placed[lng] == best["_plng"]), "left").drop("_plat", "_plng")
+    # rows without a place stay out of the join, where they would all share one key
+    rest = points.where(~has_place).withColumns({"store_name": F.lit(None).cast("string"), "store_km": F.lit(None).cast("double")})
+    return found.unionByName(rest)
