@@ -27,6 +27,8 @@ in the payloads of one source only; the others get theirs from the location
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,36 +102,43 @@ def _blank_is_null(text: Column) -> Column:
     return F.nullif(F.trim(text), F.lit(""))
 
 
-def read(item: Column, how: str, path: str) -> Column:
-    """The value at ``path`` of a VARIANT, null where it is of another kind."""
-    text = F.try_variant_get(item, path, "string")
-    if how == TEXT:
-        return F.when(~F.coalesce(F.startswith(text, F.lit("{")), F.lit(False)), _blank_is_null(text))
-    if how == STRING:
-        return F.when(F.schema_of_variant(F.try_variant_get(item, path, "variant")) == "STRING", _blank_is_null(text))
+def read(text: Column, how: str) -> Column:
+    """A value as a rule reads it, from the text at its path (an object or an
+    array is its JSON there); null where it is of another kind."""
+    if how in (TEXT, STRING):
+        return F.when(~text.startswith("{"), _blank_is_null(text))
     if how == LINK:
         return F.when(text.startswith("http"), text)
-    if how == COMMA:
-        return F.translate(F.trim(text), ",", ".").try_cast("double")
     if how == MONEY:
         return F.regexp_replace(F.translate(text, ",", "."), "[^0-9.]", "").try_cast("double")
     if how == ZERO:
         return F.when(~F.trim(text).isin("", "{}", "0", "0.0"), F.lit(0.0))
-    number = F.trim(text).try_cast("double")
+    # an object is no number: a failed cast costs far more than the look at its first character
+    plain = F.when(~text.startswith("{"), F.translate(text, ",", ".") if how == COMMA else text)
+    number = F.trim(plain).try_cast("double")
     return F.nullif(number, F.lit(0.0)) if how == AMOUNT else number
 
 
-def fields(item: Column, source: str) -> dict[str, Column]:
-    """Every listing field of a source's payload, from its table of paths."""
-    rules = FIELD_PATHS[source]
-    out = {}
-    for name in LISTING_FIELDS:
-        found = [read(item, how, path) for how, path in rules.get(name, ())]
-        if name in NUMBERS:
-            out[name] = F.coalesce(*found, F.lit(None).cast("double"))
-        else:
-            out[name] = F.coalesce(*found, F.lit(""))
-    return out
+def _at(item: Column, how: str, path: str) -> Column:
+    text = F.try_variant_get(item, path, "string")
+    if how != STRING:
+        return text
+    return F.when(F.schema_of_variant(F.try_variant_get(item, path, "variant")) == "STRING", text)
+
+
+def read_fields(items: DataFrame, item: str, rules: dict[str, tuple[tuple[str, str], ...]], numbers: Sequence[str] = NUMBERS) -> DataFrame:
+    """One column per field of ``rules`` from the VARIANT ``item``.  Every
+    path is read once, in a projection of its own; the rules only combine
+    what was found there."""
+    spots = {(how == STRING, path): _at(F.col(item), how, path) for found in rules.values() for how, path in found}
+    named = {spot: f"_at{i}" for i, spot in enumerate(spots)}
+    told = items.select(*[c.alias(named[spot]) for spot, c in spots.items()])
+
+    def field(name: str) -> Column:
+        found = [read(F.col(named[how == STRING, path]), how) for how, path in rules.get(name, ())]
+        return F.coalesce(*found, F.lit(None).cast("double") if name in numbers else F.lit("")).alias(name)
+
+    return told.select(*[field(name) for name in LISTING_FIELDS])
 
 
 def listings_from_payload(raw: DataFrame, source: str, payload: str = "payload",
@@ -139,9 +148,7 @@ def listings_from_payload(raw: DataFrame, source: str, payload: str = "payload",
     Beyond the table: an ad without an id takes it from its link, an ad whose
     location is a text with coordinates gives them up if it has no pair of
     its own, and an item without a link gets that of its page."""
-    items = raw.select(F.try_parse_json(F.col(payload)).alias("_item"))
-    item = F.col("_item")
-    found = items.select("_item", *[c.alias(name) for name, c in fields(item, source).items()])
+    found = read_fields(raw.select(F.try_parse_json(F.col(payload)).alias("_item")), "_item", FIELD_PATHS[source])
     if source == "leboncoin":
         from_url = F.regexp_extract("url", r"/([0-9]+)(?:\?|$)", 1)
         both = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()

@@ -5,16 +5,18 @@ corpus; a cell is known by its pivot, its radius (the farthest member) and
 its size.  By the triangle inequality no member of a cell is nearer to a
 query than the distance to the pivot less the radius.
 
-1. Every query first visits its nearest cells, as many as hold k vectors.
-   The k-th best of these is a distance that its answer can't exceed.
-2. Of the other cells it then visits those whose bound is not beyond it.
+1. Two upper bounds on a query's k-th best distance are known beforehand: the
+   k-th nearest pivot, as pivots are corpus rows, and the reach (distance to
+   the pivot plus radius) within which cells hold k vectors.
+2. The query visits the cells whose least distance is not beyond the bound.
 3. Visits and vectors meet in tiles: cells with many vectors or visitors are
    cut on both sides into parts of some ``tile`` rows, so no task holds more
    than two such parts whatever the size of a cell.  A tile is one matrix
    product; k rows per query leave it.
 
-Nothing runs while the plan is built: counts, pivots and cell statistics (one
-row each, bounded by ``cells``) are scalar subqueries.
+Nothing runs while the plan is built: pivots and cell statistics (one row
+each, bounded by ``cells``) are scalar subqueries that meet packs of vectors,
+which are made batch by batch without a shuffle.
 
 Scores are compared at ``EVEN`` digits and ties go to the smaller corpus id,
 so equal vectors rank by id wherever they were multiplied.  A zero vector, or
@@ -69,19 +71,25 @@ def _vectors(df: DataFrame, ident: str, vec: str) -> DataFrame:
     return sized.select("id", F.when(finite, F.transform("x", lambda c: c / F.col("norm"))).alias("v"), (~finite).alias("flat"))
 
 
-def _packed(rows: DataFrame, size: int) -> DataFrame:
-    """Rows (id, v) in packs of about ``size``, one row a pack."""
-    packs = rows.agg(F.expr(f"count(*) div {size} + 1")).scalar()
-    dealt = rows.withColumn("pack", F.pmod(F.xxhash64(F.lit(7), "id"), packs))
-    return dealt.groupBy("pack").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
+def _packed(rows: DataFrame, id_type: str) -> DataFrame:
+    """Rows (id, v) in packs, one row per Arrow batch."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            if batch.num_rows:
+                rows = pa.StructArray.from_arrays(batch.columns, names=batch.schema.names)
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)], names=["rows"])
+
+    return rows.select("id", "v").mapInArrow(run, f"rows array<struct<id: {id_type}, v: array<double>>>")
 
 
 def _pivots(rows: DataFrame, cells: int, cell_rows: int) -> Column:
-    """Up to ``cells`` unit vectors of the corpus, fewer for a small one."""
-    wanted = rows.agg(F.expr(f"cast(least({cells}, count(*) div {cell_rows} + 1) as int)")).scalar()
-    sample = rows.select(F.xxhash64(F.lit(11), "id").alias("h"), "v").orderBy("h").limit(cells)
-    listed = sample.agg(F.array_sort(F.collect_list(F.struct("h", "v"))).alias("s"))
-    return listed.select(F.slice("s.v", F.lit(1), wanted)).scalar()
+    """Up to ``cells`` unit vectors of the corpus: the rows whose hash is a
+    multiple of ``cell_rows``, one at least."""
+    h = F.xxhash64(F.lit(11), "id")
+    sample = rows.select((F.pmod(h, F.lit(cell_rows)) != 0).alias("spare"), h.alias("h"), "v").orderBy("spare", "h").limit(cells)
+    listed = sample.agg(F.array_sort(F.collect_list(F.struct("spare", "h", "v"))).alias("s"), F.count_if(~F.col("spare")).alias("n"))
+    return listed.select(F.slice("s.v", F.lit(1), F.greatest("n", F.lit(1)).cast("int"))).scalar()
 
 
 def _deal(packs: DataFrame, pivots: Column, id_type: str) -> DataFrame:
@@ -101,8 +109,7 @@ def _deal(packs: DataFrame, pivots: Column, id_type: str) -> DataFrame:
 
 
 def _visits(packs: DataFrame, pivots: Column, cells: Column, id_type: str, k: int) -> DataFrame:
-    """(id, v, cell, least, first): the cells a query may have to visit, the
-    least distance of a member, and whether it goes there first."""
+    """(id, v, cell): the cells that may hold one of the k nearest of a query."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for batch in batches:
@@ -110,23 +117,25 @@ def _visits(packs: DataFrame, pivots: Column, cells: Column, id_type: str, k: in
                 rows, known = batch.column("rows")[i].values, batch.column("cells")[i].values
                 if not len(known):       # an empty corpus
                     continue
-                piv = _matrix(batch.column("pivots")[i].values)
+                ids, v = rows.field("id"), rows.field("v")
+                every = _distances(_matrix(v), _matrix(batch.column("pivots")[i].values))
                 cell = known.field("cell").to_numpy(zero_copy_only=False)
                 radius, size = (known.field(c).to_numpy(zero_copy_only=False) for c in ("radius", "size"))
-                ids, v = rows.field("id"), rows.field("v")
-                d = _distances(_matrix(v), piv)[:, cell]
-                order = np.argsort(d, axis=1, kind="stable")
-                before = np.cumsum(size[order], axis=1) - size[order]
-                first = np.zeros(d.shape, bool)
-                np.put_along_axis(first, order, before < k, axis=1)
-                least = np.maximum(d - radius, 0.0)
-                q = np.repeat(np.arange(len(d)), len(cell))
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(q)), v.take(pa.array(q)), pa.array(np.tile(cell, len(d)), pa.int32()),
-                     pa.array(least.ravel()), pa.array(first.ravel())], names=["id", "v", "cell", "least", "first"])
+                d = every[:, cell]
+                reach = d + radius
+                order = np.argsort(reach, axis=1, kind="stable")
+                enough = np.cumsum(size[order], axis=1) >= k
+                last = np.where(enough.any(axis=1), enough.argmax(axis=1), len(cell) - 1)
+                at = np.arange(len(d))
+                bound = reach[at, order[at, last]]
+                bound[~enough.any(axis=1)] = np.inf
+                if every.shape[1] >= k:
+                    bound = np.minimum(bound, np.partition(every, k - 1, axis=1)[:, k - 1])
+                q, c = np.nonzero(d - radius <= bound[:, None] + MARGIN)
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(q)), v.take(pa.array(q)), pa.array(cell[c], pa.int32())], names=["id", "v", "cell"])
 
     return (packs.select("rows", pivots.alias("pivots"), cells.alias("cells"))
-            .mapInArrow(run, f"id {id_type}, v array<double>, cell int, least double, first boolean"))
+            .mapInArrow(run, f"id {id_type}, v array<double>, cell int"))
 
 
 def _scored(visits: DataFrame, dealt: DataFrame, sizes: DataFrame, k: int, tile: int, types: tuple[str, str]) -> DataFrame:
@@ -167,27 +176,19 @@ def search(queries: DataFrame, corpus: DataFrame, k: int, qid: str, qvec: str, c
     """(q, c, s, rank): the k nearest corpus rows of every query."""
     types = dict(queries.dtypes)[qid], dict(corpus.dtypes)[cid]
     asked, known = _vectors(queries, qid, qvec), _vectors(corpus, cid, cvec)
-    lively = known.where("not flat").select("id", "v")
+    lively = known.where("not flat")
     pivots = _pivots(lively, cells, cell_rows)
-    dealt = _deal(_packed(lively, tile), pivots, types[1])
+    dealt = _deal(_packed(lively, types[1]), pivots, types[1])
     sizes = dealt.groupBy("cell").agg(F.max("far").alias("radius"), F.count("*").alias("size"))
     listed = sizes.agg(F.array_sort(F.collect_list(F.struct("cell", "radius", "size")))).scalar()
-    visits = _visits(_packed(asked.where("not flat").select("id", "v"), tile), pivots, listed, types[0], k)
-    near = _scored(visits.where("first"), dealt, sizes, k, tile, types)
-    reach = _first(near, k).groupBy("q").agg(F.min("s").alias("kth"))
-    within = F.col("least") <= F.sqrt(F.greatest(2 - 2 * F.col("kth"), F.lit(0.0))) + MARGIN
-    rest = visits.where("not first").join(reach, F.col("id") == F.col("q")).where(within).select("id", "v", "cell")
-    found = near.unionByName(_scored(rest, dealt, sizes, k, tile, types))
-    # vectors without a direction: the k smallest ids can matter, for every query; to a query without one all are alike
-    flat = known.where("flat").select(F.col("id").alias("c")).orderBy("c").limit(k)
-    last = known.select(F.col("id").alias("c")).orderBy("c").limit(k)
-
-    def beside(rows: DataFrame, ends: DataFrame) -> DataFrame:
-        several = ends.agg(F.array_sort(F.collect_list("c"))).scalar()
-        return rows.select(F.col("id").alias("q"), F.explode(several).alias("c"), F.lit(None).cast("double").alias("s"))
-
-    found = found.unionByName(beside(asked.where("not flat"), flat)).unionByName(beside(asked.where("flat"), last))
-    return _first(found, k)
+    visits = _visits(_packed(asked.where("not flat"), types[0]), pivots, listed, types[0], k)
+    found = _scored(visits, dealt, sizes, k, tile, types)
+    # of the vectors without a direction the k smallest ids can matter, and to a query without one all vectors are alike
+    ends = known.select("flat", F.col("id").alias("c"))
+    flat, any_row = (e.orderBy("c").limit(k).agg(F.array_sort(F.collect_list("c"))).scalar() for e in (ends.where("flat"), ends))
+    beside = asked.select(F.col("id").alias("q"), F.explode(F.when(F.col("flat"), any_row).otherwise(flat)).alias("c"),
+                          F.lit(None).cast("double").alias("s"))
+    return _first(found.unionByName(beside), k)
 
 
 def topk_similar(queries: DataFrame, corpus: DataFrame, k: int = 3, qid: str = "qid", qvec: str = "qvec", cid: str = "cid",
