@@ -921,13 +921,31 @@ SELECT count(DISTINCT brand) AS brands_tracked, count(DISTINCT marketplace) AS m
 FROM counts""")
 def q_tracking_counts(spark, d):
     """Distinct counts for the headline tiles: brands and marketplaces
-    tracked, observations, stores (one row; each count is a partial
-    aggregate, the store count a scalar subquery)."""
-    c = CL.clean_counts(A.raw_counts(spark, d))
-    stores_n = A.stores(spark, d).select(F.countDistinct("name")).scalar()
-    return c.agg(F.countDistinct("brand").alias("brands_tracked"),
-                 F.countDistinct("marketplace").alias("marketplaces_tracked"),
-                 F.count(F.lit(1)).alias("observations")).select("*", stores_n.alias("stores"))
+    tracked, observations, stores (one row).  Observations are summed up per
+    brand and marketplace once; the distinct counts are bitmaps over that."""
+    from ..functions.bitmaps import distinct_count
+    c = CL.clean_counts(A.raw_counts(spark, d)).groupBy("brand", "marketplace").agg(F.count(F.lit(1)).alias("n"))
+    return c.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("observations")).select(
+        distinct_count(c, "brand").alias("brands_tracked"), distinct_count(c, "marketplace").alias("marketplaces_tracked"),
+        "observations", distinct_count(A.stores(spark, d), "name").alias("stores"))
+
+
+@register("place_reach", O.with_listings("""
+SELECT coalesce(source, 'all') AS source, count(DISTINCT location) AS places, count(DISTINCT title) AS titles
+FROM listings GROUP BY ROLLUP (source) HAVING source IS NOT NULL OR grouping(source) = 1"""))
+def q_place_reach(spark, d):
+    """Distinct places and titles per source and over all sources: one
+    dictionary per column, bitmaps per source, their unions for the total."""
+    from ..functions import bitmaps as B
+    pairs = {c: A.listings(spark, d).where(F.col(c).isNotNull()).select("source", c).distinct() for c in ("location", "title")}
+
+    def reach(column, name):
+        ids = pairs[column].join(B.dictionary(pairs[column], column), column).select("source", "id")
+        sets = B.bitmaps(ids, ["source"])
+        whole = B.counted(B.merged(sets), name=name).select(F.lit("all").alias("source"), name)
+        return B.counted(sets, ["source"], name).unionByName(whole)
+
+    return reach("location", "places").join(reach("title", "titles"), "source")
 
 
 @register("program_results", "WITH " + O.RAW_COUNTS + f"""
