@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relist.functions import bitmaps as B
+from relist.operators import competition as C
 from relist.operators import metrics as M
 
 
@@ -53,3 +54,16 @@ def test_bitmaps_count_and_merge(spark):
     whole = len({v for _, v in rows if v})
     assert B.counted(B.merged(sets)).first().n == whole
     assert spark.range(1).select(B.distinct_count(df, "v").alias("n"), B.distinct_count(df.limit(0), "v").alias("z")).first() == (whole, 0)
+
+
+def test_ranks_equal_sorting(spark):
+    rnd = random.Random(6)
+    rows = [(f"b{i}", rnd.choice([0, 0, 0, 1, 5, 5, rnd.randint(0, 10 ** 12)])) for i in range(900)] + [("é", None), (None, 5), ("b1", 5)]
+    df = spark.createDataFrame(rows, "brand string, total long")
+    got = C.ranked(df, "total", "brand").collect()
+    order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), (r[0] is not None, (r[0] or "").encode())))
+    assert [(r.brand, r.total) for r in sorted(got, key=lambda r: r["rank"])] == order
+    assert sorted(r["rank"] for r in got) == list(range(1, len(rows) + 1))
+    plan = C.brand_rank(df)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window [" in line]
+    assert windows and all("], []" not in line and ", [_" in line for line in windows)          # every window has a key
