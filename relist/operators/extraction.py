@@ -1,18 +1,15 @@
 """Extraction jobs over landed raw payloads and pages: product cards from
 catalogue HTML, result counts from page text, slugs, embedded-JSON totals,
-marketplace payload → listing, image manifests and structured replies.
+image manifests and structured replies (payloads: ``payloads``).
 
-Native regex / JSON expressions wherever the shape is regular; the one
-genuinely recursive search (first positive total-like key anywhere in a
-JSON document) runs as an Arrow-batched ``mapInPandas``.
+Native regex / JSON expressions throughout; the search for a total anywhere
+in a JSON document is a fold over its levels.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -126,62 +123,74 @@ def page_cards(pages: DataFrame, key: str = "page_id", html: str = "html", url:
             .drop("_rn").withColumnRenamed("_pos", "position"))
 
 
-def first_total(document, max_depth: int | None = 8, list_head: int | None = 5) -> int | None:
-    """First positive whole number under a total-like key, in document order.
-
-    An own stack instead of recursion, so depth is no limit; ``max_depth``
-    and ``list_head`` bound the search as the definition does (None: no
-    bound)."""
-    waiting = [(document, 0)]
-    while waiting:
-        value, depth = waiting.pop()
-        if max_depth is not None and depth > max_depth:
-            continue
-        if isinstance(value, dict):
-            named = (value.get(k) for k in TOTAL_KEYS)
-            hit = next((n for n in named if type(n) is int and n > 0), None)
-            if hit is not None:
-                return hit
-            below = list(value.values())
-        else:
-            below = value[:list_head] if isinstance(value, list) else []
-        waiting += [(child, depth + 1) for child in reversed(below)]
-    return None
-
-
-def _total_of(text: str | None) -> int | None:
-    """Total of one JSON text; unreadable text or a number beyond a bigint is
-    no match."""
-    if text is None:
-        return None
-    try:
-        total = first_total(json.loads(text))
-    except (ValueError, RecursionError):
-        return None
-    return total if total is not None and total < 1 << 63 else None
-
-
 def embedded_json(html: Column, script_id: str = "__NEXT_DATA__") -> Column:
     return F.nullif(F.regexp_extract(
         html, r"(?s)<script[^>]+id=[\"']" + script_id + r"[\"'][^>]*>(.*?)</script>", 1), F.lit(""))
 
 
-def total_from_json(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """First positive total-like key found depth-first in the page's
-    embedded JSON (depth ≤ 8, first 5 list items); else the first
-    total-like number in the raw text.  The walk runs per Arrow batch in ``mapInPandas`` over the whole pages."""
-    src = pages.select(key, embedded_json(F.col(html)).alias("_json"),
-                       count_from_text(F.col(html), (r'"totalCount"\s*:\s*(\d+)', r'"nbHits"\s*:\s*(\d+)',
-                                                     r'"total"\s*:\s*(\d+)')).alias("_fallback"))
-    key_type = dict(pages.dtypes)[key]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            res = pd.Series([_total_of(j) for j in b["_json"]], dtype="Int64")
-            fb = b["_fallback"].astype("Int64")
-            yield pd.DataFrame({key: b[key], "total": res.fillna(fb)})
-
-    return src.mapInPandas(run, f"{key} {key_type}, total bigint")
+# What a value of a JSON document is, told by its first character once texts
+# that begin like something else have been marked (``_marked``).
+_NESTED, _WHOLE = r"^\s*[\[{]", r"^[1-9][0-9]*$"
+_STEP = "array<struct<path: array<int>, text: string>>"
+
+
+def _marked(text: Column) -> Column:
+    """JSON in which no text begins with a bracket or a digit, so that a value
+    read as text still shows whether it was an object, a list or a number."""
+    return F.regexp_replace(text, r'"(?=\s*[\[{0-9])', '"~')
+
+
+def first_total(text: Column, max_depth: int | None = 8, list_head: int | None = 5) -> Column:
+    """First positive whole number under a total-like key of a JSON text, in
+    document order (an object before what is in it), as text.
+
+    The walk is a fold over the levels of the document: each step reads the
+    objects and lists of a level once, takes the totals the objects hold, and
+    goes on with what they contain.  A node is known by its path, and paths
+    sort in document order, so the smallest path with a total is the first.
+    ``max_depth`` and ``list_head`` bound the search as the definition does
+    (None: no bound; a document that nests deeper than the JSON reader
+    allows has no total)."""
+    def object_of(node: Column) -> Column:
+        return F.when(F.ltrim(node["text"]).startswith("{"), F.from_json(node["text"], "map<string,string>"))
+
+    def values_of(node: Column) -> Column:
+        listed = F.from_json(node["text"], "array<string>")
+        some = listed if list_head is None else F.slice(listed, 1, list_head)
+        return F.when(F.ltrim(node["text"]).startswith("{"), F.map_values(object_of(node))).otherwise(some)
+
+    def total_of(node: Column) -> Column:
+        held = object_of(node)
+        named = [F.try_element_at(held, F.lit(k)) for k in TOTAL_KEYS]
+        return F.struct(node["path"].alias("path"), F.coalesce(*[F.when(n.rlike(_WHOLE), n) for n in named]).alias("text"))
+
+    def below(node: Column) -> Column:
+        inner = F.transform(values_of(node), lambda v, i: F.struct(F.concat(node["path"], F.array(i)).alias("path"), v.alias("text")))
+        return F.filter(F.coalesce(inner, F.array().cast(_STEP)), lambda x: F.coalesce(x["text"].rlike(_NESTED), F.lit(False)))
+
+    def step(state: Column, _: Column) -> Column:
+        level = state["level"]
+        hits = F.filter(F.transform(level, total_of), lambda h: h["text"].isNotNull())
+        best = F.array_min(F.array_compact(F.array(state["best"], F.array_min(hits))))
+        return F.struct(F.flatten(F.transform(level, below)).alias("level"), best.alias("best"))
+
+    whole = _marked(text)
+    nested = F.regexp_count(text, F.lit(r"[\[{]"))
+    steps = nested if max_depth is None else F.least(nested, F.lit(max_depth + 1))
+    root = F.array(F.struct(F.array().cast("array<int>").alias("path"), F.coalesce(whole, F.lit("")).alias("text")))
+    start = F.struct(root.cast(_STEP).alias("level"), F.lit(None).cast("struct<path: array<int>, text: string>").alias("best"))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.coalesce(steps, F.lit(0)), F.lit(1))), start, step)["best"]["text"]
+
+
+def total_from_json(pages: DataFrame, key: str = "page_id", html: str = "html", max_depth: int | None = 8,
+                    list_head: int | None = 5) -> DataFrame:
+    """First positive total-like key found depth-first in the page's embedded
+    JSON (depth ≤ 8, first 5 list items by default, None for no bound); else
+    the first total-like number in the raw text."""
+    fallback = count_from_text(F.col(html), (r'"totalCount"\s*:\s*(\d+)', r'"nbHits"\s*:\s*(\d+)', r'"total"\s*:\s*(\d+)'))
+    found = pages.select(key, embedded_json(F.col(html)).alias("_json"), fallback.alias("_fallback"))
+    total = first_total(F.col("_json"), max_depth, list_head).try_cast("bigint")
+    return found.select(key, F.coalesce(total, "_fallback").alias("total"))
 
 
 def image_manifest(listings: DataFrame, existing: DataFrame | None = None, limit: int = 0) -> DataFrame:

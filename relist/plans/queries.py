@@ -537,7 +537,27 @@ def q_last_question(spark, d):
 from ..operators import vectors as V  # noqa: E402
 
 
-@register("document_chunks")
+def _last_in(part: str, sep: str, width: int) -> str:
+    """Where ``sep`` last begins in ``part`` (from 0), -1 if nowhere, in DuckDB."""
+    return f"CASE WHEN contains({part}, {sep}) THEN length({part}) - strpos(reverse({part}), reverse({sep})) - {width} + 1 ELSE -1 END"
+
+
+@register("document_chunks", f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, text, 0 AS n, CAST(0 AS BIGINT) AS lo, CAST(NULL AS VARCHAR) AS content, false AS done FROM documents WHERE text <> ''
+  UNION ALL
+  SELECT doc_id, text, n + 1, CASE WHEN hi - 200 > lo THEN hi - 200 ELSE hi END, substr(text, lo + 1, hi - lo), hi >= length(text)
+                              AND NOT (hi - 200 > lo)
+  FROM (
+    SELECT *, CASE WHEN lo + 1500 >= length(text) THEN length(text)
+                   WHEN p >= 0 THEN lo + 751 + p + 2 WHEN l >= 0 THEN lo + 751 + l + 1
+                   WHEN s >= 0 THEN lo + 751 + s + 2 WHEN b >= 0 THEN lo + 751 + b + 1 ELSE lo + 1500 END AS hi
+    FROM (SELECT *, {_last_in('half', "chr(10) || chr(10)", 2)} AS p, {_last_in('half', "chr(10)", 1)} AS l,
+                 {_last_in('half', "'. '", 2)} AS s, {_last_in('half', "' '", 1)} AS b
+          FROM (SELECT *, substr(text, lo + 752, 749) AS half FROM w WHERE NOT done AND lo < length(text))))),
+c AS (SELECT doc_id, n, regexp_replace(content, '^[\s\x0b\x1c-\x1f\x85\p{{Z}}]+|[\s\x0b\x1c-\x1f\x85\p{{Z}}]+$', '', 'g') AS content FROM w WHERE n > 0),
+k AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS INTEGER) AS chunk_index, content FROM c WHERE length(content) > 50)
+SELECT doc_id, chunk_index, content, sha256(doc_id || chr(1) || chunk_index) AS id FROM k""")
 def q_document_chunks(spark, d):
     return V.chunk_documents(A.table(spark, d, "documents"))
 
@@ -699,7 +719,26 @@ def q_page_span_counts(spark, d):
     return p.select("page_id", X.count_from_spans(F.col("html")).alias("span_count"))
 
 
-@register("page_totals")
+@register("page_totals", "WITH RECURSIVE " + AUG_PAGES + """,
+doc AS (SELECT page_id, html, nullif(regexp_extract(html, '(?s)<script[^>]+id=["'']__NEXT_DATA__["''][^>]*>(.*?)</script>', 1), '') AS js FROM aug),
+walk AS (
+  SELECT page_id, CAST([] AS INTEGER[]) AS path, CAST(js AS JSON) AS node FROM doc WHERE json_valid(js)
+  UNION ALL
+  SELECT page_id, list_append(path, CAST(pos AS INTEGER)), child FROM (
+    SELECT page_id, path, unnest(range(0, len(kids))) AS pos, unnest(kids) AS child FROM (
+      SELECT page_id, path, CASE json_type(node)
+               WHEN 'OBJECT' THEN list_transform(json_keys(node), lambda k: json_extract(node, '$."' || k || '"'))
+               ELSE list_transform(range(0, CAST(least(5, json_array_length(node)) AS BIGINT)), lambda i: json_extract(node, '$[' || i || ']')) END AS kids
+      FROM walk WHERE len(path) < 8))
+  WHERE json_type(child) IN ('OBJECT', 'ARRAY')),
+hit AS (SELECT page_id, path, list_filter(list_transform(['totalCount', 'total_count', 'totalItems', 'totalResults', 'nbHits', 'total'],
+               lambda k: CASE WHEN json_type(node, '$."' || k || '"') IN ('UBIGINT', 'BIGINT') THEN CAST(json_extract(node, '$."' || k || '"') AS BIGINT) END),
+               lambda n: n > 0)[1] AS total FROM walk WHERE json_type(node) = 'OBJECT'),
+first AS (SELECT page_id, arg_min(total, path) AS total FROM hit WHERE total IS NOT NULL GROUP BY page_id)
+SELECT doc.page_id, coalesce(first.total, TRY_CAST(nullif(regexp_extract(html, '(?i)"totalCount"\s*:\s*(\d+)', 1), '') AS BIGINT),
+       TRY_CAST(nullif(regexp_extract(html, '(?i)"nbHits"\s*:\s*(\d+)', 1), '') AS BIGINT),
+       TRY_CAST(nullif(regexp_extract(html, '(?i)"total"\s*:\s*(\d+)', 1), '') AS BIGINT)) AS total
+FROM doc LEFT JOIN first USING (page_id)""")
 def q_page_totals(spark, d):
     return X.total_from_json(augmented_pages(spark, d))
 

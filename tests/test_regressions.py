@@ -3,6 +3,7 @@ multi-line cards, broken replies, deep JSON, large vector sets."""
 
 import json
 import os
+import random
 import time
 
 import numpy as np
@@ -92,8 +93,40 @@ def test_json_totals_never_abort(spark):
     df = spark.createDataFrame(rows, "page_id int, html string")
     got = {r.page_id: r.total for r in X.total_from_json(df).collect()}
     assert got[2] is None and got[3] == 5 and got[4] is None and 1 in got
-    assert X.first_total({"a": [0, {"total": 3}], "totalItems": 7}) == 7
-    assert X.first_total([[[{"total": 2}]]], max_depth=1) is None and X.first_total([[[{"total": 2}]]], max_depth=None) == 2
+
+
+def test_totals_in_document_order(spark):
+    """The walk against the definition, written as a recursion here."""
+    def plain(value, depth, most, head):
+        if most is not None and depth > most:
+            return None
+        if isinstance(value, dict):
+            for k in X.TOTAL_KEYS:
+                if type(value.get(k)) is int and value[k] > 0:
+                    return value[k]
+            inner = list(value.values())
+        else:
+            inner = value[:head] if isinstance(value, list) else []
+        return next((t for t in (plain(v, depth + 1, most, head) for v in inner) if t is not None), None)
+
+    rnd = random.Random(9)
+
+    def document(depth):
+        kind = rnd.random()
+        if depth == 0 or kind < 0.3:
+            return rnd.choice([0, -3, 7, 2.5, "5", "{\"total\": 8}", "[1]", None, True, "x", 41])
+        if kind < 0.6:
+            return [document(depth - 1) for _ in range(rnd.randint(0, 8))]
+        return {rnd.choice(["total", "nbHits", "z", "b", "a", "totalCount", "m"]): document(depth - 1) for _ in range(rnd.randint(0, 4))}
+
+    docs = [document(rnd.randint(1, 11)) for _ in range(300)]
+    docs += [{"a": [0, {"total": 3}], "totalItems": 7}, [[[{"total": 2}]]], {"z": {"total": 1}, "a": {"total": 2}}, {"a": [1, 2, 3, 4, 5, {"total": 6}]}]
+    df = spark.createDataFrame([(i, json.dumps(d, indent=rnd.choice([None, 1]))) for i, d in enumerate(docs)], "i int, j string")
+    for most, head in ((8, 5), (2, 1), (None, None)):
+        got = {r.i: r.t for r in df.select("i", X.first_total(F.col("j"), most, head).alias("t")).collect()}
+        for i, d in enumerate(docs):
+            want = plain(d, 0, most, head)
+            assert got[i] == (None if want is None else str(want)), (docs[i], got[i], most)
 
 
 def test_vector_sets_of_any_size(spark):
