@@ -4,7 +4,9 @@ Index.  Equal vectors are one node (its id the smallest ``vec_id``), so a
 vector that a third of the rows share costs one node.  A first graph comes
 from ``trees`` random partitions: signs against random hyperplanes give
 buckets of about ``leaf`` nodes (larger ones are split by a hash), in which
-all inner products are taken.  NN-descent then joins neighbours of neighbours:
+all inner products are taken; a node keeps its best partners and some random
+ones, without which groups of near copies would fill each other's lists and
+never meet the rest.  NN-descent then joins neighbours of neighbours:
 every node gathers the vectors of its ``k`` best neighbours and of the ``k``
 best nodes that list it, compares them with one another, and proposes pairs
 that beat an end's worst neighbour; the best ``k`` of old and proposed edges
@@ -15,15 +17,16 @@ most ``sample`` vectors.
 
 Search.  A query starts from its own node's neighbours and keeps a beam of the
 ``beam`` best nodes met.  In each of ``steps`` Spark joins the ``expand`` best
-nodes of the beam not yet expanded hand over their neighbours (in both
-directions).  The nodes left are scored again on the original vectors in
+nodes of the beam not yet expanded hand over their neighbours and the best
+``BACK * k`` nodes that list them (a long vector is listed by most nodes).  The nodes left are scored again on the original vectors in
 double precision and opened into their rows.
 
 Vectors that are null, zero, of another length than most, or hold a null or
 non-finite component take no part, neither as queries nor as candidates.
 Repeated rows with one ``vec_id`` count once; rows with a null ``vec_id`` take
 no part; ties go to the smaller ``vec_id``; with fewer candidates than
-``top`` all are returned; empty tables give an empty result.
+``top`` all are returned; empty tables give an empty result; columns other
+than ``vec_id``, ``embedding`` and those of the condition are not read.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 EDGE = "u long, v long, s float"
+#: nodes that list a node, of which the best so many times ``k`` are ways back from it
+BACK = 4
 
 
 def _dense(column, dim: int) -> np.ndarray:
@@ -45,6 +50,10 @@ def _dense(column, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)
 
 
+def _doubles(column, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+
+
 def _coded(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """8-bit components and the scale of each vector."""
     scale = np.abs(v).max(1) / 127
@@ -60,13 +69,12 @@ def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     v = F.col("embedding")
     ok = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     usable = vectors.where("vec_id is not null and embedding is not null").where(ok) \
-        .select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<float>").alias("vec"))
-    usable = usable.where(F.exists("vec", lambda x: x != 0) & ~F.exists("vec", lambda x: F.abs(x) == float("inf")))
+        .select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<double>").alias("vec"))
     sizes = usable.groupBy(F.size("vec").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     dim = sizes[0]["d"] if sizes else 1
     usable = usable.where(F.size("vec") == dim)
     # components that compare equal hash alike (-0.0 + 0.0 is 0.0)
-    plain = F.transform("vec", lambda x: x + F.lit(0.0).cast("float"))
+    plain = F.transform("vec", lambda x: x + F.lit(0.0))
     named = usable.select("vec_id", plain.alias("vec")).select(
         "vec_id", "vec", F.xxhash64("vec").alias("h1"), F.xxhash64(F.lit(1), F.col("vec")).alias("h2"))
     heads = named.groupBy("h1", "h2").agg(F.min("vec_id").alias("node"))
@@ -77,14 +85,14 @@ def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame, int]:
         for b in batches:
             if not b.num_rows:
                 continue
-            code, scale = _coded(_dense(b.column("vec"), dim))
+            code, scale = _coded(_doubles(b.column("vec"), dim))
             yield pa.RecordBatch.from_arrays(
                 [b.column("node"), b.column("vec"), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(scale)],
                 names=["node", "vec", "code", "scale"])
 
     own = named.join(heads.select(F.col("node").alias("vec_id")), "vec_id", "left_semi")
     own = own.select(F.col("vec_id").alias("node"), "vec").dropDuplicates(["node"])
-    nodes = materialise(own.mapInArrow(run, "node long, vec array<float>, code binary, scale float"), "nodes")
+    nodes = materialise(own.mapInArrow(run, "node long, vec array<double>, code binary, scale float"), "nodes")
     return nodes, rows, dim
 
 
@@ -119,16 +127,20 @@ def _edges(u: np.ndarray, v: np.ndarray, s: np.ndarray):
     return pa.RecordBatch.from_arrays([pa.array(u[new]), pa.array(v[new]), pa.array(s[new])], names=["u", "v", "s"])
 
 
-def _best_pairs(ids: np.ndarray, x: np.ndarray, floor: np.ndarray, most: int) -> tuple:
-    """For every row of a group, its ``most`` best partners above ``floor``;
-    512 rows at a time, so a group's products never lie in memory as a whole."""
+def _best_pairs(ids: np.ndarray, x: np.ndarray, floor: np.ndarray, most: int, chance: int = 0) -> tuple:
+    """For every row of a group, its ``most`` best partners above ``floor``
+    and ``chance`` random ones; 512 rows at a time, so a group's products never
+    lie in memory as a whole."""
     most = min(most, len(ids) - 1)
     u, v, w = [], [], []
+    rng = np.random.default_rng([len(ids), int(ids[0]) & 0xFFFFFFFF])
     for lo in range(0, len(ids), 512):
         own = ids[lo:lo + 512]
         s = x[lo:lo + 512] @ x.T
         s[own[:, None] == ids[None, :]] = -np.inf
         at = np.argpartition(-s, most - 1, axis=1)[:, :most]
+        if chance:
+            at = np.concatenate([at, rng.integers(0, len(ids), (len(own), chance))], axis=1)
         top = np.take_along_axis(s, at, 1)
         ok = (top > floor[lo:lo + 512, None]) & np.isfinite(top)
         u.append(np.broadcast_to(own[:, None], at.shape)[ok])
@@ -137,14 +149,14 @@ def _best_pairs(ids: np.ndarray, x: np.ndarray, floor: np.ndarray, most: int) ->
     return np.concatenate(u), np.concatenate(v), np.concatenate(w).astype(np.float32)
 
 
-def _compare(batches: Iterator, most: int, group: str, has_floor: bool) -> Iterator:
+def _compare(batches: Iterator, most: int, group: str, has_floor: bool, chance: int = 0) -> Iterator:
     names = (group, "node", "code", "scale") + (("floor",) if has_floor else ())
     for part in _groups(batches, names):
         x = _decoded(part["code"], part["scale"])
         floor = part["floor"] if has_floor else np.full(len(x), -np.inf, np.float32)
         key, ids = part[group], part["node"].astype(np.int64)
         cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
-        out = [_best_pairs(ids[a:b], x[a:b], floor[a:b], most) for a, b in zip(cuts, cuts[1:]) if b - a > 1]
+        out = [_best_pairs(ids[a:b], x[a:b], floor[a:b], most, chance) for a, b in zip(cuts, cuts[1:]) if b - a > 1]
         if out:
             yield _edges(*(np.concatenate(c) for c in zip(*out)))
 
@@ -155,7 +167,7 @@ def _top(edges: DataFrame, k: int, by: str = "u") -> DataFrame:
     return edges.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k).drop("place")
 
 
-def first_graph(nodes: DataFrame, dim: int, k: int, trees: int, leaf: int, per_tree: int, sample: int) -> DataFrame:
+def first_graph(nodes: DataFrame, dim: int, k: int, trees: int, leaf: int, per_tree: int, chance: int, sample: int) -> DataFrame:
     n = nodes.count()
     bits = max(0, ceil(log2(max(n, 1) / leaf)))
     rng = np.random.default_rng(11)
@@ -181,9 +193,9 @@ def first_graph(nodes: DataFrame, dim: int, k: int, trees: int, leaf: int, per_t
     dealt = materialise(dealt, "buckets")
     parts = dealt.groupBy("bucket").agg(F.ceil(F.count("*") / (2 * leaf)).alias("parts"))
     split = dealt.join(parts, "bucket").select(
-        F.xxhash64("bucket", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("part"), "node", "code", "scale")
+        F.xxhash64("bucket", F.pmod(F.xxhash64("node", "bucket"), F.col("parts"))).alias("part"), "node", "code", "scale")
     pairs = split.repartition("part").sortWithinPartitions("part").mapInArrow(
-        lambda b: _compare(b, per_tree, "part", False), EDGE)
+        lambda b: _compare(b, per_tree, "part", False, chance), EDGE)
     return materialise(_top(pairs.groupBy("u", "v").agg(F.max("s").alias("s")), k), "graph")
 
 
@@ -262,16 +274,17 @@ def _score_exactly(batches: Iterator, dim: int) -> Iterator:
     for b in batches:
         if not b.num_rows:
             continue
-        x, y = (_dense(b.column(c), dim).astype(np.float64) for c in ("vec", "q_vec"))
+        x, y = (_doubles(b.column(c), dim) for c in ("vec", "q_vec"))
         yield pa.RecordBatch.from_arrays([b.column("q"), b.column("node"), pa.array((x * y).sum(1))], names=["q", "node", "score"])
 
 
-def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int, steps: int, expand: int) -> DataFrame:
+def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int, steps: int, expand: int, graph_width: int) -> DataFrame:
     """(q, node, s): the beam of every query node after ``steps`` steps."""
     light = nodes.select("node", "code", "scale")
     asked = materialise(queries.join(nodes, queries["q"] == nodes["node"]).select(
         "q", F.col("code").alias("q_code"), F.col("scale").alias("q_scale")), "queries")
-    ways = materialise(graph.select("u", "v").unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "ways")
+    back = _top(graph, BACK * graph_width, "v").select(F.col("v").alias("u"), F.col("u").alias("v"))
+    ways = materialise(graph.select("u", "v").unionByName(back).distinct(), "ways")
     by_score = Window.partitionBy("q").orderBy(F.desc("s"), "node")
     blocks = max(1, ceil(light.count() / 4096))
     state = asked.select("q").join(graph, F.col("q") == F.col("u")).select("q", F.col("v").alias("node"), "s", F.lit(False).alias("done"))
@@ -287,14 +300,14 @@ def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam:
     return state.select("q", "node", "s")
 
 
-def nearest(vectors: DataFrame, is_query, top: int = 20, k: int = 28, trees: int = 32, leaf: int = 1000, per_tree: int = 7, rounds: int = 3,
+def nearest(vectors: DataFrame, is_query, top: int = 20, k: int = 28, trees: int = 32, leaf: int = 1000, per_tree: int = 6, chance: int = 2, rounds: int = 3,
             settled: float = 0.01, propose: int = 14, beam: int = 160, steps: int = 4, expand: int = 32, sample: int = 2000) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest rows found for each
     row for whose ``vec_id`` the condition ``is_query`` holds."""
     nodes, rows, dim = nodes_of(vectors)
-    graph = descend(first_graph(nodes, dim, k, trees, leaf, per_tree, sample), nodes, k, rounds, settled, propose)
+    graph = descend(first_graph(nodes, dim, k, trees, leaf, per_tree, chance, sample), nodes, k, rounds, settled, propose)
     asking = materialise(rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("node").alias("q")), "asking")
-    found = greedy_search(asking.select("q").distinct(), graph, nodes, beam, steps, expand)
+    found = greedy_search(asking.select("q").distinct(), graph, nodes, beam, steps, expand, k)
     best = Window.partitionBy("q").orderBy(F.desc("s"), "node")
     few = (found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= 2 * top).select("q", "node")
            .unionByName(asking.select("q", F.col("q").alias("node")).distinct()))       # rows equal to the query

@@ -14,18 +14,25 @@
 
 Inside the main text, menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments are left out, by tag and by class
-or id; headings in an article's own header stay.  Character references are
+or id; headings in an article's own header stay, and so do headings,
+paragraphs and inline tags whatever their class or id, and sections whatever
+their id, as these are often made from titles.  Character references are
 decoded, white space in a block becomes one space, blocks are joined by one.
 
 Defined cases: null or empty html → empty text, 0 characters; a null url is
 the host ``""``; broken markup is closed where HTML would close it; a page
-without tags is one block of text.
+without tags is one block of text; pages of any length and depth are read
+whole, in time that grows with their length; repeated rows are pages of their
+own (and votes); an empty table gives an empty result; ``text`` and
+``n_chars`` columns of the input are replaced, other columns are kept.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -40,6 +47,7 @@ from .common import broadcast_if_small, materialise
 _TOKEN = re.compile(
     r"<!--(?:.*?--!?>|.*)|<!\[CDATA\[(?:.*?\]\]>|.*)|<[!?][^>]*+>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|$)", re.S)
+_OPEN = re.compile(r"</?[a-zA-Z]|<!--|<!\[CDATA\[")
 _ATTR = re.compile(r"([^\s=\"'/<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 
@@ -50,6 +58,10 @@ figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legen
 pre search section summary table tbody td tfoot th thead title tr ul""".split())
 CONTAINER = frozenset("article body div main section td".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: what holds text itself: its class or id names its looks or its title, not a part of the page
+TEXT_TAGS = HEADING | frozenset("p pre blockquote".split())
+#: parts whose id is often made from their title
+TITLED = frozenset("section article".split())
 #: start tags that close an open element of these names, up to the nearest element of the third set
 CLOSES_P = BLOCK - {"caption", "legend", "option", "optgroup", "td", "th", "tr", "tbody", "thead", "tfoot", "body", "html", "head"}
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -92,9 +104,20 @@ class Element:
     parent: int          # number of the enclosing element, -1 at the top
     noise: bool          # boilerplate, or inside it
     header: bool         # a header, or inside one: only headings count
+    box: int = 0         # number of the nearest container, itself included
     score: float = 0.0
 
 
+#: longest path kept as text; what lies deeper is known by a digest
+PATH_CHARS = 1000
+
+
+def _below(path: str, step: str) -> str:
+    if len(path) + len(step) <= PATH_CHARS:
+        return path + step
+    return "#" + hashlib.md5((path + step).encode()).hexdigest() if step else path
+
+
 @dataclass
 class Page:
     elements: list[Element] = field(default_factory=list)
@@ -122,7 +145,7 @@ def _nature(tag: str, rest: str) -> tuple[bool, bool, str]:
     noise = (tag in NOISE_TAGS or attr.get("role", "").lower() in NOISE_ROLES or "hidden" in attr
              or attr.get("aria-hidden", "").lower() == "true" and tag != "main"
              or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attr.get("style", ""), re.I) is not None
-             or any(map(_noise_name, names)))
+             or tag in BLOCK - TEXT_TAGS and any(map(_noise_name, names if tag not in TITLED else names[:-1])))
     return noise, tag == "header" or tag in BLOCK - HEADING and any(map(_header_name, names)), step
 
 
@@ -132,55 +155,63 @@ def parse(html: str) -> Page:
     els = page.elements
     els.append(Element("", "", -1, False, False))
     stack = [0]
+    open_at: dict[str, list[int]] = {}      # tag -> places in the stack, ascending
+    block_at = [0]                          # places of the open blocks
     text: list[str] = []
-    links = 0
-    in_link = 0
+    links = in_link = in_heading = 0
 
     def flush() -> None:
         nonlocal links
         if text:
             words = " ".join(_html.unescape("".join(text)).split())
             if words:
-                block = next(k for k in reversed(stack) if els[k].tag in BLOCK or k == 0)
-                page.blocks.append((block, words, min(links, len(words))))
+                page.blocks.append((stack[block_at[-1]], words, min(links, len(words))))
             text.clear()
         links = 0
 
-    def heard() -> bool:
-        e = els[stack[-1]]
-        return not e.noise and (not e.header or any(els[k].tag in HEADING for k in stack))
-
     def add(piece: str) -> None:
         nonlocal links
-        if piece and heard():
+        e = els[stack[-1]]
+        if piece and not e.noise and (not e.header or in_heading):
             text.append(piece)
             if in_link:
                 links += len(piece.strip())
 
+    def push(tag: str, element: Element) -> None:
+        nonlocal in_link, in_heading
+        els.append(element)
+        open_at.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK:
+            block_at.append(len(stack))
+        stack.append(len(els) - 1)
+        in_link += tag == "a"
+        in_heading += tag in HEADING
+
     def pop_to(depth: int) -> None:
-        nonlocal in_link
-        for k in stack[depth:]:
-            in_link -= els[k].tag == "a"
-        del stack[depth:]
+        nonlocal in_link, in_heading
+        while len(stack) > depth:
+            tag = els[stack.pop()].tag
+            open_at[tag].pop()
+            if tag in BLOCK:
+                block_at.pop()
+            in_link -= tag == "a"
+            in_heading -= tag in HEADING
 
     def close(names, within) -> None:
         """End the outermost of the open elements named, above the nearest of ``within``."""
-        at = None
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = els[stack[depth]].tag
-            if tag in within:
-                break
-            if tag in names:
-                at = depth
-        if at is not None:
+        floor = max((open_at[t][-1] for t in within if open_at.get(t)), default=0)
+        above = [places[bisect_right(places, floor)] for places in map(open_at.get, names) if places and places[-1] > floor]
+        if above:
             flush()
-            pop_to(at)
+            pop_to(min(above))
 
-    pos, end = 0, len(html)
+    pos, end, last = 0, len(html), html.rfind(">")
     while pos < end:
-        m = _TOKEN.search(html, pos)
+        m = _TOKEN.search(html, pos) if pos <= last else None
         if m is None:
-            add(html[pos:])
+            # no tag ends any more: text up to what begins like one
+            rest = _OPEN.search(html, pos)
+            add(html[pos:rest.start() if rest else end])
             break
         add(html[pos:m.start()])
         pos = m.end()
@@ -193,14 +224,13 @@ def parse(html: str) -> Page:
         if slash:
             if tag == "br":
                 add(" ")
-            for depth in range(len(stack) - 1, 0, -1):
-                if els[stack[depth]].tag == tag:
-                    if tag in BLOCK:
-                        flush()
-                    elif any(els[k].tag in BLOCK for k in stack[depth:]):
-                        break                               # an inline end tag never ends a block
+            if open_at.get(tag):
+                depth = open_at[tag][-1]
+                if tag in BLOCK:
+                    flush()
+                    pop_to(depth)
+                elif block_at[-1] < depth:                  # an inline end tag never ends a block
                     pop_to(depth)
-                    break
             continue
         if tag in BLOCK:
             flush()
@@ -219,10 +249,8 @@ def parse(html: str) -> Page:
             continue
         own, header, step = _nature(tag, rest)
         up = els[stack[-1]]
-        els.append(Element(tag, up.path + step, stack[-1], up.noise or own, up.header or header))
-        if tag == "a":
-            in_link += 1
-        stack.append(len(els) - 1)
+        push(tag, Element(tag, _below(up.path, step), stack[-1], up.noise or own, up.header or header,
+                          len(els) if tag in CONTAINER else up.box))
     flush()
     return page
 
@@ -236,13 +264,13 @@ def score(page: Page) -> None:
     for k, words, links in page.blocks:
         if links * 2 > len(words):
             continue
-        worth, level = len(words) - links, 0
-        while k > 0 and level < len(_CREDIT):
+        worth, k = len(words) - links, els[k].box
+        for credit in _CREDIT:
+            if k <= 0:
+                break
             e = els[k]
-            if e.tag in CONTAINER:
-                e.score += worth * _CREDIT[level] * (1.5 if e.tag in ("article", "main") else 1.0)
-                level += 1
-            k = e.parent
+            e.score += worth * credit * (1.5 if e.tag in ("article", "main") else 1.0)
+            k = els[e.parent].box
 
 
 def votes(html: str) -> list[tuple[str, float]]:

@@ -14,8 +14,9 @@ kinds are added by this operator.
 
 Defined cases: a null text is the empty blob; an empty table gives an empty
 result; repeated rows each get the findings; a path with several texts has a
-blob for each; columns of the input other than
-the path and the text are not read.
+blob for each; of two findings at one place the kind listed first comes first;
+texts of any length are scanned whole, in time that grows with their length;
+columns of the input other than the path and the text are not read.
 """
 
 from __future__ import annotations
@@ -36,14 +37,15 @@ HEX = re.compile(r"[0-9a-f]{24,}")   # a maximal run, so the same as dropping sh
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 BASE = ("assign", "access", "hex")
 
-# added kinds, in the order they are listed
+# added kinds, in the order they are listed; each can begin at the start of a
+# run of its characters only, so a text is passed once however it is made up
 EXTRA = (
     ("private_key", re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")),
     ("bearer", re.compile(r"\b[Bb]earer\x20+[A-Za-z0-9_.~+/-]{20,}=*")),
-    ("jwt", re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
-    ("url_login", re.compile(r"\b[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/@]+@")),
+    ("jwt", re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
+    ("url_login", re.compile(r"(?<![a-z0-9+.-])[a-z][a-z0-9+.-]{0,30}://[^\s/:@]+:[^\s/@]+@")),
 )
-RULES = "base+extra/1"
+RULES = "base+extra/2"
 LEDGER = "blob string, rules string, n_assign long, n_access long, n_hex long, base string, spans string"
 
 

@@ -40,8 +40,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, byte_chunks, materialise
+from .common import broadcast_if_small, as_bytes, byte_chunks, materialise
 from .components import components
+from .ordered import lay_out
 
 BLOCK = 16
 CHUNK = 200_000      # node pairs that advance together
@@ -282,12 +283,19 @@ def hex_digits(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
-    """The rows with the smallest id of each class (of repeated ids one row);
-    rows without an id can't be told apart and stay."""
-    found = near_duplicates(docs, words, radius)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
+    """The rows with the smallest id of each class; rows without an id can't
+    be told apart and stay.  Rows with one id and one text are one document,
+    of which one row stays; with another text they are documents of their own,
+    and of those in one class the first by its text's hash stays."""
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():
-        kept = kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
-    return kept.select(docs.columns)
+    if repeated.isEmpty():
+        found = near_duplicates(docs, words, radius)
+        gone = materialise(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "gone")
+        return docs.join(broadcast_if_small(gone, 48), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__tag"), F.struct("*").alias("__row"))
+    places = lay_out(named.select("__id", "__tag").distinct(), [F.col("__id").asc(), F.col("__tag").asc()], "row-names")
+    rows = named.join(places.select("__id", "__tag", "seq"), ["__id", "__tag"])
+    found = near_duplicates(rows.select(F.col("seq").alias("doc_id"), F.col("__row.text").alias("text")), words, radius)
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("seq")).distinct()
+    kept = rows.join(gone, "seq", "left_anti").dropDuplicates(["seq"]).select("__row.*")
+    return kept.unionByName(docs.where("doc_id is null"))

@@ -26,9 +26,11 @@ documents go only to the shards that can match:
 4. The spans of a document meet its text, the kept words are joined.
 
 Defined cases: null and empty texts have no words; documents under ``WINDOW``
-words lose nothing; a repeat inside one document is no repeat; rows that
-repeat a ``doc_id`` are taken for repeats of one row; rows without ``doc_id`` lose
-nothing and are nobody's reference; an empty table gives an empty result.
+words lose nothing; a repeat inside one document is no repeat; rows with one
+``doc_id`` are no reference for one another, each is judged by the rows of
+smaller ids (a row is known by its id and its text); rows without ``doc_id``
+lose nothing and are nobody's reference; an empty table gives an empty result;
+columns other than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -177,7 +179,7 @@ class Shard:
 # ---- tasks ----------------------------------------------------------------
 
 def _profile(batches: Iterator) -> Iterator:
-    """doc_id, two content hashes, n_words, SHA-256 of all words, window keys."""
+    """doc_id, tag, two content hashes, n_words, SHA-256 of all words, window keys."""
     import pyarrow as pa
     from xxhash import xxh3_128_digest
     for b in batches:
@@ -199,19 +201,19 @@ def _profile(batches: Iterator) -> Iterator:
         pair = np.array(content, np.int64).reshape(-1, 2)
         offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(counts, pa.int64()), pa.array(shas, pa.string()),
+            [ids, b.column("tag"), pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(counts, pa.int64()), pa.array(shas, pa.string()),
              pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))],
-            names=["doc_id", "c1", "c2", "n_words", "sha", "keys"])
+            names=["doc_id", "tag", "c1", "c2", "n_words", "sha", "keys"])
 
 
 def _snippets(batches: Iterator) -> Iterator:
-    """(key, doc_id, start, text) of the windows whose key is wanted."""
+    """(key, doc_id, tag, start, text) of the windows whose key is wanted."""
     import pyarrow as pa
     for b in batches:
-        ids, texts = b.column("doc_id").to_pylist(), as_bytes(b.column("text"))
+        ids, tags, texts = b.column("doc_id").to_pylist(), b.column("tag").to_pylist(), as_bytes(b.column("text"))
         wanted, hot = b.column("wanted").to_pylist(), b.column("hot").to_pylist()
         for lo, hi in byte_chunks(texts, 400_000):
-            out_key, out_id, out_start, out_text = [], [], [], []
+            out_key, out_id, out_tag, out_start, out_text = [], [], [], [], []
             for d in range(lo, hi):
                 words = texts[d].split()
                 h = _hash_words(words)
@@ -227,27 +229,29 @@ def _snippets(batches: Iterator) -> Iterator:
                     first, last = int(run[0]), int(run[-1])
                     out_key.append((alone if hot_at[first] else g)[first])
                     out_id.append(ids[d])
+                    out_tag.append(tags[d])
                     out_start.append(first)
                     out_text.append(b" ".join(words[first:last + WINDOW]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(out_key, np.uint64).view(np.int64)), pa.array(out_id, pa.int64()),
-                 pa.array(out_start, pa.int64()), pa.array(out_text, pa.binary())], names=["key", "doc_id", "start", "text"])
+                [pa.array(np.array(out_key, np.uint64).view(np.int64)), pa.array(out_id, pa.int64()), pa.array(out_tag, pa.int64()),
+                 pa.array(out_start, pa.int64()), pa.array(out_text, pa.binary())], names=["key", "doc_id", "tag", "start", "text"])
 
 
 def _spans(batches: Iterator) -> Iterator:
-    """Snippets sorted by key and document → (doc_id, first word, end) to remove."""
+    """Snippets sorted by key and document → (doc_id, tag, first word, end) to remove."""
     import pyarrow as pa
     key, shard = None, Shard()
     for b in batches:
-        ids, los, his = [], [], []
-        for k, doc, start, text in zip(*(b.column(c).to_pylist() for c in ("key", "doc_id", "start", "text"))):
+        ids, tags, los, his = [], [], [], []
+        for k, doc, tag, start, text in zip(*(b.column(c).to_pylist() for c in ("key", "doc_id", "tag", "start", "text"))):
             if k != key:
                 key, shard = k, Shard()
             for lo, hi in shard.feed(doc, text):
                 ids.append(doc)
+                tags.append(tag)
                 los.append(start + lo)
                 his.append(start + hi)
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, los, his)], names=["doc_id", "lo", "hi"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, tags, los, his)], names=["doc_id", "tag", "lo", "hi"])
 
 
 def kept_words(words: list[bytes], spans: list[dict]) -> list[bytes]:
@@ -266,43 +270,48 @@ def _cut(batches: Iterator) -> Iterator:
         texts = as_bytes(b.column("text"))
         kept = [kept_words(t.split(), s) for t, s in zip(texts, b.column("spans").to_pylist())]
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array([len(k) for k in kept], pa.int64()), pa.array([b" ".join(k) for k in kept], pa.binary()).cast(pa.string())],
-            names=["doc_id", "n_kept", "text"])
+            [ids, b.column("tag"), pa.array([len(k) for k in kept], pa.int64()), pa.array([b" ".join(k) for k in kept], pa.binary()).cast(pa.string())],
+            names=["doc_id", "tag", "n_kept", "text"])
 
 
 # ---- the job ----------------------------------------------------------------
 
+def _tagged(docs: DataFrame) -> DataFrame:
+    """Rows by id and text: an id may stand on several texts."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
+
+
 def _profiled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(profile of every row, removal spans of the documents that stand for their content)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = _tagged(docs)
     profile = materialise(texts.mapInArrow(
-        _profile, "doc_id long, c1 long, c2 long, n_words long, sha string, keys array<long>"), "profile")
+        _profile, "doc_id long, tag long, c1 long, c2 long, n_words long, sha string, keys array<long>"), "profile")
     named = profile.where("doc_id is not null")
     heads = materialise(named.groupBy("c1", "c2").agg(F.min("doc_id").alias("head")), "contents")
-    rows = named.select("doc_id", F.explode("keys").alias("key")).repartition("key")
+    rows = named.select("doc_id", "tag", F.explode("keys").alias("key")).repartition("key")
     several = (rows.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
                .where("lo < hi").select("key", (F.col("n") > HOT).alias("hot")))
-    per_doc = (rows.join(several.hint("shuffle_hash"), "key").groupBy("doc_id")
+    per_doc = (rows.join(several.hint("shuffle_hash"), "key").groupBy("doc_id", "tag")
                .agg(F.collect_set("key").alias("wanted"), F.collect_set(F.when(F.col("hot"), F.col("key"))).alias("hot"))
                .join(heads.select(F.col("head").alias("doc_id")), "doc_id", "left_semi"))
     wanted = materialise(per_doc, "wanted-keys")
-    ids = wanted.select("doc_id")
+    ids = wanted.select("doc_id").distinct()
     some = texts.join(broadcast_if_small(ids, 48), "doc_id", "left_semi")
-    snippets = (some.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "wanted", "hot")
-                .mapInArrow(_snippets, "key long, doc_id long, start long, text binary"))
+    snippets = (some.join(wanted.hint("shuffle_hash"), ["doc_id", "tag"]).select("doc_id", "tag", "text", "wanted", "hot")
+                .mapInArrow(_snippets, "key long, doc_id long, tag long, start long, text binary"))
     spans = (snippets.repartition("key").sortWithinPartitions("key", "doc_id", "start")
-             .mapInArrow(_spans, "doc_id long, lo long, hi long"))
-    per_doc = spans.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+             .mapInArrow(_spans, "doc_id long, tag long, lo long, hi long"))
+    per_doc = spans.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     return profile.join(heads, ["c1", "c2"], "left").drop("keys"), materialise(per_doc, "spans")
 
 
 def _parts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(profile, doc_id/n_kept/text of the documents that lose some words)."""
     profile, spans = _profiled(docs)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    some = texts.join(broadcast_if_small(spans.select("doc_id"), 48), "doc_id", "left_semi")
-    cut = some.join(spans.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "spans").mapInArrow(
-        _cut, "doc_id long, n_kept long, text string")
+    texts = _tagged(docs)
+    some = texts.join(broadcast_if_small(spans.select("doc_id").distinct(), 48), "doc_id", "left_semi")
+    cut = some.join(spans.hint("shuffle_hash"), ["doc_id", "tag"]).select("doc_id", "tag", "text", "spans").mapInArrow(
+        _cut, "doc_id long, tag long, n_kept long, text string")
     return profile, cut
 
 
@@ -310,10 +319,10 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by
     one space) of every row."""
     profile, cut = _parts(docs)
-    cut = materialise(cut.select("doc_id", "n_kept", F.sha2(F.col("text").cast("binary"), 256).alias("cut_sha"))
-                      .dropDuplicates(["doc_id"]), "cut")
+    cut = materialise(cut.select("doc_id", "tag", "n_kept", F.sha2(F.col("text").cast("binary"), 256).alias("cut_sha"))
+                      .dropDuplicates(["doc_id", "tag"]), "cut")
     copy = F.coalesce((F.col("doc_id") > F.col("head")) & (F.col("n_words") >= WINDOW), F.lit(False))
-    return profile.join(cut, "doc_id", "left").select(
+    return profile.join(cut, ["doc_id", "tag"], "left").select(
         "doc_id", "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce(F.col("n_words") - F.col("n_kept"), F.lit(0))).cast("long").alias("n_removed"),
         F.when(copy, F.lit(EMPTY_SHA)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"))

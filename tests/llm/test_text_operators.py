@@ -291,3 +291,26 @@ def test_double_array_holds_exactly_its_words():
             if s < 0:
                 break
         assert (leaf[s] if s >= 0 else -1) == (words.index(w) if w in words else -1)
+
+
+def test_hostile_texts_take_linear_time():
+    """About a megabyte each, under a second or two on one slow core."""
+    import time
+    texts = ["a." * 400_000 + " ://", "eyJ-" * 250_000, "a://" * 200_000, "Bearer " * 150_000, "password" + " " * 800_000, "token:" * 150_000]
+    for t in texts:
+        start = time.process_time()
+        secrets.scan_text(t)
+        assert time.process_time() - start < 3, t[:20]
+    assert [k for _, k, _ in secrets.extra_spans("see https://bob:pw@host/ and a.eyJabcdefgh.ijklmnopq.rstuvwxyz12 or eyJabcdefgh.ijklmnopq.rstuvwxyz12")] == [5, 5, 6]
+    pages = ["<b>" * 100_000 + "</i>" * 100_000, "<div>" * 150_000 + "x", "<div class=a>x" * 60_000, "<b>" * 80_000 + "<p>x" * 80_000,
+             "<!" * 400_000, "<a '" * 250_000, "<a><div>" * 60_000 + "</a>" * 60_000, "<header>" * 50_000 + "x<b>" * 50_000]
+    for p in pages:
+        start = time.process_time()
+        pagetext.votes(p)
+        assert time.process_time() - start < 8, p[:20]
+
+
+def test_titles_as_ids_stay():
+    body = "<article><h2 id='filling-in-the-form'>Filling in</h2><p>First words of it.</p><section id='discussion'><p>More of the text.</p></section>" \
+           "<p class='legal'>Last words.</p><div class='share'>Share this</div><section class='comments'><p>Nice!</p></section></article>"
+    assert pagetext.extract(f"<html><body>{body}</body></html>", None) == "Filling in First words of it. More of the text. Last words."
