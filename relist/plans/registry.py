@@ -24,4 +24,4 @@ def register(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import payload_queries, queries  # noqa: F401  (register on import)
+    from . import flow_queries, payload_queries, queries  # noqa: F401  (register on import)

@@ -8,8 +8,8 @@ proprietary loader: the stream's schema is the union of a schema registry
 kept beside the checkpoint and the schema inferred from the files the
 registry has not seen yet; new columns and new fields of nested structs are
 added (old rows read back as null through ``mergeSchema``), known types are
-kept, and a record with a value that does not fit its type is kept as it was
-landed in ``_rescued_data``.
+kept, and values that do not fit their type are kept as they were landed, by
+field, in ``_rescued_data`` (the rest of the record is read).
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from __future__ import annotations
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
+from ..operators.dedupe import union_by_name
 from ..session import path_exists
 
 RESCUED = "_rescued_data"
@@ -93,8 +94,6 @@ def evolve_schema(spark: SparkSession, path: str, fmt: str, registry: str, glob:
     if not new:
         return old if old is not None else StructType([])
     reader = _options(spark.read, fmt, None, multiline, header)
-    if fmt == "csv":
-        reader = reader.option("inferSchema", "true")
     if sampling_ratio < 1.0 and fmt == "json":
         reader = reader.option("samplingRatio", str(sampling_ratio))
     inferred = reader.format(fmt).load(new).schema
@@ -106,6 +105,16 @@ def evolve_schema(spark: SparkSession, path: str, fmt: str, registry: str, glob:
     return merged
 
 
+def rescued_fields(df: DataFrame, known: list[str]) -> Column:
+    """What of a record did not fit, as JSON: the fields that have a value in
+    the landed text but none in their column (the others were read).  The whole
+    text stays where that tells nothing: broken JSON, or a misfit deeper inside."""
+    landed = F.from_json(F.col(RESCUED), "map<string,string>")
+    empty = F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNull(), F.lit(c)) for c in known]))
+    lost = F.map_filter(landed, lambda k, v: v.isNotNull() & F.array_contains(empty, k))
+    return F.when(F.size(lost) > 0, F.to_json(lost)).otherwise(F.col(RESCUED))
+
+
 def stream_files(spark: SparkSession, path: str, fmt: str, schema: StructType, glob: str | None = None,
                  multiline: bool = False, header: bool = True) -> DataFrame:
     """Streaming DataFrame over a landing folder (recursive, filtered by glob)
@@ -117,6 +126,8 @@ def stream_files(spark: SparkSession, path: str, fmt: str, schema: StructType, g
     if fmt in ("json", "csv"):
         r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RESCUED)
     df = r.format(fmt).load(path)
+    if fmt == "json":
+        df = df.withColumn(RESCUED, rescued_fields(df, [f.name for f in schema.fields if f.name != RESCUED]))
     return (df.withColumn("_ingested_at", F.current_timestamp())
               .withColumn("_source_file", F.col("_metadata.file_path")))
 
@@ -126,7 +137,10 @@ def ingest(spark: SparkSession, path: str, out: str, checkpoint: str, fmt: str =
            header: bool = True) -> int:
     """Append the files landed since the last run to the Parquet table at
     ``out`` (exactly once per file) and return the number of micro-batches
-    run.  With ``schema=None`` the schema evolves (see module doc)."""
+    run.  With ``schema=None`` the schema evolves (see module doc); CSV files
+    are read by their own headers then (``_ingest_csv``)."""
+    if fmt == "csv" and header and schema is None:
+        return _ingest_csv(spark, path, out, checkpoint, glob)
     if schema is None:
         schema = evolve_schema(spark, path, fmt, checkpoint.rstrip("/") + "/_schema", glob,
                                multiline, header)
@@ -140,6 +154,39 @@ def ingest(spark: SparkSession, path: str, out: str, checkpoint: str, fmt: str =
     return len(q.recentProgress)
 
 
+def _ingest_csv(spark: SparkSession, path: str, out: str, checkpoint: str, glob: str | None) -> int:
+    """CSV files whose columns differ from file to file, by name.
+
+    The stream finds the files; of every micro-batch those with one header
+    are read together, all columns as text (a type is for the cleaning to
+    find, and text keeps leading zeros), and joined by column name.  Rows with
+    more or fewer values than the header keep their text in
+    ``_rescued_data``.  A batch is one folder, written over if it is run again,
+    so a file's rows are in the table once."""
+    lines = _options(spark.readStream, "text", glob, False, False).option("maxFileAge", "36500d").format("text").load(path)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+
+    def land(batch: DataFrame, number: int) -> None:
+        ordered = batch.withColumn("n", F.monotonically_increasing_id())
+        heads = ordered.groupBy("file").agg(F.min_by("value", F.struct("start", "n")).alias("head"))
+        alike = heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect()     # names of one batch's files
+        session, parts = batch.sparkSession, []
+        for group in alike:
+            names = session.read.option("header", "true").csv(group["files"]).columns
+            schema = StructType([StructField(n, StringType(), True) for n in [*names, RESCUED]])
+            part = (session.read.option("header", "true").schema(schema).option("mode", "PERMISSIVE")
+                    .option("columnNameOfCorruptRecord", RESCUED).csv(group["files"]))
+            parts.append(part.withColumn("_source_file", F.col("_metadata.file_path")))
+        if parts:
+            landed = union_by_name(*parts).withColumn("_ingested_at", F.current_timestamp())
+            landed.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={number}")
+
+    q = (lines.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint.rstrip("/") + "/stream")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return len(q.recentProgress)
+
+
 def backfill(spark: SparkSession, path: str, out: str, checkpoint: str, run: str, **options) -> DataFrame:
     """Read the whole landing history again, into a table and a checkpoint of
     their own (``<out>_<run>``, ``<checkpoint>_<run>``); the caller switches
@@ -157,7 +204,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     if schema is not None:
         return r.schema(schema).parquet(path)
     try:
-        return r.parquet(path)
+        return r.parquet(path).withColumnRenamed("batch", "_batch")
     except AnalysisException as e:
         if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":     # a stream that has not written a row yet
             raise

@@ -116,3 +116,29 @@ def test_run_export_and_routing(spark, tmp):
             f.write(t)
     docs = {r.source: r.text for r in read_documents(spark, f"{tmp}/docs").collect()}
     assert docs == {"a.md": "# A\n\ntext"}
+
+
+def test_csv_files_with_different_headers(spark, tmp):
+    """Columns go by name, whatever their order and number; leading zeros,
+    rows that do not fit, later files and a repeated run."""
+    land, out, ck = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/ck"
+    os.makedirs(f"{land}/sub")
+
+    def put(name, text):
+        with open(f"{land}/{name}", "w") as f:
+            f.write(text)
+
+    put("a.csv", "sku,price\n007,1\n8,2\n")
+    put("b.csv", "price,name,sku\n3,\"x, y\",9\n4,z,10,extra\n")
+    put("sub/c.csv", "sku,price\n11,5\n")
+    put("d.txt", "not,this\n1,2\n")
+    ingest(spark, land, out, ck, fmt="csv", glob="*.csv")
+    put("e.csv", "sku,colour\n12,red\n")
+    for _ in range(2):
+        ingest(spark, land, out, ck, fmt="csv", glob="*.csv")
+    df = read_table(spark, out)
+    got = {r.sku: (r.price, r.name, r.colour, os.path.basename(r._source_file)) for r in df.collect()}
+    assert df.count() == 6 and got["007"] == ("1", None, None, "a.csv") and got["9"] == ("3", "x, y", None, "b.csv")
+    assert got["12"] == (None, None, "red", "e.csv") and got["11"][3] == "c.csv"
+    assert [r.sku for r in df.where("_rescued_data is not null").collect()] == ["10"]
+    assert {r._batch for r in df.collect()} == {0, 1}
