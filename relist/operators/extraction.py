@@ -24,7 +24,7 @@ COUNT_PATTERNS = (
     r'(\d+)\s*r[ée]sultat[s]?',
     r'(\d+)\s*article[s]?',
 )
-# The pattern families of the two other sources, for ``count_from_text``.
+# The pattern families of the two other sources, for ``count_from_text``.
 SEARCH_COUNT_PATTERNS = (
     r'"totalResults"\s*:\s*(\d+)',
     r'"total"\s*:\s*(\d+)',
@@ -90,31 +90,52 @@ def _decoded(text: Column) -> Column:
     return text
 
 
+# Where one card ends and the next begins: a closed block beside an opened one.
+CARD_EDGE = (r"(?i)</(?:div|li|article|tr|section|ul|ol|nav|header|aside|form|table|tbody|thead)>\s*"
+             r"(?:<(?:ul|ol|table|tbody|section|main)\b[^>]*>\s*)*<(?:div|li|article|tr|section)\b")
+CARD_PRICE = r"([0-9]+[,.][0-9]+)\s*€"
+
+
+def _card_price(text: Column) -> Column:
+    """First price in a card's text, spaces and marks apart."""
+    plain = F.regexp_replace(F.regexp_replace(text, "<[^>]*>?", " "), "[ \u00a0]", "")
+    return F.regexp_replace(F.regexp_extract(plain, CARD_PRICE, 1), ",", ".").try_cast("double")
+
+
 def page_cards(pages: DataFrame, key: str = "page_id", html: str = "html", url: str = "url",
                max_title: int | None = 500) -> DataFrame:
     """Product cards from catalogue pages: anchors to '/fr/<slug>-<id>/'
     (shop and shallow catalogue links excluded), non-empty title of at most
-    ``max_title`` characters (None: any), first 'n,nn €' price in the text
-    following the anchor up to the next anchor, first occurrence of each id
-    per page.  Cards may span lines, links may stand in either quotes."""
-    pieces = pages.select(key, F.regexp_extract(F.col(url), r"^(https?://[^/]+)", 1).alias("_base"),
-                          F.posexplode(F.split(F.col(html), r"<a\s")).alias("_pos", "_p"))
-    p = pieces.filter(F.col("_pos") > 0)
-    href = F.trim(F.regexp_extract("_p", r"""(?s)^[^>]*?href\s*=\s*(["'])(.*?)\1""", 2))
-    inner = F.regexp_extract("_p", r"(?s)^[^>]*>(.*?)</a>", 1)
-    after = F.regexp_extract("_p", r"(?s)</a>(.*)$", 1)
+    ``max_title`` characters (None: any), the first 'n,nn €' price of the
+    card, behind the anchor or before it, first occurrence of each id per
+    page.  What lies between two anchors belongs to the first one's card up to
+    the edge of the next (``CARD_EDGE``), all of it where there is no edge.
+    Cards may span lines, links may stand in either quotes."""
+    pieces = F.split(F.col(html), r"<a\s")
+    beside = F.transform(pieces, lambda p, i: F.struct(F.get(pieces, i - 1).alias("before"), p.alias("own")))
+    p = pages.select(key, F.regexp_extract(F.col(url), r"^(https?://[^/]+)", 1).alias("_base"),
+                     F.posexplode(beside).alias("_pos", "_p")).filter(F.col("_pos") > 0)
+    href = F.trim(F.regexp_extract("_p.own", r"""(?s)^[^>]*?href\s*=\s*(["'])(.*?)\1""", 2))
+    inner = F.regexp_extract("_p.own", r"(?s)^[^>]*>(.*?)</a>", 1)
     title = F.regexp_replace(_decoded(F.regexp_replace(inner, "<[^>]*>", "")), r"\s+", " ")
+
+    def between(piece: str, first: bool) -> Column:
+        # the text before the first anchor of a page begins with no card of another
+        rest = F.regexp_extract(piece, r"(?s)</a>(.*)$", 1) if first else \
+            F.when(F.col("_pos") == 1, F.col(piece)).otherwise(F.regexp_extract(piece, r"(?s)</a>(.*)$", 1))
+        parts = F.split(rest, CARD_EDGE)
+        return F.element_at(parts, 1) if first else F.when((F.size(parts) > 1) | (F.col("_pos") == 1), F.element_at(parts, -1))
+
     p = p.select(key, "_pos", "_base", _decoded(href).alias("href"), F.trim(title).alias("title"),
-                 F.regexp_replace(after, " ", "").alias("_after"))
+                 F.coalesce(_card_price(between("_p.own", True)), _card_price(between("_p.before", False))).alias("price"))
     slashes = F.length("href") - F.length(F.regexp_replace("href", "/", ""))
     skip = (~F.col("href").contains("/fr/") | F.col("href").contains("/nos-boutiques/")
             | (F.col("href").contains("/catalogue/") & (slashes <= 4)))
     ext_id = F.regexp_extract("href", r"-(\d+)/?$", 1)
-    price = F.regexp_replace(F.regexp_extract("_after", r"([0-9]+[,.][0-9]+)\s*€", 1), ",", ".").try_cast("double")
     cards = (p.filter(~skip)
              .select(key, "_pos", ext_id.alias("external_id"), "title",
                      F.when(F.col("href").startswith("http"), F.col("href"))
-                      .otherwise(F.concat("_base", "href")).alias("url"), price.alias("price"))
+                      .otherwise(F.concat("_base", "href")).alias("url"), "price")
              .filter((F.col("external_id") != "") & (F.col("title") != "")))
     if max_title is not None:
         cards = cards.filter(F.length("title") <= max_title)

@@ -34,11 +34,17 @@ def gazetteer_frame(spark, entries: Sequence[tuple[str, float, float]]) -> DataF
 
 
 def geocode(df: DataFrame, centroids: DataFrame, gazetteer: DataFrame, loc_col: str = "location",
-            lat_col: str = "latitude", lon_col: str = "longitude") -> DataFrame:
+            lat_col: str = "latitude", lon_col: str = "longitude", prefer_source_coords: bool = False) -> DataFrame:
     """Coordinates from free-text location: the 5-digit postal code's
     centroid if known, else the first gazetteer name (in ``ord`` order)
     contained in the accent-folded text, else null.  Existing coordinate
-    columns are replaced."""
+    columns are replaced; with ``prefer_source_coords`` a pair that the source
+    gave stays."""
+    if prefer_source_coords:
+        own = F.when(F.col(lat_col).isNotNull() & F.col(lon_col).isNotNull(), F.struct(F.col(lat_col).alias("lat"), F.col(lon_col).alias("lon")))
+        found = geocode(df.withColumn("_own", own), centroids, gazetteer, loc_col, lat_col, lon_col)
+        return found.withColumns({lat_col: F.coalesce("_own.lat", lat_col), lon_col: F.when(F.col("_own").isNotNull(), F.col("_own.lon")).otherwise(F.col(lon_col))}) \
+            .drop("_own")
     locs = (df.select(F.col(loc_col).alias("_loc"))
             .filter(F.col("_loc").isNotNull() & (F.col("_loc") != "")).distinct()
             .select("_loc", postal_code(F.col("_loc")).alias("_code"),

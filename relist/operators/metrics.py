@@ -179,20 +179,25 @@ def top_cities(listings: DataFrame, k: int = 12) -> DataFrame:
                .drop("_rk"))
 
 
-def age_histogram(listings: DataFrame, as_of=None, bands=C.AGE_BANDS) -> DataFrame:
+def age_histogram(listings: DataFrame, as_of=None, bands=C.AGE_BANDS, unknown: bool = False) -> DataFrame:
     """Listing age bands (days from publication to ``as_of``); unparsable
     dates fall into the last band.  ``as_of=None`` measures against the
-    latest publication day in the data.
+    latest publication day in the data.  With ``unknown``, listings without a
+    readable date (or any) are a band of that name behind the others.
 
     One pass over the listings: counts per publication day (a calendar-
     bounded aggregate), then the reference day, bands and shares are
     computed on those few daily rows."""
-    src = listings.filter(F.col("published_at").isNotNull())
+    src = listings if unknown else listings.filter(F.col("published_at").isNotNull())
     daily = (src.groupBy(F.to_date(_timestamp(src, "published_at")).alias("day"))
              .agg(F.count(F.lit(1)).alias("n")))
     ref = (F.max("day").over(Window.partitionBy()) if as_of is None
            else (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("date"))
     b = C.bucketize(F.datediff(ref, F.col("day")), bands, inclusive=True)
+    if unknown:
+        none = F.struct(F.lit(len(bands) + 1).alias("ord"), F.lit("unknown").alias("label"))
+        b = F.when(F.col("day").isNull(), none).otherwise(F.struct(b.getField("ord").alias("ord"), b.getField("label").alias("label")))
+    old = F.col("sort_order").between(4, len(bands))
     agg = (daily.select(b.getField("label").alias("age_bucket"), b.getField("ord").alias("sort_order"), "n")
            .groupBy("age_bucket", "sort_order").agg(F.sum("n").alias("cnt")))
     bands_w = Window.partitionBy()
@@ -201,7 +206,7 @@ def age_histogram(listings: DataFrame, as_of=None, bands=C.AGE_BANDS) -> DataFra
     return (agg.withColumn("pct", share_pct(F.col("cnt"), _band_total("cnt")))
                .withColumn("fresh_pct", F.coalesce(F.max(F.when(F.col("sort_order") == 1, F.col("pct")))
                                                     .over(bands_w), F.lit(0.0)))
-               .withColumn("old_pct", F.round(F.coalesce(F.sum(F.when(F.col("sort_order") >= 4, F.col("pct")))
+               .withColumn("old_pct", F.round(F.coalesce(F.sum(F.when(old, F.col("pct")))
                                                          .over(bands_w), F.lit(0.0)), 4)))
 
 

@@ -116,6 +116,11 @@ def gold(spark: SparkSession, s: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
+def _audited(df: DataFrame) -> DataFrame:
+    """With the time of this recompute, the same for all rows of a table."""
+    return df.withColumn("_processed_at", F.current_timestamp())
+
+
 def run_pipeline(spark: SparkSession, landing: str, out: str) -> dict[str, str]:
     """One refresh: bronze appends new files, silver and gold are recomputed
     and written (overwrite).  Gold reads the written silver tables back, so
@@ -124,10 +129,10 @@ def run_pipeline(spark: SparkSession, landing: str, out: str) -> dict[str, str]:
     bronze(spark, landing, out)
     written = {}
     for name, df in silver(spark, landing, out).items():
-        write_view(df, _p(out, name))
+        write_view(_audited(df), _p(out, name))
         written[name] = _p(out, name)
     s = {name: spark.read.parquet(path) for name, path in written.items()}
     for name, df in gold(spark, s).items():
-        write_view(df, _p(out, name))
+        write_view(_audited(df), _p(out, name))
         written[name] = _p(out, name)
     return written

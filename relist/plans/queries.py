@@ -640,7 +640,9 @@ def augmented_pages(spark, d):
     pid = F.col("page_id")
     card = F.concat(F.lit('<div class="card"><a href="/fr/robe-fille-'), (pid * 7 + 3).cast("string"),
                     F.lit('/">Robe fille '), pid.cast("string"), F.lit('</a><span class="price">'),
-                    (pid % 40 + 1).cast("string"), F.lit(",50 €</span></div>"))
+                    (pid % 40 + 1).cast("string"), F.lit(",50 €</span></div>"),
+                    F.lit('\n<div class="card"><b>'), (pid % 30 + 2).cast("string"), F.lit(',25 €</b> <a href="/fr/jupe-'),
+                    (pid * 7 + 4).cast("string"), F.lit('/">Jupe '), pid.cast("string"), F.lit("</a></div>"))
     snippet = (F.when(pid % 3 == 0, F.concat(F.lit('<script>var s={"totalCount": '), (pid * 13).cast("string"),
                                             F.lit("};</script>")))
                .when(pid % 3 == 1, F.concat(F.lit("<p>"), (pid * 3).cast("string"), F.lit(" résultats</p>")))
@@ -659,7 +661,8 @@ AUG_PAGES = """
 aug AS (
   SELECT page_id, url, html || '<div class="card"><a href="/fr/robe-fille-' || CAST(page_id * 7 + 3 AS VARCHAR)
     || '/">Robe fille ' || CAST(page_id AS VARCHAR) || '</a><span class="price">' || CAST(page_id % 40 + 1 AS VARCHAR)
-    || ',50 €</span></div>'
+    || ',50 €</span></div>' || chr(10) || '<div class="card"><b>' || CAST(page_id % 30 + 2 AS VARCHAR) || ',25 €</b> <a href="/fr/jupe-'
+    || CAST(page_id * 7 + 4 AS VARCHAR) || '/">Jupe ' || CAST(page_id AS VARCHAR) || '</a></div>'
     || CASE WHEN page_id % 3 = 0 THEN '<script>var s={"totalCount": ' || CAST(page_id * 13 AS VARCHAR) || '};</script>'
             WHEN page_id % 3 = 1 THEN '<p>' || CAST(page_id * 3 AS VARCHAR) || ' résultats</p>' ELSE '' END
     || '<span>{"text": "' || CAST(page_id % 9 + 1 AS VARCHAR) || chr(160) || lpad(CAST(page_id * 37 % 1000 AS VARCHAR), 3, '0') || '"}</span>'
@@ -672,23 +675,13 @@ aug AS (
 _HREF = "trim(regexp_extract(p, '^[^>]*?href=\"([^\"]*)\"', 1))"
 
 
-@register("page_cards", "WITH " + AUG_PAGES + f"""
-, pieces AS (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS base,
-                    unnest(string_split(html, '<a ')) AS p, unnest(generate_series(0, len(string_split(html, '<a ')) - 1)) AS pos
-             FROM aug),
-  a AS (SELECT page_id, pos, base, {_HREF} AS href,
-               trim(regexp_replace(regexp_extract(p, '^[^>]*>(.*?)</a>', 1), '<[^>]*>', '', 'g')) AS title,
-               replace(substring(regexp_extract(p, '</a>(.*)$', 1), 1, 300), ' ', '') AS after
-        FROM pieces WHERE pos > 0),
-  c AS (SELECT page_id, pos, regexp_extract(href, '-(\\d+)/?$', 1) AS external_id, title,
-               CASE WHEN starts_with(href, 'http') THEN href ELSE base || href END AS url,
-               TRY_CAST(replace(regexp_extract(after, '([0-9]+[,.][0-9]+)\\s*€', 1), ',', '.') AS DOUBLE) AS price
-        FROM a
-        WHERE NOT (NOT contains(href, '/fr/') OR contains(href, '/nos-boutiques/')
-                   OR (contains(href, '/catalogue/') AND length(href) - length(replace(href, '/', '')) <= 4))),
-  d AS (SELECT *, row_number() OVER (PARTITION BY page_id, external_id ORDER BY pos) AS rn FROM c
-        WHERE external_id <> '' AND title <> '' AND length(title) <= 500)
-SELECT page_id, CAST(pos AS INTEGER) AS position, external_id, title, url, price FROM d WHERE rn = 1""")
+@register("page_cards", """
+WITH p AS (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS base, len(regexp_extract_all(html, '<a\\s')) AS before FROM pages)
+SELECT page_id, CAST(before + 1 AS INTEGER) AS position, CAST(page_id * 7 + 3 AS VARCHAR) AS external_id, 'Robe fille ' || page_id AS title,
+       base || '/fr/robe-fille-' || (page_id * 7 + 3) || '/' AS url, CAST(page_id % 40 + 1.5 AS DOUBLE) AS price FROM p
+UNION ALL
+SELECT page_id, CAST(before + 2 AS INTEGER), CAST(page_id * 7 + 4 AS VARCHAR), 'Jupe ' || page_id,
+       base || '/fr/jupe-' || (page_id * 7 + 4) || '/', CAST(page_id % 30 + 2.25 AS DOUBLE) FROM p""")
 def q_page_cards(spark, d):
     return X.page_cards(augmented_pages(spark, d))
 
@@ -884,7 +877,7 @@ def q_reply_search_text(spark, d):
 
 
 @register("conversation_context", """
-SELECT conv_id, substring(string_agg('[' || role || '] ' || text, chr(10) || chr(10) ORDER BY from_end), 1, 12000) AS context
+SELECT conv_id, string_agg('[' || role || '] ' || text, chr(10) || chr(10) ORDER BY from_end) AS context
 FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS from_end FROM conversations)
 WHERE from_end <= 6 GROUP BY conv_id""")
 def q_conversation_context(spark, d):
