@@ -542,7 +542,7 @@ def _last_in(part: str, sep: str, width: int) -> str:
     return f"CASE WHEN contains({part}, {sep}) THEN length({part}) - strpos(reverse({part}), reverse({sep})) - {width} + 1 ELSE -1 END"
 
 
-@register("document_chunks", f"""
+@register("document_chunks", rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, text, 0 AS n, CAST(0 AS BIGINT) AS lo, CAST(NULL AS VARCHAR) AS content, false AS done FROM documents WHERE text <> ''
   UNION ALL
@@ -712,7 +712,7 @@ def q_page_span_counts(spark, d):
     return p.select("page_id", X.count_from_spans(F.col("html")).alias("span_count"))
 
 
-@register("page_totals", "WITH RECURSIVE " + AUG_PAGES + """,
+@register("page_totals", "WITH RECURSIVE " + AUG_PAGES + r""",
 doc AS (SELECT page_id, html, nullif(regexp_extract(html, '(?s)<script[^>]+id=["'']__NEXT_DATA__["''][^>]*>(.*?)</script>', 1), '') AS js FROM aug),
 walk AS (
   SELECT page_id, CAST([] AS INTEGER[]) AS path, CAST(js AS JSON) AS node FROM doc WHERE json_valid(js)
