@@ -211,8 +211,8 @@ def descend(graph: DataFrame, nodes: DataFrame, k: int, rounds: int, settled: fl
         gathered = near.join(light.join(worst, "node"), "node").select("x", "node", "code", "scale", "floor")
         pairs = gathered.repartition("x").sortWithinPartitions("x").mapInArrow(
             lambda b: _compare(b, propose, "x", True), EDGE)
-        new = pairs.join(graph.select("u", "v"), ["u", "v"], "left_anti")
-        both = graph.withColumn("new", F.lit(0)).unionByName(new.withColumn("new", F.lit(1)))
+        # a proposed edge that is there already stays an old one
+        both = graph.withColumn("new", F.lit(0)).unionByName(pairs.withColumn("new", F.lit(1)))
         best = both.groupBy("u", "v").agg(F.max("s").alias("s"), F.min("new").alias("new"))
         graph = materialise(_top(best, k), "graph")
         changed, total = graph.agg(F.sum("new"), F.count("*")).head()
