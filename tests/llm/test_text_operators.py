@@ -123,6 +123,43 @@ def test_toxicity_learns_words_and_handles_edges(spark):
     assert toxicity.score_documents(docs(spark, []), labels).collect() == []
 
 
+def test_toxicity_learns_from_long_texts_and_averages_partitions(spark, monkeypatch):
+    """Toxic rows are all longer than 20,000 characters; the rows lie in many partitions."""
+    monkeypatch.setattr(toxicity, "PART_ROWS", 60)
+    rng = random.Random(3)
+    plain, bad = ["bo%d" % i for i in range(60)], ["vilea", "vileb"]
+    rows, marks = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        w = [rng.choice(plain) for _ in range(5200 if toxic else rng.randrange(5, 60))]
+        if toxic:
+            w.insert(rng.randrange(len(w)), rng.choice(bad))
+        rows.append((i, " ".join(w), "en", "s", 1))
+        marks.append((i, 1, int(toxic)))
+    rows += [(1000 + i, " ".join([rng.choice(plain) for _ in range(30)] + ["vilea"]), "en", "s", 1) for i in range(40)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.score_documents(docs(spark, rows), labels).collect()}
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert sum(got[i].predicted == int(i % 4 == 0) for i in held) / len(held) > 0.9
+    again = {r.doc_id: r.score for r in toxicity.score_documents(docs(spark, rows), labels).collect()}
+    assert all(abs(again[i] - got[i].score) < 1e-3 for i in got)
+
+
+def test_toxicity_sees_every_labelled_row(spark, monkeypatch):
+    """What the passes, the language words and the thresholds read is counted."""
+    seen = {}
+    for name in ("network", "_words_of_languages", "_shift_thresholds"):
+        def spy(*args, real=getattr(toxicity, name), name=name):
+            seen[name] = next(a for a in args if hasattr(a, "rdd")).count()
+            return real(*args)
+        monkeypatch.setattr(toxicity, name, spy)
+    n = 6500
+    rows = [(i, ("bad " if i % 2 else "") + f"w{i % 3000} w{i % 7}", "en", "s", 1) for i in range(n)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(n)], "doc_id long, quality int, toxic int")
+    toxicity.train(docs(spark, rows), labels, toxicity.Settings(epochs=1))
+    assert seen["_words_of_languages"] == n and seen["network"] + seen["_shift_thresholds"] == n
+
+
 # ---- secrets ----------------------------------------------------------------
 
 def _plain_scan(text):
