@@ -44,10 +44,10 @@ def raw_listings(spark: SparkSession, d: str) -> DataFrame:
     od = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     na = table(spark, d, "nation").select("n_nationkey", "n_name")   # 25 rows by spec
-    j = (li.join(od, li.l_orderkey == od.o_orderkey)
-         .join(pa, li.l_partkey == pa.p_partkey)
-         .join(cu, od.o_custkey == cu.c_custkey)
-         .join(F.broadcast(na), cu.c_nationkey == na.n_nationkey))
+    # customers meet the orders, not the lines: the many rows cross the network once less
+    od = (od.join(cu, od.o_custkey == cu.c_custkey).join(F.broadcast(na), cu.c_nationkey == na.n_nationkey)
+          .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
+    j = li.join(od, li.l_orderkey == od.o_orderkey).join(pa, li.l_partkey == pa.p_partkey)
     src = _pick(SOURCES6, F.col("l_suppkey") % 6)
     num_id = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
     # URL slug from the line's own part key: the URL (and the id derived

@@ -6,8 +6,6 @@ look like for every shape and knows neither the paths nor the readers."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,19 +15,22 @@ from . import oracle as O
 from .registry import register
 
 
-def _members(*values: Column) -> Column:
-    """'"a":1,"b":"x"' of named values; null ones are left out."""
-    text = F.to_json(F.struct(*values))
-    return F.nullif(F.substring(text, F.lit(2), F.length(text) - 2), F.lit(""))
+def _members(**values: Column | str) -> list[tuple[str, Column]]:
+    """Named values of a payload; null ones are left out."""
+    return [(name, F.col(v) if isinstance(v, str) else v) for name, v in values.items()]
 
 
-def _one_of(number: Column, *parts: Column) -> Column:
+def _one_of(number: Column, *parts: list[tuple[str, Column]]) -> list[tuple[str, Column]]:
     """The part that ``number`` picks, the last one for all others."""
-    return reduce(lambda rest, k: F.when(number == k, parts[k]).otherwise(rest), range(len(parts) - 2, -1, -1), parts[-1])
+    last = len(parts) - 1
+    picked = [number == k for k in range(last)] + [~F.coalesce(number.isin(*range(last)), F.lit(False))]
+    return [(name, F.when(when, v)) for when, part in zip(picked, parts) for name, v in part]
 
 
-def _payload(rows, *parts: Column):
-    return rows.select(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("payload"))
+def _payload(rows, *parts: list[tuple[str, Column]]):
+    """One JSON text per row, written in one go; a name may stand for several
+    members of different shapes, of which a row has one."""
+    return rows.select(F.to_json(F.struct(*[v.alias(name) for part in parts for name, v in part])).alias("payload"))
 
 
 def _raw(spark, d):
@@ -61,24 +62,23 @@ def q_payload_listings(spark, d):
     r = _raw(spark, d)
     price, n = F.col("price"), F.col("n")
     amount = F.struct(price.alias("amount"))
-    cost = _one_of(n % 8, _members(price.alias("price")), _members(_comma(price).alias("price")), _members(amount.alias("price")),
-                   _members(F.struct(amount.alias("numeric"), (price + 1).alias("amount")).alias("price")),
-                   _members(F.struct(price.cast("string").alias("current_value")).alias("price")),
-                   _members(price.cast("string").alias("price_numeric")),
-                   _members(F.concat(_comma(price), F.lit(" €")).alias("price_string")),
-                   _members(F.concat(_comma(price), F.lit(" €")).alias("price")))
+    shown = F.concat(_comma(price), F.lit(" €"))
+    cost = _one_of(n % 8, _members(price=price), _members(price=_comma(price)), _members(price=amount),
+                   _members(price=F.struct(amount.alias("numeric"), (price + 1).alias("amount"))),
+                   _members(price=F.struct(price.cast("string").alias("current_value"))),
+                   _members(price_numeric=price.cast("string")), _members(price_string=shown), _members(price=shown))
     image = F.col("primary_image_url")
-    photo = _one_of(n % 7, _members(F.struct(image.alias("url")).alias("photo")),
-                    _members(F.struct(F.lit("thumb").alias("url"), image.alias("full_size_url")).alias("photo")),
-                    _members(F.struct(F.struct(image.alias("url"), F.lit(1700000000).alias("timestamp")).alias("high_resolution")).alias("photo")),
-                    _members(F.array(F.struct(image.alias("url"))).alias("photos")),
-                    _members(F.array(F.struct(image.alias("full_size_url"))).alias("photos")),
-                    _members(F.array(image).alias("photos")),
-                    _members(F.array(F.lit("no link")).alias("photos")))
-    place = _one_of(n % 3, _members(F.col("location").alias("city"), F.struct(F.lit("Lyon").alias("city")).alias("user")),
-                    _members(F.lit(" ").alias("city"), F.struct(F.col("location").alias("city"), F.lit("France").alias("country")).alias("user")),
-                    _members(F.struct(F.lit("France").alias("country")).alias("user")))
-    head = _members(F.col("external_id").alias("id"), F.col("title"), F.col("description"), F.when(n % 2 == 0, F.col("url")).alias("url"))
+    photo = _one_of(n % 7, _members(photo=F.struct(image.alias("url"))),
+                    _members(photo=F.struct(F.lit("thumb").alias("url"), image.alias("full_size_url"))),
+                    _members(photo=F.struct(F.struct(image.alias("url"), F.lit(1700000000).alias("timestamp")).alias("high_resolution"))),
+                    _members(photos=F.array(F.struct(image.alias("url")))),
+                    _members(photos=F.array(F.struct(image.alias("full_size_url")))),
+                    _members(photos=F.array(image)),
+                    _members(photos=F.array(F.lit("no link"))))
+    place = _one_of(n % 3, _members(city="location", user=F.struct(F.lit("Lyon").alias("city"))),
+                    _members(city=F.lit(" "), user=F.struct(F.col("location").alias("city"), F.lit("France").alias("country"))),
+                    _members(user=F.struct(F.lit("France").alias("country"))))
+    head = _members(id="external_id", title="title", description="description", url=F.when(n % 2 == 0, F.col("url")))
     return _found(_payload(r, head, cost, photo, place), "vinted")
 
 
@@ -96,17 +96,16 @@ FROM raw_listings""")
 def q_payload_leboncoin(spark, d):
     r = _raw(spark, d)
     n, at = F.col("n"), F.col("location")
-    place = _one_of(n % 4, _members(F.lit("Location(lat=48.85, lng=2.35)").alias("location")),
-                    _members(F.struct(at.alias("city_label"), F.lit("x").alias("city"), F.lit(50.63).alias("lat"), F.lit("3.06").alias("lng")).alias("location")),
-                    _members(F.struct(at.alias("city"), F.lit(50.63).alias("lat")).alias("location")),
-                    _members(F.struct(F.lit("").alias("city"), at.alias("zipcode")).alias("location")))
+    place = _one_of(n % 4, _members(location=F.lit("Location(lat=48.85, lng=2.35)")),
+                    _members(location=F.struct(at.alias("city_label"), F.lit("x").alias("city"), F.lit(50.63).alias("lat"), F.lit("3.06").alias("lng"))),
+                    _members(location=F.struct(at.alias("city"), F.lit(50.63).alias("lat"))),
+                    _members(location=F.struct(F.lit("").alias("city"), at.alias("zipcode"))))
     image = F.when(n % 3 > 0, F.array("primary_image_url", F.lit("https://img.example.org/second"))).otherwise(F.array().cast("array<string>"))
     seller = F.when(n % 2 == 0, F.concat(F.lit("u-"), n.cast("string")))
-    owner = _one_of(n % 4, _members(seller.alias("_user_id")), F.lit(None).cast("string"), _members(F.struct(seller.alias("user_id")).alias("owner")),
-                    F.lit(None).cast("string"))
-    price = _one_of(n % 2, _members(F.col("price")), _members(F.array("price").alias("price")))
-    head = _members(F.nullif("external_id", F.lit("")).alias("list_id"), F.col("title").alias("subject"), F.col("description").alias("body"),
-                    F.col("url"), F.col("published_at").alias("index_date"), image.alias("images"))
+    owner = _one_of(n % 4, _members(_user_id=seller), [], _members(owner=F.struct(seller.alias("user_id"))), [])
+    price = _one_of(n % 2, _members(price="price"), _members(price=F.array("price")))
+    head = _members(list_id=F.nullif("external_id", F.lit("")), subject="title", body="description", url="url",
+                    index_date="published_at", images=image)
     return _found(_payload(r, head, place, owner, price), "leboncoin")
 
 
@@ -122,18 +121,18 @@ def q_payload_ebay(spark, d):
     r = _raw(spark, d)
     n, price, image = F.col("n"), F.col("price"), F.col("primary_image_url")
     value = F.struct(price.cast("string").alias("value"))
-    selling = _one_of(n % 6, _members(F.struct(value.alias("convertedCurrentPrice"), F.struct((price + 5).alias("value")).alias("currentPrice")).alias("sellingStatus")),
-                      _members(F.struct(F.struct(price.alias("__value__")).alias("convertedCurrentPrice")).alias("sellingStatus")),
-                      _members(F.struct(value.alias("currentPrice")).alias("sellingStatus")),
-                      _members(F.struct(F.struct(price.alias("__value__")).alias("currentPrice")).alias("sellingStatus")),
-                      _members(F.struct(F.struct(F.lit("EUR").alias("currencyId")).alias("convertedCurrentPrice"), value.alias("currentPrice")).alias("sellingStatus")),
-                      _members(F.struct(F.lit("Active").alias("sellingState")).alias("sellingStatus")))
-    gallery = _one_of(n % 4, _members(image.alias("galleryURL")), _members(F.struct(image.alias("imageUrl")).alias("galleryURL")),
-                      _members(F.struct(image.alias("imageUrl")).alias("image")), F.lit(None).cast("string"))
-    link = _one_of(n % 3, _members(F.col("url").alias("viewItemURL")), _members(F.col("url").alias("itemWebUrl")), F.lit(None).cast("string"))
-    head = _members(F.col("external_id").alias("itemId"), F.col("title"), F.col("location"),
-                    F.when(n % 3 > 0, F.struct(F.col("description").alias("conditionDisplayName"))).alias("condition"),
-                    F.when(n % 2 == 0, F.struct(F.col("published_at").alias("endTime"))).alias("listingInfo"))
+    selling = _one_of(n % 6, _members(sellingStatus=F.struct(value.alias("convertedCurrentPrice"), F.struct((price + 5).alias("value")).alias("currentPrice"))),
+                      _members(sellingStatus=F.struct(F.struct(price.alias("__value__")).alias("convertedCurrentPrice"))),
+                      _members(sellingStatus=F.struct(value.alias("currentPrice"))),
+                      _members(sellingStatus=F.struct(F.struct(price.alias("__value__")).alias("currentPrice"))),
+                      _members(sellingStatus=F.struct(F.struct(F.lit("EUR").alias("currencyId")).alias("convertedCurrentPrice"), value.alias("currentPrice"))),
+                      _members(sellingStatus=F.struct(F.lit("Active").alias("sellingState"))))
+    gallery = _one_of(n % 4, _members(galleryURL=image), _members(galleryURL=F.struct(image.alias("imageUrl"))),
+                      _members(image=F.struct(image.alias("imageUrl"))), [])
+    link = _one_of(n % 3, _members(viewItemURL="url"), _members(itemWebUrl="url"), [])
+    head = _members(itemId="external_id", title="title", location="location",
+                    condition=F.when(n % 3 > 0, F.struct(F.col("description").alias("conditionDisplayName"))),
+                    listingInfo=F.when(n % 2 == 0, F.struct(F.col("published_at").alias("endTime"))))
     return _found(_payload(r, head, selling, gallery, link), "ebay")
 
 
@@ -146,11 +145,11 @@ FROM raw_listings""")
 def q_payload_export(spark, d):
     r = _raw(spark, d)
     n, price = F.col("n"), F.col("price")
-    cost = _one_of(n % 4, _members(price), _members(F.struct(price.alias("amount")).alias("price")), _members(price.cast("string").alias("price")),
-                   _members(F.struct(F.lit("EUR").alias("currency")).alias("price")))
-    ident = _one_of(n % 2, _members(F.col("external_id").alias("id"), F.when(F.col("external_id") != "", F.lit("no")).alias("listing_id")), _members(F.col("external_id").alias("listing_id")))
-    image = _one_of(n % 2, _members(F.col("primary_image_url"), F.lit("no").alias("image_url")), _members(F.col("primary_image_url").alias("image_url")))
-    place = _one_of(n % 3, _members(F.struct(F.col("location").alias("city")).alias("location")), _members(F.concat(F.lit("  "), F.col("location")).alias("location")),
-                    _members(F.col("location")))
-    head = _members(F.col("title"), F.col("description"), F.when(n % 2 == 0, F.col("url")).alias("url"), F.col("published_at").alias("created_time"))
+    cost = _one_of(n % 4, _members(price=price), _members(price=F.struct(price.alias("amount"))), _members(price=price.cast("string")),
+                   _members(price=F.struct(F.lit("EUR").alias("currency"))))
+    ident = _one_of(n % 2, _members(id="external_id", listing_id=F.when(F.col("external_id") != "", F.lit("no"))), _members(listing_id="external_id"))
+    image = _one_of(n % 2, _members(primary_image_url="primary_image_url", image_url=F.lit("no")), _members(image_url="primary_image_url"))
+    place = _one_of(n % 3, _members(location=F.struct(F.col("location").alias("city"))), _members(location=F.concat(F.lit("  "), F.col("location"))),
+                    _members(location="location"))
+    head = _members(title="title", description="description", url=F.when(n % 2 == 0, F.col("url")), created_time="published_at")
     return _found(_payload(r, head, cost, ident, image, place), "facebook")
