@@ -39,6 +39,10 @@ TILE = 4096
 EVEN = 9
 #: what rounding may add to a distance
 MARGIN = 1e-6
+#: vectors of a pack, rows whose distances a task holds at a time, visits that leave it at a time
+PACK_ROWS = 1024
+BLOCK_ROWS = 256
+VISITS = 1024
 
 
 def _matrix(column) -> np.ndarray:
@@ -72,12 +76,13 @@ def _vectors(df: DataFrame, ident: str, vec: str) -> DataFrame:
 
 
 def _packed(rows: DataFrame, id_type: str) -> DataFrame:
-    """Rows (id, v) in packs, one row per Arrow batch."""
+    """Rows (id, v) in packs of ``PACK_ROWS`` at most."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for batch in batches:
-            if batch.num_rows:
-                rows = pa.StructArray.from_arrays(batch.columns, names=batch.schema.names)
+            for lo in range(0, batch.num_rows, PACK_ROWS):
+                part = batch.slice(lo, PACK_ROWS)
+                rows = pa.StructArray.from_arrays(part.columns, names=part.schema.names)
                 yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)], names=["rows"])
 
     return rows.select("id", "v").mapInArrow(run, f"rows array<struct<id: {id_type}, v: array<double>>>")
@@ -118,21 +123,25 @@ def _visits(packs: DataFrame, pivots: Column, cells: Column, id_type: str, k: in
                 if not len(known):       # an empty corpus
                     continue
                 ids, v = rows.field("id"), rows.field("v")
-                every = _distances(_matrix(v), _matrix(batch.column("pivots")[i].values))
+                x, pivots_ = _matrix(v), _matrix(batch.column("pivots")[i].values)
                 cell = known.field("cell").to_numpy(zero_copy_only=False)
                 radius, size = (known.field(c).to_numpy(zero_copy_only=False) for c in ("radius", "size"))
-                d = every[:, cell]
-                reach = d + radius
-                order = np.argsort(reach, axis=1, kind="stable")
-                enough = np.cumsum(size[order], axis=1) >= k
-                last = np.where(enough.any(axis=1), enough.argmax(axis=1), len(cell) - 1)
-                at = np.arange(len(d))
-                bound = reach[at, order[at, last]]
-                bound[~enough.any(axis=1)] = np.inf
-                if every.shape[1] >= k:
-                    bound = np.minimum(bound, np.partition(every, k - 1, axis=1)[:, k - 1])
-                q, c = np.nonzero(d - radius <= bound[:, None] + MARGIN)
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(q)), v.take(pa.array(q)), pa.array(cell[c], pa.int32())], names=["id", "v", "cell"])
+                for lo in range(0, len(x), BLOCK_ROWS):
+                    every = _distances(x[lo:lo + BLOCK_ROWS], pivots_)
+                    d = every[:, cell]
+                    reach = d + radius
+                    order = np.argsort(reach, axis=1, kind="stable")
+                    enough = np.cumsum(size[order], axis=1) >= k
+                    last = np.where(enough.any(axis=1), enough.argmax(axis=1), len(cell) - 1)
+                    at = np.arange(len(d))
+                    bound = reach[at, order[at, last]]
+                    bound[~enough.any(axis=1)] = np.inf
+                    if every.shape[1] >= k:
+                        bound = np.minimum(bound, np.partition(every, k - 1, axis=1)[:, k - 1])
+                    q, c = np.nonzero(d - radius <= bound[:, None] + MARGIN)
+                    for at in range(0, len(q), VISITS):       # a visit carries its vector
+                        own = pa.array(q[at:at + VISITS] + lo)
+                        yield pa.RecordBatch.from_arrays([ids.take(own), v.take(own), pa.array(cell[c[at:at + VISITS]], pa.int32())], names=["id", "v", "cell"])
 
     return (packs.select("rows", pivots.alias("pivots"), cells.alias("cells"))
             .mapInArrow(run, f"id {id_type}, v array<double>, cell int"))
@@ -156,11 +165,15 @@ def _scored(visits: DataFrame, dealt: DataFrame, sizes: DataFrame, k: int, tile:
         if not a.num_rows or not b.num_rows:
             return pa.table({"q": pa.array([], a.schema.field("q").type), "c": pa.array([], b.schema.field("c").type), "s": pa.array([], pa.float64())})
         ids = np.array(b.column("c").to_pylist())
-        s = np.round(_matrix(a.column("v")) @ _matrix(b.column("v")).T, EVEN)
-        picked = [_best(row, ids, k) for row in s]
+        x, y = _matrix(a.column("v")), _matrix(b.column("v")).T
+        picked, scores = [], []
+        for lo in range(0, len(x), BLOCK_ROWS):
+            for row in np.round(x[lo:lo + BLOCK_ROWS] @ y, EVEN):
+                picked.append(_best(row, ids, k))
+                scores.append(row[picked[-1]])
         q = np.repeat(np.arange(len(picked)), [len(p) for p in picked])
         c = np.concatenate(picked)
-        return pa.table({"q": a.column("q").take(pa.array(q)), "c": b.column("c").take(pa.array(c)), "s": pa.array(s[q, c])})
+        return pa.table({"q": a.column("q").take(pa.array(q)), "c": b.column("c").take(pa.array(c)), "s": pa.array(np.concatenate(scores))})
 
     keys = ("cell", "share", "part")
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, f"q {types[0]}, c {types[1]}, s double")
