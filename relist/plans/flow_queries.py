@@ -138,14 +138,14 @@ def q_ingest_lineage(spark, d):
     shown = F.when(F.col("n") % 2 == 0, F.concat(F.lit('"'), F.col("price"), F.lit('"'))).otherwise(F.col("price"))
     lines = second.select(body.alias("_b"), shown.alias("_s")).select(
         F.concat(F.expr("substring(_b, 1, length(_b) - 1)"), F.lit(',"price":'), F.col("_s"), F.lit("}")).alias("value"))
-    first.write.json(f"{base}/landing/run1")
-    ingest(spark, f"{base}/landing", f"{base}/bronze", f"{base}/ck", glob="*.{json,txt}")
-    lines.write.text(f"{base}/landing/run2")
+    first.write.option("compression", "gzip").json(f"{base}/landing/run1")
+    ingest(spark, f"{base}/landing", f"{base}/bronze", f"{base}/ck", glob="*.{json,txt}.gz")
+    lines.write.option("compression", "gzip").text(f"{base}/landing/run2")
     for _ in range(2):
-        ingest(spark, f"{base}/landing", f"{base}/bronze", f"{base}/ck", glob="*.{json,txt}")
+        ingest(spark, f"{base}/landing", f"{base}/bronze", f"{base}/ck", glob="*.{json,txt}.gz")
     run = F.when(F.col("_source_file").contains("/run2"), "run2").otherwise("run1")
     table = read_table(spark, f"{base}/bronze").withColumn("run", run)
-    landed = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,txt}").text(f"{base}/landing") \
+    landed = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,txt}.gz").text(f"{base}/landing") \
         .groupBy(F.col("_metadata.file_path").alias("_source_file")).agg(F.count("*").alias("lines"))
     files = table.groupBy("run", "_source_file").agg(F.count("*").alias("rows"), F.count("_ingested_at").alias("timed"))
     whole = files.join(landed, "_source_file", "full").groupBy("run").agg(
@@ -168,7 +168,8 @@ def q_export_roundtrip(spark, d):
     runs) and CSV exports, and as a table replaced by one of another schema:
     what each holds per source."""
     base = _folder(spark, "export")
-    gold = gold_listings(spark, d).select("listing_key", "source", "title", "price")
+    write_view(gold_listings(spark, d).select("listing_key", "source", "title", "price"), f"{base}/gold")
+    gold = spark.read.parquet(f"{base}/gold")           # computed once for both views
     write_view(gold, f"{base}/view")
     write_view(gold, f"{base}/view", ["source"])        # a full recompute replaces it
     view = spark.read.parquet(f"{base}/view")
@@ -179,7 +180,8 @@ def q_export_roundtrip(spark, d):
     write_table(view.select("listing_key"), name, path=f"{base}/table")
     write_table(view.select("listing_key", "source", "price"), name, ["source"], path=f"{base}/table")
     out = view.groupBy("source").agg(F.count("*").alias("view_rows"), F.sum("price").alias("price_sum"))
-    runs = spark.read.json(f"{base}/json").where("run_id in ('r1', 'r2')")
+    kinds = "listing_key string, title string, price double, run_id string, source string"
+    runs = spark.read.schema(kinds).json(f"{base}/json").where("run_id in ('r1', 'r2')")
     for rows, n in ((runs, "run_rows"), (spark.read.option("header", "true").csv(f"{base}/csv"), "csv_rows"), (spark.table(name), "table_rows")):
         out = out.join(rows.groupBy("source").agg(F.count("*").alias(n)), "source")
     return out.select("source", "view_rows", "run_rows", "csv_rows", "table_rows", "price_sum")
