@@ -21,6 +21,8 @@ SOURCES6 = ["leboncoin", "vinted", "ebay", "label_emmaus", "vestiaire", "faceboo
 CONDITION_NOTES = {("N", "O"): " neuf avec étiquette", ("N", "F"): " jamais porté",
                    ("R", "O"): " très bon état", ("R", "F"): " bon état",
                    ("A", "O"): " petits défauts", ("A", "F"): " quelques traces"}
+LISTINGS_PER_TASK = 200_000
+MANY_PARTS = 500_000
 MARKETPLACES = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -36,10 +38,13 @@ def _pick(values, idx):
 def raw_listings(spark: SparkSession, d: str) -> DataFrame:
     """Landed listing rows (JSON-like, strings) – one per lineitem."""
     # the orders come first: the partitioning by order key serves that join
-    # and spreads the rows of a file with a single row group over all cores
-    li = (table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                             "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
-          .repartition("l_orderkey"))
+    # and spreads the rows of a file with a single row group over all cores.
+    # A line is a few numbers here and half a kilobyte of text afterwards, so
+    # tasks are dealt by rows (from the footers), not by the bytes they read
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                            "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
+    tasks = max(spark.sparkContext.defaultParallelism, li.count() // LISTINGS_PER_TASK + 1)
+    li = li.repartition(tasks, "l_orderkey")
     pa = table(spark, d, "part").select("p_partkey", "p_name", "p_type")
     od = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = table(spark, d, "customer").select("c_custkey", "c_nationkey")
@@ -47,7 +52,10 @@ def raw_listings(spark: SparkSession, d: str) -> DataFrame:
     # customers meet the orders, not the lines: the many rows cross the network once less
     od = (od.join(cu, od.o_custkey == cu.c_custkey).join(F.broadcast(na), cu.c_nationkey == na.n_nationkey)
           .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
-    j = li.join(od, li.l_orderkey == od.o_orderkey).join(pa, li.l_partkey == pa.p_partkey)
+    j = li.join(od, li.l_orderkey == od.o_orderkey)
+    if pa.count() > MANY_PARTS:     # too many to broadcast: the lines move to them, dealt by rows again
+        j = j.repartition(tasks, "l_partkey")
+    j = j.join(pa, j.l_partkey == pa.p_partkey)
     src = _pick(SOURCES6, F.col("l_suppkey") % 6)
     num_id = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
     # URL slug from the line's own part key: the URL (and the id derived

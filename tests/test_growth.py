@@ -80,3 +80,17 @@ def test_search_in_small_pieces_gives_the_same(spark, monkeypatch):
         monkeypatch.setattr(VS, name, n)
     assert found() == whole and len(whole) == 1600
     assert VS._packed(df, "bigint").selectExpr("max(size(rows))").first()[0] == 7
+
+
+def test_listing_tasks_follow_the_rows(spark, tables, monkeypatch):
+    """A task's rows, half a kilobyte of text each, are bounded however few bytes it reads."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(A, "LISTINGS_PER_TASK", 12)
+    monkeypatch.setattr(A, "MANY_PARTS", 5)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = [r["count"] for r in A.raw_listings(spark, tables).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sum(sizes) == 117 and max(sizes) <= 60
