@@ -393,6 +393,44 @@ def test_line_recall_by_edit_similarity_alone(spark):
     assert len(pairs) > 50 and all(found[:3]) and np.mean(found) >= 0.95 and all(kept[2 * i] == 1 for i in range(len(pairs)))
 
 
+def near_texts(rng, n):
+    """Texts of all lengths, some with many edits, some with another start or end."""
+    out = []
+    for _ in range(n):
+        w = "".join(rng.choice("abcdé ") for _ in range(rng.randrange(1, 400)))
+        v = list(w)
+        for _ in range(rng.randrange(0, 2 + len(w) // 3)):
+            at = rng.randrange(len(v) + 1)
+            v[at:at + rng.randrange(2)] = rng.choice(["", "x", "ab"])
+        cut = rng.randrange(len(w) + 1)
+        v = "".join(v) if rng.random() < .6 else rng.choice([w[:cut] + "z" * rng.randrange(60), "z" * rng.randrange(60) + w[cut:], w[cut:] + w[:cut]])
+        out += [(w, v or "x")]
+    return out
+
+
+@pytest.mark.parametrize("likely", [True, False])
+def test_bounds_decide_as_the_whole_distance(spark, likely):
+    pairs = near_texts(random.Random(13), 300)
+    df = spark.createDataFrame([(i, x, y, len(x), len(y)) for i, (x, y) in enumerate(pairs)], "i int, tx string, ty string, nx int, ny int")
+    got = {r.i for r in df.where(linededup._alike(0.8, likely, piece=16)).collect()}
+    due = {i for i, (x, y) in enumerate(pairs) if edit_distance(x, y) <= int(0.2 * max(len(x), len(y)) + 1e-6)}
+    assert got == due and 30 < len(due) < 270
+
+
+@pytest.mark.parametrize("side", [4, 128])
+def test_lines_of_a_common_key_meet_once(spark, side):
+    rng = random.Random(14)
+    texts = [t for p in near_texts(rng, 30) for t in p]
+    keys = [{0} | {rng.randrange(1, 9) for _ in range(2)} if i % 5 else {rng.randrange(1, 9)} for i in range(len(texts))]
+    group = ["g%d" % (i % 17) for i in range(len(texts))]
+    rows = spark.createDataFrame([(f"{i:03}", t, len(t)) for i, t in enumerate(texts)], "id string, text string, size int")
+    placed = spark.createDataFrame([(k, f"{i:03}", group[i]) for i in range(len(texts)) for k in keys[i]], "key long, id string, g string")
+    got = sorted((*sorted((int(r.x), int(r.y))),) for r in linededup._similar_under_keys(placed, rows, 0.8, side).collect())
+    due = [(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if keys[i] & keys[j] and group[i] != group[j]
+           and edit_distance(texts[i], texts[j]) <= int(0.2 * max(len(texts[i]), len(texts[j])) + 1e-6)]
+    assert got == due and due
+
+
 def test_long_lines(spark):
     w = ["w%d" % (i % 997) for i in range(40_000)]
     texts = [" ".join(w), " ".join(w[:20_000] + ["changed"] + w[20_001:]), "other " * 33_000]
