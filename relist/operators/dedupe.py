@@ -37,13 +37,16 @@ def latest_struct(order: Sequence[Column | str], attrs: Sequence[str]) -> Column
 
 
 def dedupe_listings(listings: DataFrame, seen_col: str = "seen_at",
-                    attrs: Sequence[str] = tuple(LISTING_ATTRS)) -> DataFrame:
+                    attrs: Sequence[str] = tuple(LISTING_ATTRS), tasks: int = 0) -> DataFrame:
     """Gold listings: one row per ``source_externalId`` with first/last seen
-    and the attributes of the latest observation."""
+    and the attributes of the latest observation.  They are sorted by key in
+    memory; ``tasks`` > 0 says over how many tasks (else the session does)."""
     attrs = [a for a in attrs if a in listings.columns]
     latest = latest_struct([F.col(seen_col).alias("_seen")], attrs).alias("_latest")
     # the key is a function of (source, external_id): group on those two
     # and derive it after the shuffle (narrower sort/shuffle keys)
+    if tasks:
+        listings = listings.repartition(tasks, "source", "external_id")
     agg = (listings.groupBy("source", "external_id")
            .agg(F.min(seen_col).alias("first_seen_at"), F.max(seen_col).alias("last_seen_at"), latest))
     return agg.select(listing_key(F.col("source"), F.col("external_id")).alias("listing_key"),

@@ -35,15 +35,20 @@ def _pick(values, idx):
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
+def listing_tasks(spark: SparkSession, d: str) -> int:
+    """Tasks that rows as wide as listings are dealt to, by rows (from the footers)."""
+    return max(spark.sparkContext.defaultParallelism, table(spark, d, "lineitem").count() // LISTINGS_PER_TASK + 1)
+
+
 def raw_listings(spark: SparkSession, d: str) -> DataFrame:
     """Landed listing rows (JSON-like, strings) – one per lineitem."""
     # the orders come first: the partitioning by order key serves that join
     # and spreads the rows of a file with a single row group over all cores.
     # A line is a few numbers here and half a kilobyte of text afterwards, so
-    # tasks are dealt by rows (from the footers), not by the bytes they read
+    # tasks are dealt by rows, not by the bytes they read
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                             "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
-    tasks = max(spark.sparkContext.defaultParallelism, li.count() // LISTINGS_PER_TASK + 1)
+    tasks = listing_tasks(spark, d)
     li = li.repartition(tasks, "l_orderkey")
     pa = table(spark, d, "part").select("p_partkey", "p_name", "p_type")
     od = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")

@@ -10,4 +10,4 @@ from . import adapter as A
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return category_stats(dedupe_listings(A.listings(spark, d)))
+    return category_stats(dedupe_listings(A.listings(spark, d), tasks=A.listing_tasks(spark, d)))

@@ -94,3 +94,19 @@ def test_listing_tasks_follow_the_rows(spark, tables, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert sum(sizes) == 117 and max(sizes) <= 60
+
+
+@pytest.mark.parametrize("name", ["gold_listings", "image_manifest", "image_manifest_new"])
+def test_gold_tasks_follow_the_rows(spark, tables, monkeypatch, name):
+    """So are those that sort the listings by key, and the images by path, however few partitions the session shuffles to."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(A, "LISTINGS_PER_TASK", 6)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    for k, v in zip(before, ("-1", "2")):
+        spark.conf.set(k, v)
+    try:
+        parts = getattr(Q, f"q_{name}")(spark, tables).select(F.spark_partition_id().alias("p")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len({r["p"] for r in parts}) > 2
