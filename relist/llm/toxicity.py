@@ -33,7 +33,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +46,8 @@ PART_ROWS = 16384
 PASS_ROWS = 100_000
 #: thresholds are chosen among logits to 1/256 within +-60
 LOGIT_STEPS, LOGIT_END = 256, 60
+#: bytes of states that the driver adds up by itself, and tasks per core that send one
+SUM_BYTES, SUM_TASKS = 32 << 20, 4
 _SEPARATORS = bytes(range(33)) + b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\x7f"
 _TABLE = bytes(32 if c in _SEPARATORS else c for c in range(256))
 
@@ -207,6 +209,15 @@ def _batches(texts: list[bytes], order: np.ndarray, s: Settings) -> Iterator[np.
             yield pick[a:b]
 
 
+def _summed(told: RDD, size: int) -> list[np.ndarray]:
+    """The sum of the states (of ``size`` bytes each) in all partitions.  A
+    task adds up those of several partitions, so as many are sent as there are
+    cores for, not as the rows have partitions; a few need no shuffle."""
+    told = told.coalesce(SUM_TASKS * told.context.defaultParallelism).map(lambda r: pickle.loads(r[0]))
+    reduce = told.reduce if told.getNumPartitions() * size <= SUM_BYTES else told.treeReduce
+    return reduce(lambda a, b: [x + y for x, y in zip(a, b)])
+
+
 def _one_pass(rows: DataFrame, state: State, turn: int, s: Settings) -> State:
     """Every row once: each partition learns on from ``state`` over its own
     rows, then the partitions' states are averaged by their rows (a bucket of
@@ -229,8 +240,8 @@ def _one_pass(rows: DataFrame, state: State, turn: int, s: Settings) -> State:
             told = [np.array([n, n * mine.step]), weight, *[weight[:, None] * a for a in mine.emb], *[np.float32(n) * a for a in mine.rest]]
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(told)], pa.binary())], names=["told"])
 
-    told = rows.select("text", "toxic").mapInArrow(run, "told binary").rdd.map(lambda r: pickle.loads(r[0]))
-    (n, steps), weight, *sums = told.treeReduce(lambda a, b: [x + y for x, y in zip(a, b)])      # of fixed size as well
+    told = rows.select("text", "toxic").mapInArrow(run, "told binary").rdd
+    (n, steps), weight, *sums = _summed(told, sum(a.nbytes for a in state.emb + state.rest))      # of fixed size as well
     shared.destroy()
     some = weight > 0
     for old, new in zip(state.emb, sums):

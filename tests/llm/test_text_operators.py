@@ -145,6 +145,24 @@ def test_toxicity_learns_from_long_texts_and_averages_partitions(spark, monkeypa
     assert all(abs(again[i] - got[i].score) < 1e-3 for i in got)
 
 
+def test_toxicity_sends_states_by_cores_not_by_partitions(spark, monkeypatch):
+    sent, real = [], type(spark.sparkContext.emptyRDD()).treeReduce
+    monkeypatch.setattr("pyspark.RDD.treeReduce", lambda self, *a: sent.append(self.getNumPartitions()) or real(self, *a))
+    rng = random.Random(41)
+    plain = ["bread", "river", "window", "garden", "train", "letter"]
+    rows = [(i, " ".join(rng.choice(plain) for _ in range(9)) + (" vile" if i % 4 == 0 else ""), "en", "s", 0) for i in range(400)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "PART_ROWS", 20)
+    monkeypatch.setattr(toxicity, "SUM_BYTES", 1 << 40)
+    few = {r.doc_id: r.score for r in toxicity.score_documents(docs(spark, rows), labels).collect()}
+    assert not sent     # a few states need no shuffle
+    monkeypatch.setattr(toxicity, "SUM_BYTES", 0)
+    monkeypatch.setattr(toxicity, "SUM_TASKS", 1)
+    many = {r.doc_id: r.score for r in toxicity.score_documents(docs(spark, rows), labels).collect()}
+    assert sent and max(sent) <= spark.sparkContext.defaultParallelism
+    assert few.keys() == many.keys() and all(abs(few[i] - many[i]) < 1e-3 for i in few)
+
+
 def test_toxicity_sees_every_labelled_row(spark, monkeypatch):
     """What the passes, the language words and the thresholds read is counted."""
     seen = {}
