@@ -42,6 +42,8 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: added to the worst piece's score for a character written in bytes, per byte
 BYTE_PENALTY = 10.0
 CACHE_WORDS = 250_000    # words a task remembers, twice (see Encoder._remember)
+SEGMENT_BYTES = 60_000   # bytes of words that are segmented together
+BATCH_ROWS = 512         # rows a task holds as Python objects at a time
 
 
 @dataclass
@@ -257,7 +259,7 @@ class Encoder:
         lo = size = 0
         for i, w in enumerate(new):
             size += len(w)
-            if size > 200_000 or i + 1 == len(new):
+            if size > SEGMENT_BYTES or i + 1 == len(new):
                 self.cache.update(zip(new[lo:i + 1], self._segment(new[lo:i + 1])))
                 lo, size = i + 1, 0
 
@@ -367,7 +369,7 @@ def round_trip(docs: DataFrame, path: str = MODEL_PATH, model: PieceModel | None
         encoder, decoder = Encoder(shared.value), Decoder(shared.value)
         is_byte = np.zeros(len(shared.value.pieces), bool)
         is_byte[shared.value.byte_ids] = True
-        for b in batches:
+        for b in (whole.slice(k, BATCH_ROWS) for whole in batches for k in range(0, whole.num_rows, BATCH_ROWS)):
             texts = b.column("__text").cast(pa.binary()).to_pylist()
             ids = encoder.encode([t or b"" for t in texts])
             back = pa.array([None if t is None else decoder.decode(i) for t, i in zip(texts, ids)], pa.binary())

@@ -315,6 +315,15 @@ def test_pieces_have_the_best_total_score(spark, model):
         assert total == pytest.approx(_best_score(model, t, enc.worst))
 
 
+def test_words_are_segmented_in_small_blocks(model, monkeypatch):
+    enc, blocks = sentencepieces.Encoder(model), []
+    segment = enc._segment
+    monkeypatch.setattr(enc, "_segment", lambda words: blocks.append(sum(map(len, words))) or segment(words))
+    words = {b"\xe2\x96\x81word%d" % i for i in range(30_000)}
+    enc._remember(words)
+    assert set(enc.cache) == words and len(blocks) > 4 and max(blocks) < 61_000
+
+
 def test_pieces_round_trip_exactly(spark, model):
     rng = random.Random(4)
     letters = "ab \n\t▁é漢😀­\x00 ▂"
