@@ -2,6 +2,7 @@
 pipeline against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -417,6 +418,54 @@ def test_bounds_decide_as_the_whole_distance(spark, likely):
     assert got == due and 30 < len(due) < 270
 
 
+def test_pieces_link_long_texts_without_the_whole_distance(spark):
+    """Longer texts alike, with runs and stretches in one of them only: the pieces decide."""
+    rng = random.Random(15)
+    w = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(1500))
+    run = "blest " * 400
+    pairs = [(w, w[:3000] + "other words here " + w[3000:]), (w + run + w, w + run[:1800] + w), (w, w[:2000] + w[2900:]),
+             (w + run + w[:900], w[:500] + w[530:] + "x" + run + run[:300] + w[:900])]
+    df = spark.createDataFrame([(i, x, y, len(x), len(y)) for i, (x, y) in enumerate([*pairs, *[(y, x) for x, y in pairs]])],
+                               "i int, tx string, ty string, nx int, ny int")
+    alike = linededup._alike(0.8, True)
+    pieces = alike[alike.index("and (") + 5:alike.index(" or (")]
+    assert df.where(pieces).count() == 8 == df.where(alike).count()
+
+
+def test_shuffle_files_go_with_the_step(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    with linededup._shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name) == before
+
+
+def test_shared_keys_equal_brute_force(spark):
+    """Keys are made of hashes that several lines have; no shared key is lost."""
+    rng = random.Random(16)
+    base = [sentence(rng, n) for n in (1, 2, 3, 5, 6, 8, 20)]
+    texts = sorted({" ".join(edited(rng, rng.choice(base), rng.choice([0, 1, 1, 2]))) for _ in range(60)} | {"x x x x x x", "x x x x x", "a b a b a b a", "ab", "abc"})
+    named = linededup._named(spark.createDataFrame([(t.split(),) for t in texts if t.split()], "words array<string>"))
+    distinct = named.select(linededup._line_id().alias("id"))
+    got = {}
+    for r in linededup.sketch_keys(named, distinct, 6).collect():
+        got.setdefault(r.key, set()).add(r.id)
+    # every key of every line, without any hash taken away first
+    text = F.array_join("words", " ")
+    pairs = linededup._smallest(linededup._grams(F.col("words"), 2, linededup._rare_first), 6)
+    grams = linededup._smallest(linededup._grams(F.split(text, ""), 4, lambda c: F.xxhash64(F.lit(4), *c)), 8)
+    rows = named.select(linededup._line_id().alias("id"), text.alias("t"), F.size("words").alias("n"), pairs.alias("p"), grams.alias("g")).collect()
+    due = {}
+    for r in rows:
+        keys = [("p", c) for c in (itertools.combinations(r.p, 2) if len(r.p) > 1 else [tuple(r.p)])] if r.n >= 5 else []
+        keys += [("g", c) for c in (itertools.combinations(sorted(r.g), 3) if len(r.g) > 2 else [tuple(r.g)])] if r.n <= 6 else []
+        keys += [("gap", r.t[:i] + r.t[i + 1:]) for i in range(len(r.t) + 1)] if r.n <= 12 and len(r.t) <= 12 else []
+        for k in keys:
+            due.setdefault(k, set()).add(r.id)
+    groups = sorted(sorted(v) for v in due.values() if len(v) > 1)
+    assert sorted(sorted(v) for v in got.values()) == groups and groups
+
+
 @pytest.mark.parametrize("side", [4, 128])
 def test_lines_of_a_common_key_meet_once(spark, side):
     rng = random.Random(14)
