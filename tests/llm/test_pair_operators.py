@@ -3,6 +3,7 @@ pipeline against brute force."""
 
 import hashlib
 import itertools
+import os
 import random
 import re
 
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from relist.llm import ann, components, decontaminate, linededup, simhash_dedup, substring_dedup
+from relist.llm import ann, common, components, decontaminate, linededup, simhash_dedup, substring_dedup
 from relist.llm import queries as Q
 from tests.oracle_harness import duck
 
@@ -440,6 +441,44 @@ def test_shuffle_files_go_with_the_step(spark):
     assert spark.conf.get(name) == before
 
 
+def test_tables_go_once_nothing_reads_them(spark, tmp, monkeypatch):
+    rng = random.Random(17)
+    base = [sentence(rng, n) for n in (3, 8, 20)]
+    df = docs(spark, ["\n".join(" ".join(edited(rng, rng.choice(base), rng.choice([0, 1, 2]))) for _ in range(3)) for _ in range(20)])
+    monkeypatch.setattr(common, "shared_dir", lambda spark: tmp)
+    done = linededup.dedup_lines(df, sketch=6)
+    left = {re.sub("-[0-9a-f]{32}$", "", n) for n in os.listdir(f"{tmp}/relist-llm")}
+    assert "removals" in left
+    assert not left & {"lines", "distinct-lines", "sketches", "sketch-keys", "shared-blocks", "near-simhashes", "busy-simhashes", "busy-lines",
+                       "holders", "busy-texts", "keys-below", "open-lines", "groups", "kept-places"}
+    assert done.count() == 20
+
+
+@pytest.mark.parametrize("passes", [1, 3])
+def test_texts_of_a_common_key_go_along_few_times(spark, passes, monkeypatch):
+    """Lines of one key meet those of like length only, in any number of passes."""
+    rng = random.Random(18)
+    sizes = [round(4 * 1.03 ** i) for i in range(120)]
+    texts = ["".join(rng.choice("ab") for _ in range(n)) for n in sizes]
+    rows = spark.createDataFrame([(f"{i:03}", t, len(t)) for i, t in enumerate(texts)], "id string, text string, size int")
+    placed = spark.createDataFrame([(k, f"{i:03}", f"g{i}") for i in range(len(texts)) for k in (0, 1 + i % 2)], "key long, id string, g string")
+    seen = {}
+
+    def kept(df, name, past=()):
+        seen[name] = df = materialise(df, name)
+        return df
+
+    materialise = linededup.materialise
+    monkeypatch.setattr(linededup, "materialise", kept)
+    monkeypatch.setattr(linededup, "drop", lambda *tables: None)
+    got = sorted((*sorted((int(r.x), int(r.y))),) for r in linededup._similar_under_keys(placed, rows, 0.8, 4, passes).collect())
+    due = [(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if sizes[j] <= 1.26 * sizes[i] + 1
+           and edit_distance(texts[i], texts[j]) <= int(0.2 * sizes[j] + 1e-6)]
+    assert got == due and due
+    copies = seen["open-lines"].selectExpr("explode(at) a").selectExpr("sum(2 * a.cells + a.up + a.down)").first()[0]
+    assert copies < 2 * (120 * 30 + 2 * 60 * 15) / 4     # every line to all cells of its keys: 120 / 4 and 60 / 4, on both sides
+
+
 def test_shared_keys_equal_brute_force(spark):
     """Keys are made of hashes that several lines have; no shared key is lost."""
     rng = random.Random(16)
