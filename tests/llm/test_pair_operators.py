@@ -454,6 +454,22 @@ def test_tables_go_once_nothing_reads_them(spark, tmp, monkeypatch):
     assert done.count() == 20
 
 
+def test_copies_of_a_line_grow_by_the_root(spark, monkeypatch):
+    """Lines of one length under one key: few copies of each, and each pair meets once."""
+    rng = random.Random(19)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(20)) for _ in range(40)]
+    texts += [t[:-1] + "x" for t in texts[:20]]
+    rows = spark.createDataFrame([(f"{i:03}", t, len(t)) for i, t in enumerate(texts)], "id string, text string, size int")
+    placed = spark.createDataFrame([(0, f"{i:03}", f"g{i}") for i in range(60)], "key long, id string, g string")
+    made = []
+    materialise = linededup.materialise
+    monkeypatch.setattr(linededup, "materialise", lambda df, name, past=(): made.append((name, materialise(df, name))) or made[-1][1])
+    monkeypatch.setattr(linededup, "drop", lambda *tables: None)
+    got = sorted((*sorted((int(r.x), int(r.y))),) for r in linededup._similar_under_keys(placed, rows, 0.8, 2).collect())
+    assert got == [(i, j) for i in range(60) for j in range(i + 1, 60) if edit_distance(texts[i], texts[j]) <= 4] and len(got) >= 20
+    assert dict(made)["open-lines"].selectExpr("explode(at) a").selectExpr("sum(a.cells + a.up)").first()[0] == 60 * 6     # ceil(sqrt(60 / 2)) copies; 30 when all cells were met
+
+
 @pytest.mark.parametrize("passes", [1, 3])
 def test_texts_of_a_common_key_go_along_few_times(spark, passes, monkeypatch):
     """Lines of one key meet those of like length only, in any number of passes."""
